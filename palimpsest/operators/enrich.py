@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Range lookup works on number blocks of 2**(STEP*level) numbers each.
 STEP = 4
@@ -131,10 +132,14 @@ def fill_by_range(
     bits: int = BITS,
 ) -> DataFrame:
     """`df` with NULLs of `value` filled from the ranges; other rows are left alone."""
-    keyed = df.withColumn("_at", F.when(F.col(value).isNull(), point))
-    found = range_lookup(keyed, ranges.withColumnRenamed(value, "_found"), "_at", start, end, "_found", rank, bits)
-    return (
-        keyed.join(found, "_at", "left")
-        .withColumn(value, F.coalesce(value, "_found"))
-        .select(*df.columns)
+    keyed = df.withColumn("_point", F.when(F.col(value).isNull(), point))
+    found = range_lookup(
+        keyed, ranges.withColumnRenamed(value, "_found"), "_point", start, end, "_found", rank, bits
+    )
+    # Rows that need no lookup match nothing; hashing them spreads them over the join's tasks.
+    spread = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    unmatched = F.concat(F.lit("none "), F.xxhash64(*spread).cast("string"))
+    joined = keyed.withColumn("_at", F.coalesce(F.col("_point").cast("string"), unmatched)).join(
+        found.select(F.col("_point").cast("string").alias("_at"), "_found"), "_at", "left"
     )
+    return joined.withColumn(value, F.coalesce(value, "_found")).select(*df.columns)

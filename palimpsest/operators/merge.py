@@ -30,7 +30,6 @@ OPEN, CLOSED = "open", "closed"
 
 # The names of the outcomes.
 INSERTED, UPDATED, REPLACED, UPSERTED = "inserted", "updated", "expired+inserted", "upserted"
-EXPIRED = "expired"
 
 
 def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -95,15 +94,13 @@ def scd2_merge(
     json_cols: Sequence[str] = (),
     on_duplicate: str = "error",
     order: Sequence[str] = (),
-    expire_missing: bool = False,
     small_batch: bool = False,
 ) -> DataFrame:
     """Merges a snapshot taken at `ts` into the open versions.
 
     Only `keys` and `values` are read and compared; other columns of either side are ignored.
-    A key missing from the batch stays open unless `expire_missing`. `small_batch` says the
-    batch fits a broadcast: the open side is then neither shuffled nor sorted. The caller
-    checks the size (the store does).
+    A key missing from the batch stays open. `small_batch` says the batch fits a broadcast: the
+    open side is then neither shuffled nor sorted. The caller checks the size (the store does).
     """
     t = moment(ts, open_rows.schema["active_from"].dataType)
     new = prepare_batch(batch, keys, on_duplicate, order).select(
@@ -137,18 +134,14 @@ def scd2_merge(
     def created(outcome: str) -> Column:
         return row(OPEN, "_new", F.lit(outcome), active_from=t, active_to=none, last_seen=t)
 
-    def closed(outcome: str | None) -> Column:
-        named = None if outcome is None else F.lit(outcome)
-        return row(CLOSED, "_old", named, active_from=old_from, active_to=t, last_seen=old_seen)
-
+    closed = row(CLOSED, "_old", None, active_from=old_from, active_to=t, last_seen=old_seen)
     kept = row(OPEN, "_old", None, active_from=old_from, active_to=none, last_seen=old_seen)
     touched = row(OPEN, "_old", F.lit(UPDATED), active_from=old_from, active_to=none, last_seen=t)
-    gone = closed(EXPIRED) if expire_missing else kept
     rows = (
         F.when(only_new, F.array(created(INSERTED)))
-        .when(only_old, F.array(gone))
+        .when(only_old, F.array(kept))
         .when(equal, F.array(touched))
-        .otherwise(F.array(created(REPLACED), closed(None)))
+        .otherwise(F.array(created(REPLACED), closed))
     )
     return pairs.select(*keys, F.explode(rows).alias("_r")).select(
         *keys, *[F.col(f"_r.{v}").alias(v) for v in values], *[F.col(f"_r.{c}").alias(c) for c in (*VERSIONING, PART, OUTCOME)]
@@ -165,7 +158,7 @@ def closed_part(merged: DataFrame) -> DataFrame:
 
 def outcome_columns(versioned: bool = True) -> list[Column]:
     """Counts per outcome as aggregates: for `agg`, or for `observe` during the write."""
-    names = (INSERTED, UPDATED, REPLACED, EXPIRED) if versioned else (UPSERTED,)
+    names = (INSERTED, UPDATED, REPLACED) if versioned else (UPSERTED,)
     return [F.count_if(F.coalesce(F.col(OUTCOME) == n, F.lit(False))).alias(n) for n in names]
 
 
