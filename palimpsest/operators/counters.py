@@ -51,9 +51,16 @@ def plan_windows(
     )
 
 
-def in_windows(events: DataFrame, windows: DataFrame, by: Sequence[str], at: str) -> DataFrame:
-    """Events inside their group's window, with the window's end as `last_seen`."""
-    joined = events.join(windows.select(*by, "t0", "t1"), list(by))
+def in_windows(
+    events: DataFrame, windows: DataFrame, by: Sequence[str], at: str, few_groups: bool = False
+) -> DataFrame:
+    """Events inside their group's window, with the window's end as `last_seen`.
+
+    `few_groups` says that the windows fit a broadcast; the events are then not shuffled here.
+    The caller checks their number.
+    """
+    bounds = windows.select(*by, "t0", "t1")
+    joined = events.join(F.broadcast(bounds) if few_groups else bounds, list(by))
     inside = (F.col(at) >= F.col("t0")) & (F.col(at) < F.col("t1"))
     return joined.where(inside).withColumnRenamed("t1", "last_seen").drop("t0")
 

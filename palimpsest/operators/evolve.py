@@ -98,6 +98,12 @@ def downgrade(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
     return df
 
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, known to the optimizer as such."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(*columns).where(F.lit(False))
+
+
 def empty_table(spark: SparkSession, spec: ResourceSpec) -> DataFrame:
     """A resource's table before its first commit."""
-    return spark.createDataFrame([], spec.schema)
+    return empty_frame(spark, spec.schema)

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions.canonical import same_row
@@ -53,16 +53,19 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
 
 
 def unique_or_fail(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`df`, failing at run time when a key occurs twice."""
+    """`df`, failing at run time when a key occurs twice.
+
+    Numbering the rows of a key needs the layout and sort that a join on the key needs too.
+    """
     rest = [c for c in df.columns if c not in keys]
-    counted = df.groupBy(*keys).agg(
-        F.first(F.struct(*rest)).alias("_row"), F.count(F.lit(1)).alias("_n")
-    )
+    w = Window.partitionBy(*keys).orderBy(*keys)
+    row = F.struct(*rest)
     repeated = F.raise_error(F.lit(f"key {', '.join(keys)} occurs more than once in the batch"))
-    row_type = counted.schema["_row"].dataType
-    return counted.withColumn(
-        "_row", F.when(F.col("_n") > 1, repeated.cast(row_type)).otherwise(F.col("_row"))
-    ).select(*_spread(df, keys, "_row"))
+    row_type = df.select(row).schema[0].dataType
+    checked = df.withColumn("_n", F.row_number().over(w)).select(
+        *keys, F.when(F.col("_n") > 1, repeated.cast(row_type)).otherwise(row).alias("_row")
+    )
+    return checked.select(*_spread(df, keys, "_row"))
 
 
 def _spread(df: DataFrame, keys: Sequence[str], struct: str) -> list[Column]:

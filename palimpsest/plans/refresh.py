@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,21 +18,27 @@ from palimpsest.sources.landing import read_landing
 from palimpsest.sources.store import Commits, HistoryStore, KeyedStore
 from palimpsest.spec import ResourceSpec
 
+# Up to this many organizations, their reading windows are broadcast.
+FEW_GROUPS = 100_000
+# How many resources of a refresh are merged at the same time.
+CONCURRENT = 4
 
-def refresh_order(resources: Sequence[str] | None = None) -> list[ResourceSpec]:
-    """The chosen resources (all by default), each after those it depends on."""
+
+def refresh_levels(resources: Sequence[str] | None = None) -> list[list[ResourceSpec]]:
+    """The chosen resources (all by default) in levels: each after those it depends on."""
     chosen = set(resources or RESOURCES)
     unknown = sorted(chosen - set(RESOURCES))
     if unknown:
         raise ValueError(f"unknown resource(s) {unknown}")
-    done: list[ResourceSpec] = []
+    levels: list[list[ResourceSpec]] = []
     waiting = list(RESOURCES.values())
+    placed: set[str] = set()
     while waiting:
-        placed = {s.name for s in done}
         ready = [s for s in waiting if set(s.after) <= placed]
-        done += ready
+        levels.append([s for s in ready if s.name in chosen])
+        placed |= {s.name for s in ready}
         waiting = [s for s in waiting if s not in ready]
-    return [s for s in done if s.name in chosen]
+    return [level for level in levels if level]
 
 
 def enrich_uplinks(
@@ -73,12 +80,19 @@ def refresh_usage(
     by = ["org_id"]
     owner = networks.select(F.col("id").alias("network_id"), F.col("organization_id").alias("org_id"))
     state = store.rows().join(owner, "network_id")
-    windows = plan_windows(events, state, by, now)
-    keys, measures = ["network_id", "serial", "interface"], ["sent", "received"]
-    delta = monthly_delta(in_windows(events, windows, by, "ts"), keys, measures, "ts")
-    return store.change(
-        delta, now, lambda held, new: accumulate(held, new, UPLINK_USAGE.keys, measures)
-    )
+    # One row per organization, read for its size and for the join.
+    windows = plan_windows(events, state, by, now).persist()
+    try:
+        few = windows.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+        keys, measures = ["network_id", "serial", "interface"], ["sent", "received"]
+        inside = in_windows(events, windows, by, "ts", few_groups=few)
+        return store.change(
+            monthly_delta(inside, keys, measures, "ts"),
+            now,
+            lambda held, new: accumulate(held, new, UPLINK_USAGE.keys, measures),
+        )
+    finally:
+        windows.unpersist()
 
 
 def refresh(
@@ -108,23 +122,26 @@ def refresh(
     raw_networks = landed(NETWORK)
     networks = None if raw_networks is None else normalize(raw_networks, NETWORK)
     options = {} if small_rows is None else {"small_rows": small_rows}
-    counts: dict[str, dict[str, int]] = {}
-    for spec in refresh_order(resources):
+
+    def merge(spec: ResourceSpec) -> dict[str, int] | None:
         raw = landed(spec)
-        if raw is None:
-            continue
+        if raw is None or (networks is None and (spec.product_type or not spec.versioned)):
+            return None
         if not spec.versioned:
-            if networks is not None:
-                store = KeyedStore.of(spark, tables, spec)
-                counts[spec.name] = refresh_usage(store, usage_events(raw), networks, ts)
-            continue
+            return refresh_usage(KeyedStore.of(spark, tables, spec), usage_events(raw), networks, ts)
         batch = normalize(raw, spec)
         if spec.product_type:
-            if networks is None:
-                continue
             batch = route(batch, networks, spec.product_type)
         store = HistoryStore.of(spark, tables, spec)
         if spec is UPLINK:
             batch = enrich_uplinks(batch, store.open_rows(), registry)
-        counts[spec.name] = store.merge(batch, ts, **options)
+        return store.merge(batch, ts, **options)
+
+    counts: dict[str, dict[str, int]] = {}
+    # Resources of one level write different tables: their jobs share the cluster.
+    with ThreadPoolExecutor(max_workers=CONCURRENT) as pool:
+        for level in refresh_levels(resources):
+            for spec, outcome in zip(level, pool.map(merge, level)):
+                if outcome is not None:
+                    counts[spec.name] = outcome
     return counts

@@ -6,8 +6,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the operators are written for. None fixes a number of partitions:
-# adaptive execution sizes them from the data.
+# Settings the operators are written for.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,11 +16,29 @@ DEFAULTS = {
 }
 
 
-def session(app: str = "palimpsest", master: str | None = None, **conf: str) -> SparkSession:
+# Adaptive execution merges small shuffle partitions but does not add any, so their first number
+# must suit the largest shuffle: about this many bytes each.
+PARTITION_BYTES = 256 * 2**20
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """How many shuffle partitions a job over `input_bytes` should start from."""
+    return min(max(input_bytes // PARTITION_BYTES, 200), 400_000)
+
+
+def session(
+    app: str = "palimpsest",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with the defaults; `conf` uses `__` for the dots of a setting's name."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if input_bytes is not None:
+        first = str(shuffle_partitions(input_bytes))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", first)
     for key, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palimpsest.functions.times import Moment
+from palimpsest.operators.evolve import empty_frame
 from palimpsest.operators.history import as_of
 from palimpsest.operators.merge import (
     CLOSED,
@@ -129,7 +130,7 @@ class HistoryStore:
         return f"{self.path}/data/v={version}"
 
     def _empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self.schema)
+        return empty_frame(self.spark, self.schema)
 
     def open_rows(self, before: int | None = None) -> DataFrame:
         """Current rows, of the last commit (before a given one)."""
@@ -228,9 +229,14 @@ class HistoryStore:
         time = F.col(at)
         if isinstance(log.schema[at].dataType, T.TimestampType):
             time = F.convert_timezone(F.current_timezone(), F.lit("UTC"), time.cast("timestamp_ntz"))
-        span = log.agg(F.min(time).alias("first"), F.max(time).alias("last")).first()
+        span = log.agg(
+            F.min(time).alias("first"), F.max(time).alias("last"), F.count(F.lit(1)).alias("rows")
+        ).first()
         if span["first"] is None:
             return self._no_outcomes()
+        if rows_per_slice is not None and span["rows"] <= rows_per_slice:
+            # No key can be hot in a batch this small.
+            rows_per_slice = None
         last = max(known.values(), default=None)
         if last is not None and _micros(span["first"]) < last:
             raise ValueError(f"log batch from {span['first']} is older than the last commit")
@@ -307,7 +313,7 @@ class KeyedStore:
 
     def _read(self, partitions: dict[str, int]) -> DataFrame:
         if not partitions:
-            return self.spark.createDataFrame([], self.schema)
+            return empty_frame(self.spark, self.schema)
         if not self.partition_by:
             (version,) = partitions.values()
             return self.spark.read.schema(self.schema).parquet(self._data(version))
