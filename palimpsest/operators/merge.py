@@ -24,8 +24,8 @@ from palimpsest.functions.times import Moment, moment
 from palimpsest.operators.history import VERSIONING, history_from_log
 from palimpsest.operators.slices import ROWS_PER_SLICE
 
-PART = "part"
-OUTCOME = "outcome"
+PART = "_part"
+OUTCOME = "_outcome"
 OPEN, CLOSED = "open", "closed"
 
 # The names of the outcomes.
@@ -170,7 +170,7 @@ def outcome_counts(merged: DataFrame) -> DataFrame:
     wide = merged.agg(*outcome_columns())
     return wide.select(
         F.explode(
-            F.array(*[F.struct(F.lit(n).alias(OUTCOME), F.col(f"`{n}`").alias("rows")) for n in (INSERTED, UPDATED, REPLACED)])
+            F.array(*[F.struct(F.lit(n).alias("outcome"), F.col(f"`{n}`").alias("rows")) for n in (INSERTED, UPDATED, REPLACED)])
         ).alias("_o")
     ).select("_o.*")
 

@@ -1,8 +1,8 @@
 """Versioned and keyed tables as Parquet files, with all-or-nothing commits.
 
-    <table>/data/v=<n>/part=open      every current row after commit n
-    <table>/data/v=<n>/part=closed    the rows closed by commit n, never rewritten
-    <table>/commits/<n>_<micros>      written last; the time is the latest in commit n
+    <table>/data/<n>/_part=open        every current row after commit n
+    <table>/data/<n>/_part=closed      the rows closed by commit n, never rewritten
+    <table>/commits/<n>_<time>_<k>     written last; its time, and how many rows it closed
 
 Readers use the open rows of the last commit and the closed rows up to it, so a commit
 shows as a whole or not at all. A run that died leaves a folder no commit names; its retry
@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta, timezone
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,13 @@ SMALL_BATCH = 50_000
 _EPOCH = datetime(1970, 1, 1)
 
 
+class Commit(NamedTuple):
+    """What a marker's name says: the time in microseconds, and the number of closed rows."""
+
+    time: int
+    closed: int
+
+
 def _micros(ts: datetime | str) -> int:
     parsed = datetime.fromisoformat(ts) if isinstance(ts, str) else ts
     if parsed.tzinfo is not None:
@@ -63,39 +71,38 @@ class Commits:
     def _fs(self):
         return self._path().getFileSystem(self._conf)
 
-    def all(self) -> dict[int, int]:
-        """Commit number -> time, from the names alone."""
+    def all(self) -> dict[int, Commit]:
+        """Commits by number, from the names of the markers alone."""
         fs = self._fs()
         if not fs.exists(self._path()):
             return {}
         names = [s.getPath().getName() for s in fs.listStatus(self._path())]
-        pairs = [n.split("_") for n in names if n[:1].isdigit()]
-        return {int(v): int(micros) for v, micros in pairs}
+        parts = [n.split("_") for n in names if n[:1].isdigit()]
+        return {int(v): Commit(int(time), int(closed)) for v, time, closed in parts}
 
     def last(self, before: int | None = None) -> int | None:
         known = [v for v in self.all() if before is None or v < before]
         return max(known, default=None)
 
-    def _name(self, version: int, micros: int) -> str:
-        return f"{version:010d}_{micros}"
+    def _name(self, version: int, commit: Commit) -> str:
+        return f"{version:010d}_{commit.time}_{commit.closed}"
 
     def read(self, version: int) -> dict:
-        micros = self.all()[version]
-        stream = self._fs().open(self._path(self._name(version, micros)))
+        stream = self._fs().open(self._path(self._name(version, self.all()[version])))
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
-    def write(self, version: int, micros: int, body: dict) -> None:
+    def write(self, version: int, commit: Commit, body: dict) -> None:
         fs = self._fs()
-        hidden = self._path(f".{self._name(version, micros)}")
+        hidden = self._path(f".{self._name(version, commit)}")
         out = fs.create(hidden, True)
         try:
             out.write(bytearray(json.dumps(body).encode()))
         finally:
             out.close()
-        if not fs.rename(hidden, self._path(self._name(version, micros))):
+        if not fs.rename(hidden, self._path(self._name(version, commit))):
             raise OSError(f"commit {version} could not be published")
 
     def delete(self, path: str) -> bool:
@@ -127,7 +134,7 @@ class HistoryStore:
         return cls(spark, f"{root}/{spec.name}", spec.keys, spec.schema, spec.json_cols)
 
     def _data(self, version: int) -> str:
-        return f"{self.path}/data/v={version}"
+        return f"{self.path}/data/{version}"
 
     def _empty(self) -> DataFrame:
         return empty_frame(self.spark, self.schema)
@@ -137,7 +144,7 @@ class HistoryStore:
         version = self.commits.last(before)
         if version is None:
             return self._empty()
-        part = f"{self._data(version)}/part={OPEN}"
+        part = f"{self._data(version)}/{PART}={OPEN}"
         if self.commits.exists(part):
             return self.spark.read.schema(self.schema).parquet(part)
         if self.commits.read(version)["open_rows"] == 0:
@@ -146,19 +153,14 @@ class HistoryStore:
 
     def closed_rows(self, after: Moment | None = None) -> DataFrame:
         """Closed rows; those closed by commits later than `after` only."""
-        known = self.commits.all()
-        if not known:
-            return self._empty()
-        first = 0
-        if after is not None and not isinstance(after, Column):
-            # A commit closes rows no later than its own time: earlier commits are pruned.
-            first = min((v for v, t in known.items() if t > _micros(after)), default=max(known) + 1)
-        schema = T.StructType(
-            [*self.schema.fields, T.StructField("v", T.LongType()), T.StructField(PART, T.StringType())]
-        )
-        rows = self.spark.read.schema(schema).parquet(f"{self.path}/data")
-        wanted = (F.col(PART) == CLOSED) & F.col("v").between(first, max(known))
-        return rows.where(wanted).select(*self.schema.names)
+        # A commit closes rows no later than its own time: earlier commits are not even listed.
+        start = None if after is None or isinstance(after, Column) else _micros(after)
+        wanted = [
+            f"{self._data(v)}/{PART}={CLOSED}"
+            for v, commit in sorted(self.commits.all().items())
+            if commit.closed and (start is None or commit.time > start)
+        ]
+        return self.spark.read.schema(self.schema).parquet(*wanted) if wanted else self._empty()
 
     def history(self) -> DataFrame:
         """All versions."""
@@ -187,7 +189,7 @@ class HistoryStore:
         known = self.commits.all()
         if version in known:
             return self.commits.read(version)["outcomes"]
-        last = max(known.values(), default=None)
+        last = max((c.time for c in known.values()), default=None)
         if last is not None and _micros(ts) <= last:
             raise ValueError(f"snapshot of {ts} is not newer than the last commit")
         version = max(known, default=-1) + 1 if version is None else version
@@ -237,7 +239,7 @@ class HistoryStore:
         if rows_per_slice is not None and span["rows"] <= rows_per_slice:
             # No key can be hot in a batch this small.
             rows_per_slice = None
-        last = max(known.values(), default=None)
+        last = max((c.time for c in known.values()), default=None)
         if last is not None and _micros(span["first"]) < last:
             raise ValueError(f"log batch from {span['first']} is older than the last commit")
         version = max(known, default=-1) + 1 if version is None else version
@@ -262,19 +264,20 @@ class HistoryStore:
 
     def _commit(self, merged: DataFrame, version: int, micros: int) -> dict[str, int]:
         seen = Observation()
-        is_open = F.count_if(F.col(PART) == OPEN).alias("open_rows")
-        observed = merged.observe(seen, is_open, *outcome_columns())
+        sizes = [F.count_if(F.col(PART) == part).alias(f"{part}_rows") for part in (OPEN, CLOSED)]
+        observed = merged.observe(seen, *sizes, *outcome_columns())
         columns = [*self.schema.names, PART]
         observed.select(*columns).write.mode("overwrite").partitionBy(PART).parquet(self._data(version))
         counts = {k: v or 0 for k, v in seen.get.items()}
-        open_rows = counts.pop("open_rows")
-        self.commits.write(version, micros, {"open_rows": open_rows, "outcomes": counts})
+        open_rows, closed_rows = counts.pop("open_rows"), counts.pop("closed_rows")
+        body = {"open_rows": open_rows, "outcomes": counts}
+        self.commits.write(version, Commit(micros, closed_rows), body)
         return counts
 
     def drop_old(self, keep: int = 3) -> list[int]:
         """Deletes the open rows of all but the last `keep` commits. Closed rows stay."""
         old = sorted(self.commits.all())[:-keep]
-        return [v for v in old if self.commits.delete(f"{self._data(v)}/part={OPEN}")]
+        return [v for v in old if self.commits.delete(f"{self._data(v)}/{PART}={OPEN}")]
 
 
 class KeyedStore:
@@ -302,7 +305,7 @@ class KeyedStore:
         return cls(spark, f"{root}/{spec.name}", spec.keys, spec.schema, partition_by)
 
     def _data(self, version: int) -> str:
-        return f"{self.path}/data/v={version}"
+        return f"{self.path}/data/{version}"
 
     def _partition_dir(self, version: int, partition: str) -> str:
         return f"{self._data(version)}/{partition}" if partition else self._data(version)
@@ -371,7 +374,7 @@ class KeyedStore:
             batch.unpersist()
         partitions = {**before, **{p: version for p in touched}}
         body = {"partitions": partitions, "outcomes": outcomes}
-        self.commits.write(version, _micros(ts), body)
+        self.commits.write(version, Commit(_micros(ts), 0), body)
         return outcomes
 
     def upsert(

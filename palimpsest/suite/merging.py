@@ -45,7 +45,7 @@ j as (
 m as (
   select bk as c_custkey, bname as c_name, bnat as c_nationkey, bseg as c_mktsegment,
     timestamp '{T1}' as active_from, null::timestamp as active_to, timestamp '{T1}' as last_seen,
-    'open' as part, 'inserted' as outcome from j where ok is null
+    'open' as _part, 'inserted' as _outcome from j where ok is null
   union all
   select ok, oname, onat, oseg, timestamp '{T0}', null, timestamp '{T0}', 'open', null
   from j where bk is null
@@ -106,9 +106,9 @@ def scd2_merge_small_batch(spark, data):
 
 
 @query(CUSTOMER_MERGE + """
-select o.outcome, count(m.outcome) as rows
+select o.outcome, count(m._outcome) as rows
 from (values ('inserted'), ('updated'), ('expired+inserted')) o(outcome)
-left join m on m.outcome = o.outcome group by o.outcome
+left join m on m._outcome = o.outcome group by o.outcome
 """)
 def scd2_outcome_counts(spark, data):
     return outcome_counts(customer_merge(spark, data))
@@ -192,8 +192,8 @@ def positional_merge(spark, data):
     merged = scd2_merge(
         opened(positions(rules), T0), positions(new), ["c_custkey", "rule_order"], ["rule"], T1
     )
-    return merged.where(F.col("part") == "open").select(
-        "c_custkey", "rule_order", F.coalesce("outcome", F.lit("left open")).alias("result"), "rule"
+    return merged.where(F.col("_part") == "open").select(
+        "c_custkey", "rule_order", F.coalesce("_outcome", F.lit("left open")).alias("result"), "rule"
     )
 
 
@@ -257,10 +257,8 @@ def stream_merge_log(spark, data):
 
 
 @query(CUSTOMER_MERGE + """
-, third as (select c_custkey, c_name, c_nationkey, c_mktsegment from m where part = 'open'
-    and c_mktsegment <> 'REVIEW')
 select c_custkey, c_name, c_nationkey, c_mktsegment, active_from, active_to,
-  case when part = 'open' and c_mktsegment <> 'REVIEW' then timestamp '2024-03-01' else last_seen end as last_seen
+  case when _part = 'open' and c_mktsegment <> 'REVIEW' then timestamp '2024-03-01' else last_seen end as last_seen
 from m
 """)
 def store_merge_snapshots(spark, data):

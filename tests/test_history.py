@@ -119,7 +119,7 @@ def test_log_in_batches_equals_one_pass(spark, per_slice):
         merged = merge_log(open_rows, batch, ["k"], ["v", "w"], "t", ["n"], rows_per_slice=per_slice)
         out = merged.collect()
         columns = schema.replace(",", "").split()[::2]
-        pick = lambda part: [tuple(r[c] for c in columns) for r in out if r["part"] == part]
+        pick = lambda part: [tuple(r[c] for c in columns) for r in out if r["_part"] == part]
         closed += pick(CLOSED)
         open_rows = spark.createDataFrame(pick(OPEN), schema)
     got = sorted(str(r) for r in [*closed, *[tuple(r) for r in open_rows.collect()]])

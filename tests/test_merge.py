@@ -143,7 +143,7 @@ def test_sequence_of_snapshots_equals_history_of_the_log(spark, seed):
             ["metadata"],
             small_batch=bool(step % 2),
         ).collect()
-        pick = lambda part: [tuple(r)[:6] for r in merged if r["part"] == part]
+        pick = lambda part: [tuple(r)[:6] for r in merged if r["_part"] == part]
         closed += pick("closed")
         have = spark.createDataFrame(pick("open"), OPEN)
     whole = history_from_log(
