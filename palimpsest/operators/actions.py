@@ -69,9 +69,9 @@ def number_rows(
 
     `order` must be unique within the group, and its first column a number or a time.
     """
-    rows = sliced(df, by, order[0], rows_per_slice)
+    rows, slicing = sliced(df, by, order[0], rows_per_slice)
     local = F.row_number().over(in_slice(by, *order)) - 1
-    if rows_per_slice is None:
+    if not slicing:
         return rows.withColumn(name, local.cast("bigint")).select(*df.columns, name)
     sizes = summarise(rows, by, F.count(F.lit(1)).alias("_rows"))
     before = by_slice(by).rowsBetween(Window.unboundedPreceding, -1)

@@ -42,9 +42,8 @@ def history_from_log(
     all use that one layout and sort. Where one key repeats at one time without bound, reduce the
     log with `latest` first.
     """
-    rows = sliced(log.select(*keys, *values, at, *tiebreak), keys, at, rows_per_slice)
+    rows, slicing = sliced(log.select(*keys, *values, at, *tiebreak), keys, at, rows_per_slice)
     state = F.struct(F.col(at).alias("at"), *values)
-    slicing = rows_per_slice is not None
 
     # What a slice inherits: the last row before it, and the last time its key was seen.
     if slicing:
@@ -180,13 +179,13 @@ def as_of_join(
             F.struct(*carried).alias("_version"),
         )
     )
-    rows = sliced(entries, keys, "_at", rows_per_slice)
+    rows, slicing = sliced(entries, keys, "_at", rows_per_slice)
     # At equal times the version comes first: validity includes its start.
     order = (F.col("_at"), F.col("_fact").isNotNull())
     filled = rows.withColumn(
         "_match", F.last("_version", ignorenulls=True).over(in_slice(keys, *order).rowsBetween(Window.unboundedPreceding, 0))
     )
-    if rows_per_slice is not None:
+    if slicing:
         tails = summarise(
             rows.where(F.col("_version").isNotNull()), keys, F.max_by("_version", "_at").alias("_tail")
         )

@@ -1,11 +1,13 @@
 """Splitting the ordered rows of hot keys over many tasks.
 
 A window over `keys` puts all rows of one key in one task, which fails when a key holds a large
-share of a log. `sliced` finds such keys by a count that is combined before the
-shuffle, and cuts each of them along its order column into slices. Windows then run per
-`(keys, SLICE)`, and what crosses a slice border is carried by one summary row per slice.
-Keys that are not hot form the single slice 0 and take no part in any of this: with no
-hot key, adaptive execution drops the carrying joins.
+share of a log. `sliced` finds such keys and cuts each of them along its order column into
+slices. Windows then run per `(keys, SLICE)`, and what crosses a slice border is carried by
+one summary row per slice. Keys that are not hot form the single slice 0.
+
+Which keys are cut, and where, changes the speed of a job but never its result. So both are
+estimated from a sample in small jobs of their own, before the plan is built; every row takes
+part in the result. Without hot keys the plan is the plain window.
 """
 
 from __future__ import annotations
@@ -22,49 +24,89 @@ HOT = "_hot"
 
 # A key with more rows than this is cut into slices.
 ROWS_PER_SLICE = 4_000_000
-# The hot keys are broadcast, so their number is bounded: the largest MAX_HOT ones. A key
-# beyond them holds less than 1/MAX_HOT of all rows and runs unsliced.
+# The cuts of the hot keys are broadcast, so their number is bounded: the largest MAX_HOT keys.
+# A key beyond them holds less than 1/MAX_HOT of all rows and runs unsliced.
 MAX_HOT = 10_000
-# Slices have equal width in the order column, not equal counts; some extra ones even that out.
-EXTRA = 4
+# Every hot key is cut into BANDS bands of equal counts, and these into pieces of equal width.
+BANDS = 64
+# How many sampled rows stand for ROWS_PER_SLICE.
+SAMPLE = 1_000
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], order: str, rows_per_slice: int, max_hot: int = MAX_HOT
+    df: DataFrame, keys: Sequence[str], rows_per_slice: int, max_hot: int = MAX_HOT
 ) -> DataFrame:
-    """The largest keys above `rows_per_slice` rows, with the range of their order column."""
-    at = position(F.col(order), df.schema[order].dataType)
-    counts = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi")
-    )
+    """The largest keys above `rows_per_slice` rows, by the sample, with their row counts."""
+    fraction = min(1.0, SAMPLE / rows_per_slice)
+    counts = _sample(df.select(*keys), fraction).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rows = F.ceil(F.col("_n") / fraction).alias("_rows")
     return (
-        counts.where(F.col("_n") > rows_per_slice)
-        .orderBy(F.desc("_n"), *keys)
+        counts.select(*keys, rows)
+        .where(F.col("_rows") > rows_per_slice)
+        .orderBy(F.desc("_rows"), *keys)
         .limit(max_hot)
     )
 
 
+def _sample(df: DataFrame, fraction: float) -> DataFrame:
+    return df if fraction >= 1 else df.sample(fraction, seed=1)
+
+
+def _cuts(df: DataFrame, keys: Sequence[str], order: str, hot: DataFrame, rows_per_slice: int) -> DataFrame:
+    """For every hot key, the borders of its bands and the number of pieces per band."""
+    at = position(F.col(order), df.schema[order].dataType)
+    shares = F.array(*[F.lit(i / BANDS) for i in range(BANDS + 1)])
+    return (
+        _sample(df.select(*keys, order), min(1.0, SAMPLE / rows_per_slice))
+        .join(F.broadcast(hot), list(keys))
+        .groupBy(*keys)
+        .agg(F.percentile_approx(at, shares).alias("_borders"), F.first("_rows").alias("_rows"))
+        .select(*keys, "_borders", F.ceil(F.col("_rows") / (rows_per_slice * BANDS)).alias("_pieces"))
+    )
+
+
 def sliced(
     df: DataFrame, keys: Sequence[str], order: str, rows_per_slice: int | None = ROWS_PER_SLICE
-) -> DataFrame:
-    """`df` with SLICE (0 for ordinary keys) and HOT (whether the key was cut).
+) -> tuple[DataFrame, bool]:
+    """`df` with SLICE (0 for ordinary keys) and HOT (whether the key was cut), and whether any
+    key was cut at all.
 
-    Slices rise with `order`, and rows that agree in it share a slice. `None` switches
-    slicing off, for keys whose row count the caller knows to be bounded.
+    Slices rise with `order`, a number or a time, and rows that agree in it share a slice. `None`
+    switches slicing off, for keys whose row count the caller knows to be bounded.
     """
+    dtype = df.schema[order].dataType
+    at = position(F.col(order), dtype)
+    whole = df.withColumn(SLICE, F.lit(0).cast("bigint")).withColumn(HOT, F.lit(False))
     if rows_per_slice is None:
-        return df.withColumn(SLICE, F.lit(0).cast("bigint")).withColumn(HOT, F.lit(False))
-    hot = hot_keys(df, keys, order, rows_per_slice)
-    at = position(F.col(order), df.schema[order].dataType)
-    pieces = F.ceil(F.col("_n") / rows_per_slice) * EXTRA
-    share = (at - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo") + 1)
-    place = F.coalesce(F.floor(share * pieces), F.lit(0)).cast("bigint")
-    return (
-        df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(HOT, F.col("_n").isNotNull())
-        .withColumn(SLICE, F.when(F.col("_n").isNotNull(), place).otherwise(F.lit(0).cast("bigint")))
-        .drop("_n", "_lo", "_hi")
-    )
+        return whole, False
+    spark = df.sparkSession
+    hot = hot_keys(df, keys, rows_per_slice)
+    found = hot.toArrow()
+    if found.num_rows == 0:
+        return whole, False
+    cuts = _cuts(df, keys, order, spark.createDataFrame(found, hot.schema), rows_per_slice)
+    cuts = spark.createDataFrame(cuts.toArrow(), cuts.schema)
+
+    marked = df.join(F.broadcast(cuts), list(keys), "left")
+    is_hot = F.col("_borders").isNotNull()
+    marked = marked.withColumn(HOT, is_hot).withColumn("_spot", F.when(is_hot, at))
+    # The last border not above the row's place, by halving; each step reads the one before.
+    marked = marked.withColumn("_band", F.when(is_hot, F.lit(0)))
+    step = BANDS // 2
+    while step:
+        border = F.element_at("_borders", F.col("_band") + step + 1)
+        marked = marked.withColumn(
+            "_band", F.when(F.col("_spot") >= border, F.col("_band") + step).otherwise(F.col("_band"))
+        )
+        step //= 2
+    low = F.element_at("_borders", F.col("_band") + 1)
+    high = F.element_at("_borders", F.col("_band") + 2)
+    share = (F.col("_spot") - low).cast("double") / (high - low + 1)
+    # Rows outside the sample's range belong to the first or last piece.
+    piece = F.greatest(F.lit(0), F.least(F.floor(share * F.col("_pieces")), F.col("_pieces") - 1))
+    place = F.coalesce(F.col("_band") * F.col("_pieces") + piece, F.lit(0)).cast("bigint")
+    marked = marked.withColumn(SLICE, F.when(is_hot, place).otherwise(F.lit(0).cast("bigint")))
+    return marked.drop("_borders", "_pieces", "_spot", "_band"), True
 
 
 def summarise(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:

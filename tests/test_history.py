@@ -158,13 +158,15 @@ def test_as_of_join(spark, per_slice):
 
 def test_slices_follow_the_order(spark):
     df = spark.range(1000).select((F.col("id") % 2).alias("k"), F.col("id").alias("x"))
-    cut = sliced(df.where("k = 0 or x < 10"), ["k"], "x", rows_per_slice=100)
+    cut, any_hot = sliced(df.where("k = 0 or x < 10"), ["k"], "x", rows_per_slice=100)
+    assert any_hot
     found = cut.groupBy("k", SLICE, HOT).agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("n"))
     hot = rows(found.where(HOT), SLICE)
-    assert {r["k"] for r in hot} == {0} and len(hot) == 20
+    assert {r["k"] for r in hot} == {0} and len(hot) == 64
     ordered = sorted(hot, key=lambda r: r[SLICE])
     assert all(a["hi"] < b["lo"] for a, b in zip(ordered, ordered[1:]))
     assert found.where(~F.col(HOT)).count() == 1
-    assert hot_keys(df, ["k"], "x", 10, max_hot=1).count() == 1
+    assert hot_keys(df, ["k"], 10, max_hot=1).count() == 1
+    assert not sliced(df, ["k"], "x", rows_per_slice=500)[1]
     with pytest.raises(TypeError):
         sliced(df.withColumn("s", F.lit("a")), ["k"], "s", 10)
