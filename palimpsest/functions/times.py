@@ -28,6 +28,20 @@ def moment(value: Moment, dtype: T.DataType | None = None) -> Column:
     return F.lit(text).cast(dtype)
 
 
+def utc_date(col: Column, dtype: T.DataType) -> Column:
+    """The day of a time in UTC, whatever the session zone."""
+    if isinstance(dtype, T.TimestampType):
+        return F.date_from_unix_date(F.floor(F.unix_seconds(col) / 86400).cast("int"))
+    return F.to_date(col)
+
+
+def midnight(day: Column, dtype: T.DataType) -> Column:
+    """The first moment of a day in UTC, as a time of type `dtype`."""
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_seconds(F.unix_date(day).cast("bigint") * 86400)
+    return day.cast(dtype)
+
+
 def position(col: Column, dtype: T.DataType) -> Column:
     """A whole number that never falls when `col` rises; microseconds for times.
 

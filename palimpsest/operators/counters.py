@@ -10,8 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from palimpsest.functions.times import Moment, moment
+from palimpsest.functions.times import Moment, midnight, moment, utc_date
 
 # How far back a source can be read, and how much one reading covers.
 LOOKBACK = "30 days"
@@ -37,7 +38,7 @@ def plan_windows(
     seen_type = state.schema["last_seen"].dataType
     t = moment(now, seen_type)
     limit = t - F.expr(f"interval {lookback}")
-    month_start = F.date_trunc("month", t).cast(seen_type)
+    month_start = midnight(F.trunc(utc_date(t, seen_type), "month"), seen_type)
     seen = state.groupBy(*by).agg(F.max("last_seen").alias("_seen"))
     plans = groups.select(*by).distinct().join(seen, list(by), "left")
     t0 = F.greatest(F.coalesce("_seen", month_start), limit)
@@ -69,7 +70,8 @@ def monthly_delta(
     events: DataFrame, keys: Sequence[str], measures: Sequence[str], at: str
 ) -> DataFrame:
     """Sums per key, year and month of the event time; NULL counts as 0."""
-    dated = events.withColumns({"month": F.month(at), "year": F.year(at)})
+    day = utc_date(F.col(at), events.schema[at].dataType)
+    dated = events.withColumns({"month": F.month(day), "year": F.year(day)})
     return dated.groupBy(*keys, *MONTH).agg(
         *[F.sum(F.coalesce(F.col(m), F.lit(0))).cast("bigint").alias(m) for m in measures],
         F.max("last_seen").alias("last_seen"),
@@ -99,12 +101,41 @@ def for_month(
     counters: DataFrame, now: Moment, month: int | None = None, year: int | None = None
 ) -> DataFrame:
     """Counters of one month, by default that of `now` in UTC."""
-    t = moment(now)
+    t = utc_date(moment(now), T.TimestampType())
     wanted_month = F.lit(month) if month else F.month(t)
     wanted_year = F.lit(year) if year else F.year(t)
     return counters.where((F.col("month") == wanted_month) & (F.col("year") == wanted_year))
 
 
+def read_month(
+    events: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[str],
+    at: str,
+    now: Moment,
+    month: int | None = None,
+    year: int | None = None,
+    lookback: str = LOOKBACK,
+    span: str = SPAN,
+) -> DataFrame:
+    """Usage of a month (that of `now` by default) straight from the events, without state.
+
+    The reading starts with the month, but not before `lookback`, and covers at most `span`. What it
+    holds of another month is left out.
+    """
+    dtype = events.schema[at].dataType
+    t = moment(now, dtype)
+    today = utc_date(t, dtype)
+    first = F.make_date(
+        F.lit(year) if year else F.year(today), F.lit(month) if month else F.month(today), F.lit(1)
+    )
+    start = midnight(first, dtype)
+    t0 = F.greatest(start, t - F.expr(f"interval {lookback}"))
+    t1 = F.least(t, t0 + F.expr(f"interval {span}"), midnight(F.add_months(first, 1), dtype))
+    inside = events.where((F.col(at) >= t0) & (F.col(at) < t1)).withColumn("last_seen", t1)
+    return monthly_delta(inside, keys, measures, at)
+
+
 def split_late(events: DataFrame, at: str, now: Moment, lookback: str = LOOKBACK) -> DataFrame:
     """`events` with `late`: older than the source can be read back from `now`."""
     limit = moment(now, events.schema[at].dataType) - F.expr(f"interval {lookback}")

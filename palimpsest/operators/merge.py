@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions.canonical import same_row
@@ -55,17 +55,16 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
 def unique_or_fail(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """`df`, failing at run time when a key occurs twice.
 
-    Numbering the rows of a key needs the layout and sort that a join on the key needs too.
+    The count is combined before the shuffle: repeats of a hot key fail without gathering.
     """
     rest = [c for c in df.columns if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*keys)
-    row = F.struct(*rest)
-    repeated = F.raise_error(F.lit(f"key {', '.join(keys)} occurs more than once in the batch"))
-    row_type = df.select(row).schema[0].dataType
-    checked = df.withColumn("_n", F.row_number().over(w)).select(
-        *keys, F.when(F.col("_n") > 1, repeated.cast(row_type)).otherwise(row).alias("_row")
+    counted = df.groupBy(*keys).agg(
+        F.first(F.struct(*rest)).alias("_first"), F.count(F.lit(1)).alias("_n")
     )
-    return checked.select(*_spread(df, keys, "_row"))
+    repeated = F.raise_error(F.lit(f"key {', '.join(keys)} occurs more than once in the batch"))
+    row_type = counted.schema["_first"].dataType
+    row = F.when(F.col("_n") > 1, repeated.cast(row_type)).otherwise(F.col("_first"))
+    return counted.select(*keys, row.alias("_row")).select(*_spread(df, keys, "_row"))
 
 
 def _spread(df: DataFrame, keys: Sequence[str], struct: str) -> list[Column]:
@@ -88,6 +87,12 @@ def prepare_batch(
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 
 
+def require_columns(df: DataFrame, columns: Sequence[str], what: str) -> None:
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{what} lacks column(s) {missing}")
+
+
 def scd2_merge(
     open_rows: DataFrame,
     batch: DataFrame,
@@ -105,6 +110,8 @@ def scd2_merge(
     A key missing from the batch stays open. `small_batch` says the batch fits a broadcast: the
     open side is then neither shuffled nor sorted. The caller checks the size (the store does).
     """
+    require_columns(batch, [*keys, *values], "the batch")
+    require_columns(open_rows, [*keys, *values, *VERSIONING], "the open side")
     t = moment(ts, open_rows.schema["active_from"].dataType)
     new = prepare_batch(batch, keys, on_duplicate, order).select(
         *keys, F.struct(*[F.col(v).cast(open_rows.schema[v].dataType).alias(v) for v in values]).alias("_new")
@@ -238,3 +245,25 @@ def merge_log(
     return rebuilt.select("*", part.alias(PART), none).unionByName(
         untouched.select("*", F.lit(OPEN).alias(PART), none)
     )
+
+
+def rebuild_late(
+    history: DataFrame,
+    log: DataFrame,
+    late: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    at: str,
+    tiebreak: Sequence[str] = (),
+    json_cols: Sequence[str] = (),
+    rows_per_slice: int | None = ROWS_PER_SLICE,
+) -> DataFrame:
+    """The history after observations that came late: their keys are rebuilt from the log and the
+    late rows together, all others keep their versions.
+    """
+    touched = require_keys(late, keys).select(*keys).distinct()
+    columns = [*keys, *values, at, *tiebreak]
+    again = log.join(touched, list(keys), "left_semi").select(*columns).unionByName(late.select(*columns))
+    rebuilt = history_from_log(again, keys, values, at, tiebreak, json_cols, rows_per_slice)
+    kept = history.join(touched, list(keys), "left_anti").select(*rebuilt.columns)
+    return kept.unionByName(rebuilt)

@@ -9,17 +9,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.operators.convert import explode_children, normalize, rename_raw
-from palimpsest.operators.counters import accumulate, in_windows, monthly_delta, plan_windows
+from palimpsest.operators.convert import normalize
 from palimpsest.operators.enrich import fill_by_range, ipv4_number, reuse
 from palimpsest.operators.route import route
-from palimpsest.resources import NETWORK, ORGANIZATION, RESOURCES, UPLINK, UPLINK_USAGE
+from palimpsest.plans.usage import refresh_usage, usage_events
+from palimpsest.resources import NETWORK, ORGANIZATION, RESOURCES, UPLINK
 from palimpsest.sources.landing import read_landing
 from palimpsest.sources.store import Commits, HistoryStore, KeyedStore
 from palimpsest.spec import ResourceSpec
 
-# Up to this many organizations, their reading windows are broadcast.
-FEW_GROUPS = 100_000
 # How many resources of a refresh are merged at the same time.
 CONCURRENT = 4
 
@@ -58,43 +56,6 @@ def enrich_uplinks(
     return filled.select(*uplinks.columns)
 
 
-def usage_events(raw: DataFrame) -> DataFrame:
-    """Landed usage readings as one row per uplink, with organization and time."""
-    flat = explode_children(raw, UPLINK_USAGE.children, ["orgId", "networkId", "ts"])
-    named = rename_raw(flat, UPLINK_USAGE.overrides)
-    return named.select(
-        "org_id",
-        "network_id",
-        "serial",
-        "interface",
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.col("sent").cast("bigint").alias("sent"),
-        F.col("received").cast("bigint").alias("received"),
-    )
-
-
-def refresh_usage(
-    store: KeyedStore, events: DataFrame, networks: DataFrame, now: datetime | str
-) -> dict[str, int]:
-    """Adds the readings of every organization's next window to the counters."""
-    by = ["org_id"]
-    owner = networks.select(F.col("id").alias("network_id"), F.col("organization_id").alias("org_id"))
-    state = store.rows().join(owner, "network_id")
-    # One row per organization, read for its size and for the join.
-    windows = plan_windows(events, state, by, now).persist()
-    try:
-        few = windows.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
-        keys, measures = ["network_id", "serial", "interface"], ["sent", "received"]
-        inside = in_windows(events, windows, by, "ts", few_groups=few)
-        return store.change(
-            monthly_delta(inside, keys, measures, "ts"),
-            now,
-            lambda held, new: accumulate(held, new, UPLINK_USAGE.keys, measures),
-        )
-    finally:
-        windows.unpersist()
-
-
 def refresh(
     spark: SparkSession,
     landing: str,
@@ -129,13 +90,13 @@ def refresh(
             return None
         if not spec.versioned:
             return refresh_usage(KeyedStore.of(spark, tables, spec), usage_events(raw), networks, ts)
-        batch = normalize(raw, spec)
+        batch = landed_rows = normalize(raw, spec)
         if spec.product_type:
             batch = route(batch, networks, spec.product_type)
         store = HistoryStore.of(spark, tables, spec)
         if spec is UPLINK:
             batch = enrich_uplinks(batch, store.open_rows(), registry)
-        return store.merge(batch, ts, **options)
+        return store.merge(batch, ts, sized_by=landed_rows, **options)
 
     counts: dict[str, dict[str, int]] = {}
     # Resources of one level write different tables: their jobs share the cluster.

@@ -13,6 +13,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # A commit writes open and closed rows to two folders; with writers for both at once its
+    # rows need no sort.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palimpsest.functions.times import Moment
+from palimpsest.functions.times import Moment, position
 from palimpsest.operators.evolve import empty_frame
 from palimpsest.operators.history import as_of
 from palimpsest.operators.merge import (
@@ -50,6 +50,14 @@ class Commit(NamedTuple):
     closed: int
 
 
+def at_most(df: DataFrame, n: int) -> bool:
+    """Whether a frame has no more than `n` rows.
+
+    Reads partitions one after the other until there are enough, so a large frame is hardly read.
+    """
+    return len(df.select(F.lit(1)).take(n + 1)) <= n
+
+
 def _micros(ts: datetime | str) -> int:
     parsed = datetime.fromisoformat(ts) if isinstance(ts, str) else ts
     if parsed.tzinfo is not None:
@@ -183,9 +191,14 @@ class HistoryStore:
         ts: datetime | str,
         version: int | None = None,
         small_rows: int = SMALL_BATCH,
+        sized_by: DataFrame | None = None,
         **options,
     ) -> dict[str, int]:
-        """Merges a snapshot taken at `ts`; returns the outcome counts, zeros included."""
+        """Merges a snapshot taken at `ts`; returns the outcome counts, zeros included.
+
+        A batch of at most `small_rows` rows is broadcast. `sized_by` is a frame with at least the
+        batch's rows that is cheaper to look at, for a batch that comes out of joins.
+        """
         known = self.commits.all()
         if version in known:
             return self.commits.read(version)["outcomes"]
@@ -193,10 +206,9 @@ class HistoryStore:
         if last is not None and _micros(ts) <= last:
             raise ValueError(f"snapshot of {ts} is not newer than the last commit")
         version = max(known, default=-1) + 1 if version is None else version
-        size = batch.limit(small_rows + 1).count()
-        if size == 0:
+        if batch.isEmpty():
             return self._no_outcomes()
-        small = size <= small_rows
+        small = at_most(batch if sized_by is None else sized_by, small_rows)
         if small:
             batch = batch.persist()
         try:
@@ -227,12 +239,9 @@ class HistoryStore:
         known = self.commits.all()
         if version in known:
             return self.commits.read(version)["outcomes"]
-        # Times without zone reach the driver as they are written, whatever its own zone.
-        time = F.col(at)
-        if isinstance(log.schema[at].dataType, T.TimestampType):
-            time = F.convert_timezone(F.current_timezone(), F.lit("UTC"), time.cast("timestamp_ntz"))
+        micros = position(F.col(at), log.schema[at].dataType)
         span = log.agg(
-            F.min(time).alias("first"), F.max(time).alias("last"), F.count(F.lit(1)).alias("rows")
+            F.min(micros).alias("first"), F.max(micros).alias("last"), F.count(F.lit(1)).alias("rows")
         ).first()
         if span["first"] is None:
             return self._no_outcomes()
@@ -240,24 +249,21 @@ class HistoryStore:
             # No key can be hot in a batch this small.
             rows_per_slice = None
         last = max((c.time for c in known.values()), default=None)
-        if last is not None and _micros(span["first"]) < last:
-            raise ValueError(f"log batch from {span['first']} is older than the last commit")
+        if last is not None and span["first"] < last:
+            first = _EPOCH + timedelta(microseconds=span["first"])
+            raise ValueError(f"log batch from {first} is older than the last commit")
         version = max(known, default=-1) + 1 if version is None else version
-        log = log.persist()
-        try:
-            merged = merge_log(
-                self.open_rows(before=version),
-                log,
-                self.keys,
-                self.values,
-                at,
-                tiebreak,
-                self.json_cols,
-                rows_per_slice,
-            )
-            return self._commit(merged, version, _micros(span["last"]))
-        finally:
-            log.unpersist()
+        merged = merge_log(
+            self.open_rows(before=version),
+            log,
+            self.keys,
+            self.values,
+            at,
+            tiebreak,
+            self.json_cols,
+            rows_per_slice,
+        )
+        return self._commit(merged, version, span["last"])
 
     def _no_outcomes(self) -> dict[str, int]:
         return {"inserted": 0, "updated": 0, "expired+inserted": 0}

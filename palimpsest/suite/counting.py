@@ -11,6 +11,7 @@ from palimpsest.operators.counters import (
     in_windows,
     monthly_delta,
     plan_windows,
+    read_month,
     split_late,
 )
 from palimpsest.plans.report import usage_report
@@ -124,6 +125,19 @@ def counters_of_month(spark, data):
     return for_month(state(spark, data), "1998-03-15")
 
 
+@query("""
+select l_suppkey, year(l_shipdate)::int as year, month(l_shipdate)::int as month,
+  sum(l_quantity::bigint)::bigint as quantity, timestamp '1998-07-10' + interval 14 day as last_seen
+from lineitem where l_shipdate >= timestamp '1998-08-09' - interval 30 day
+  and l_shipdate < timestamp '1998-07-10' + interval 14 day group by 1, 2, 3
+""")
+def usage_without_state(spark, data):
+    """July read on August 9: from the lookback limit, over 14 days."""
+    return read_month(
+        shipped(spark, data), ["l_suppkey"], ["quantity"], "l_shipdate", "1998-08-09", month=7
+    )
+
+
 @query("""
 select year(l_shipdate)::int as year, month(l_shipdate)::int as month,
   l_shipdate < timestamp '2001-11-05' - interval 30 day as late, count(*) as events

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palimpsest.operators.convert import explode_children
+from palimpsest.operators.history import history_from_log
 from palimpsest.operators.merge import (
     keyed_upsert,
     latest,
+    rebuild_late,
     outcome_counts,
     scd2_merge,
 )
@@ -256,6 +258,16 @@ def stream_merge_log(spark, data):
     return store.history()
 
 
+@query(EVENT_HISTORY + "select * from h")
+def late_events_rebuild(spark, data):
+    """Errors that arrive after everything else: only their users are rebuilt."""
+    events = table(spark, data, "events").select("user_id", "ts", "event_id", "event_type")
+    late = (F.col("event_type") == "error") & (F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz"))
+    log = events.where(~late)
+    names = (["user_id"], ["event_type"], "ts", ["event_id"])
+    return rebuild_late(history_from_log(log, *names), log, events.where(late), *names)
+
+
 @query(CUSTOMER_MERGE + """
 select c_custkey, c_name, c_nationkey, c_mktsegment, active_from, active_to,
   case when _part = 'open' and c_mktsegment <> 'REVIEW' then timestamp '2024-03-01' else last_seen end as last_seen

@@ -100,6 +100,22 @@ def test_delta_by_event_month_and_window(spark, few):
     assert got == {("k", 2026, 2): (6, end), ("k", 2026, 3): (0, end), ("k2", 2026, 3): (16, end)}
 
 
+def test_months_are_utc_in_any_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        events = spark.sql("select 'k' as k, timestamp '2026-03-01T02:00:00Z' as ts, 1L as n, timestamp '2026-03-02T00:00:00Z' as last_seen")
+        delta = monthly_delta(events, ["k"], ["n"], "ts")
+        assert [(r.year, r.month) for r in delta.collect()] == [(2026, 3)]
+        groups = spark.sql("select 'o' as org")
+        seen = spark.sql("select 'o' as org, cast(null as timestamp) as last_seen")
+        plan = plan_windows(groups, seen, ["org"], "2026-03-05").select(F.unix_seconds("t0").alias("t0"))
+        assert plan.first().t0 == 1772323200
+        have = delta.withColumn("last_seen", F.col("last_seen"))
+        assert for_month(have, "2026-03-01 01:00:00").count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_for_month(spark):
     have = state(spark, *[("n", "s", "w", m, y, 1, 1, NOW) for m, y in ((3, 2026), (2, 2026), (3, 2025))])
     assert for_month(have, NOW).count() == 1

@@ -120,6 +120,11 @@ def test_repeated_key_last_wins(spark):
         merge(spark, stored(spark), [], on_duplicate="maybe")
 
 
+def test_missing_columns_fail_at_once(spark):
+    with pytest.raises(ValueError, match="metadata"):
+        scd2_merge(stored(spark), stored(spark).drop("metadata"), ["id"], ["label", "metadata"], T1)
+
+
 def test_latest(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, None), ("b", 2, "y")], "k string, n int, v string")
     assert rows(latest(df, ["k"], ["n"])) == [{"k": "a", "n": 3, "v": None}, {"k": "b", "n": 2, "v": "y"}]

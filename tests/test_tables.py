@@ -13,6 +13,7 @@ from conftest import rows
 from palimpsest.operators.convert import normalize
 from palimpsest.plans.read import read, snapshot
 from palimpsest.plans.refresh import refresh, refresh_levels
+from palimpsest.plans.usage import usage_events, usage_of_month
 from palimpsest.resources import (
     ALERT,
     APPLIANCE_MALWARE,
@@ -219,6 +220,15 @@ def test_views(spark, tables):
     assert spark.sql("select count(*) as n from t_device where active_to is null").first().n == 3
 
 
+def test_usage_straight_from_the_readings(spark, landing):
+    events = usage_events(read_landing(spark, f"{landing}/uplink_usage", UPLINK_USAGE))
+    got = lambda *a: sorted((r.interface, r.month, r.sent, r.received) for r in usage_of_month(events, *a).collect())
+    assert got("2026-01-20") == [("wan1", 1, 110, 200), ("wan2", 1, 1, 1)]
+    # From January 9 on: the first reading is too old.
+    assert got("2026-02-08", 1) == [("wan1", 1, 10, 0), ("wan2", 1, 1, 1)]
+    assert got("2026-02-08") == []
+
+
 def test_refresh_order():
     names = [[s.name for s in level] for level in refresh_levels()]
     assert names[0] == ["organization"]
