@@ -46,10 +46,13 @@ def _typed(col: Column, have: T.DataType, want: Field, strict: bool) -> Column:
     return col.cast(want.dtype) if strict else col.try_cast(want.dtype)
 
 
-def normalize(df: DataFrame, spec: ResourceSpec, strict: bool = True) -> DataFrame:
+def normalize(
+    df: DataFrame, spec: ResourceSpec, strict: bool = True, keep: Sequence[str] = ()
+) -> DataFrame:
     """Raw records to the declared columns: unknown ones drop, missing ones are NULL.
 
-    `strict` fails on a value that does not fit its type; otherwise it becomes NULL.
+    `strict` fails on a value that does not fit its type; otherwise it becomes NULL. Columns in
+    `keep` go along as they are.
     """
     if spec.children and spec.children in df.columns:
         here = [c for c in df.columns if c != spec.children]
@@ -78,7 +81,7 @@ def normalize(df: DataFrame, spec: ResourceSpec, strict: bool = True) -> DataFra
                 nested = F.col(f"{outer}.{inner}").cast(f.dtype)
                 have = nested if have is None else F.coalesce(have, nested)
         columns.append((F.lit(None).cast(f.dtype) if have is None else have).alias(f.name))
-    return df.select(*columns)
+    return df.select(*columns, *keep)
 
 
 def business_columns(df: DataFrame, spec: ResourceSpec) -> DataFrame:

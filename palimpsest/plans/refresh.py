@@ -64,11 +64,12 @@ def refresh(
     resources: Sequence[str] | None = None,
     registry: DataFrame | None = None,
     small_rows: int | None = None,
+    buckets: int = 1,
 ) -> dict[str, dict[str, int]]:
     """Merges the snapshots under `landing` into the tables under `tables` as of `ts`.
 
     Per-network feeds keep only networks with the product type they need. A resource without
-    a landing folder is left as it is. Nothing happens without organizations. Returns the outcome
+    a landing folder is left as it is; tables are kept in `buckets` parts. Nothing happens without organizations. Returns the outcome
     counts per resource.
     """
     files = Commits(spark, landing)
@@ -93,7 +94,7 @@ def refresh(
         batch = landed_rows = normalize(raw, spec)
         if spec.product_type:
             batch = route(batch, networks, spec.product_type)
-        store = HistoryStore.of(spark, tables, spec)
+        store = HistoryStore.of(spark, tables, spec, buckets)
         if spec is UPLINK:
             batch = enrich_uplinks(batch, store.open_rows(), registry)
         return store.merge(batch, ts, sized_by=landed_rows, **options)

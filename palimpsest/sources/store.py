@@ -1,13 +1,14 @@
 """Versioned and keyed tables as Parquet files, with all-or-nothing commits.
 
-    <table>/data/<n>/_part=open        every current row after commit n
-    <table>/data/<n>/_part=closed      the rows closed by commit n, never rewritten
-    <table>/commits/<n>_<time>_<k>     written last; its time, and how many rows it closed
-
-Readers use the open rows of the last commit and the closed rows up to it, so a commit
-shows as a whole or not at all. A run that died leaves a folder no commit names; its retry
-overwrites it. Asking for a commit that exists changes nothing, which makes a
-redelivered streaming batch harmless.
+    <table>/data/<n>/_part=open/_bucket=<b>      the current rows of bucket b after commit n
+    <table>/data/<n>/_part=closed                 the rows closed by commit n, never rewritten
+    <table>/commits/<n>_<time>_<k>               written last; its time, and how many rows it closed
+
+A marker holds, for every bucket, the commit that last wrote its open rows. A merge reads and
+writes only the buckets its batch falls into. Readers use the open rows the last marker names
+and the closed rows of all markers, so a commit shows as a whole or not at all. A run that died
+leaves a folder no marker names; its retry overwrites it. Asking for a commit that exists
+changes nothing, which makes a redelivered streaming batch harmless. A table has one writer.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from palimpsest.operators.history import as_of
 from palimpsest.operators.merge import (
     CLOSED,
     OPEN,
+    OUTCOME,
     PART,
     UPSERTED,
     keyed_upsert,
@@ -40,6 +42,9 @@ from palimpsest.spec import ResourceSpec
 # A batch of at most this many rows is broadcast in a merge.
 SMALL_BATCH = 50_000
 
+# Like the merge's own columns, so that tables may use any name without an underscore.
+BUCKET = "_bucket"
+
 _EPOCH = datetime(1970, 1, 1)
 
 
@@ -121,7 +126,12 @@ class Commits:
 
 
 class HistoryStore:
-    """A versioned table."""
+    """A versioned table.
+
+    Its open rows lie in `buckets` parts by the first key column. Full snapshots of a table need one;
+    where batches cover a few networks or devices at a time, many buckets keep a merge as
+    small as its batch. The number is fixed for the life of a table.
+    """
 
     def __init__(
         self,
@@ -130,7 +140,9 @@ class HistoryStore:
         keys: Sequence[str],
         schema: T.StructType,
         json_cols: Sequence[str] = (),
+        buckets: int = 1,
     ):
+        self.buckets = buckets
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.schema, self.json_cols = list(keys), schema, list(json_cols)
         versioning = ("active_from", "active_to", "last_seen")
@@ -138,8 +150,10 @@ class HistoryStore:
         self.commits = Commits(spark, self.path)
 
     @classmethod
-    def of(cls, spark: SparkSession, root: str, spec: ResourceSpec) -> HistoryStore:
-        return cls(spark, f"{root}/{spec.name}", spec.keys, spec.schema, spec.json_cols)
+    def of(
+        cls, spark: SparkSession, root: str, spec: ResourceSpec, buckets: int = 1
+    ) -> HistoryStore:
+        return cls(spark, f"{root}/{spec.name}", spec.keys, spec.schema, spec.json_cols, buckets)
 
     def _data(self, version: int) -> str:
         return f"{self.path}/data/{version}"
@@ -147,17 +161,44 @@ class HistoryStore:
     def _empty(self) -> DataFrame:
         return empty_frame(self.spark, self.schema)
 
-    def open_rows(self, before: int | None = None) -> DataFrame:
-        """Current rows, of the last commit (before a given one)."""
+    def _bucket(self) -> Column:
+        if self.buckets == 1:
+            return F.lit(0)
+        return F.pmod(F.xxhash64(self.keys[0]), F.lit(self.buckets)).cast("int")
+
+    def _touched(self, batch: DataFrame) -> set[int]:
+        """The buckets of a batch: no more than the table has."""
+        if self.buckets == 1:
+            return {0}
+        key_type = self.schema[self.keys[0]].dataType
+        typed = batch.select(F.col(self.keys[0]).cast(key_type).alias(self.keys[0]))
+        return {r[0] for r in typed.select(self._bucket()).distinct().collect()}
+
+    def _open_parts(self, before: int | None = None) -> dict[int, int]:
+        """Bucket -> the commit that last wrote it."""
         version = self.commits.last(before)
         if version is None:
+            return {}
+        body = self.commits.read(version)
+        if body["buckets"] != self.buckets:
+            raise ValueError(f"{self.path} has {body['buckets']} buckets, not {self.buckets}")
+        return {int(b): v for b, v in body["open"].items()}
+
+    def _open_dir(self, bucket: int, version: int) -> str:
+        return f"{self._data(version)}/{PART}={OPEN}/{BUCKET}={bucket}"
+
+    def open_rows(self, before: int | None = None, buckets: set[int] | None = None) -> DataFrame:
+        """Current rows after the last commit (before a given one), of some buckets or all."""
+        parts = self._open_parts(before)
+        dirs = [self._open_dir(b, v) for b, v in parts.items() if buckets is None or b in buckets]
+        return self._read(dirs)
+
+    def _read(self, dirs: list[str]) -> DataFrame:
+        if not dirs:
             return self._empty()
-        part = f"{self._data(version)}/{PART}={OPEN}"
-        if self.commits.exists(part):
-            return self.spark.read.schema(self.schema).parquet(part)
-        if self.commits.read(version)["open_rows"] == 0:
-            return self._empty()
-        raise FileNotFoundError(f"open rows of commit {version} are gone")
+        # The folders are named one by one: nothing is to be inferred from their names.
+        reader = self.spark.read.schema(self.schema).option("recursiveFileLookup", True)
+        return reader.parquet(*dirs)
 
     def closed_rows(self, after: Moment | None = None) -> DataFrame:
         """Closed rows; those closed by commits later than `after` only."""
@@ -168,7 +209,7 @@ class HistoryStore:
             for v, commit in sorted(self.commits.all().items())
             if commit.closed and (start is None or commit.time > start)
         ]
-        return self.spark.read.schema(self.schema).parquet(*wanted) if wanted else self._empty()
+        return self._read(wanted)
 
     def history(self) -> DataFrame:
         """All versions."""
@@ -212,8 +253,9 @@ class HistoryStore:
         if small:
             batch = batch.persist()
         try:
+            touched = self._touched(batch)
             merged = scd2_merge(
-                self.open_rows(before=version),
+                self.open_rows(version, touched),
                 batch,
                 self.keys,
                 self.values,
@@ -222,7 +264,7 @@ class HistoryStore:
                 small_batch=small,
                 **options,
             )
-            return self._commit(merged, version, _micros(ts))
+            return self._commit(merged, version, _micros(ts), touched)
         finally:
             if small:
                 batch.unpersist()
@@ -253,8 +295,9 @@ class HistoryStore:
             first = _EPOCH + timedelta(microseconds=span["first"])
             raise ValueError(f"log batch from {first} is older than the last commit")
         version = max(known, default=-1) + 1 if version is None else version
+        touched = self._touched(log)
         merged = merge_log(
-            self.open_rows(before=version),
+            self.open_rows(version, touched),
             log,
             self.keys,
             self.values,
@@ -263,27 +306,55 @@ class HistoryStore:
             self.json_cols,
             rows_per_slice,
         )
-        return self._commit(merged, version, span["last"])
+        return self._commit(merged, version, span["last"], touched)
+
+    def load(self, history: DataFrame, ts: datetime | str) -> None:
+        """The first commit of a table from a finished history, seen up to `ts`."""
+        if self.commits.all():
+            raise ValueError(f"{self.path} has commits already")
+        part = F.when(F.col("active_to").isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
+        tagged = history.select(*self.schema.names, part.alias(PART)).withColumn(
+            OUTCOME, F.lit(None).cast("string")
+        )
+        touched = self._touched(history.where(F.col("active_to").isNull()))
+        self._commit(tagged, 0, _micros(ts), touched)
 
     def _no_outcomes(self) -> dict[str, int]:
         return {"inserted": 0, "updated": 0, "expired+inserted": 0}
 
-    def _commit(self, merged: DataFrame, version: int, micros: int) -> dict[str, int]:
+    def _commit(
+        self, merged: DataFrame, version: int, micros: int, touched: set[int]
+    ) -> dict[str, int]:
+        # Closed rows are read by commit, never by bucket: they stay together.
+        bucket = F.when(F.col(PART) == OPEN, self._bucket()).otherwise(F.lit(0))
+        rows = merged.withColumn(BUCKET, bucket)
+        if self.buckets > 1:
+            # Few files per bucket, and a hot bucket still spread over several tasks.
+            rows = rows.hint("rebalance", PART, BUCKET)
         seen = Observation()
         sizes = [F.count_if(F.col(PART) == part).alias(f"{part}_rows") for part in (OPEN, CLOSED)]
-        observed = merged.observe(seen, *sizes, *outcome_columns())
-        columns = [*self.schema.names, PART]
-        observed.select(*columns).write.mode("overwrite").partitionBy(PART).parquet(self._data(version))
+        # Counted in the stage that writes: a retried task counts once.
+        rows = rows.observe(seen, *sizes, *outcome_columns()).select(*self.schema.names, PART, BUCKET)
+        rows.write.mode("overwrite").partitionBy(PART, BUCKET).parquet(self._data(version))
         counts = {k: v or 0 for k, v in seen.get.items()}
         open_rows, closed_rows = counts.pop("open_rows"), counts.pop("closed_rows")
-        body = {"open_rows": open_rows, "outcomes": counts}
+        parts = self._open_parts(before=version)
+        if open_rows:
+            parts |= {b: version for b in touched}
+        body = {"buckets": self.buckets, "open": parts, "outcomes": counts}
         self.commits.write(version, Commit(micros, closed_rows), body)
         return counts
 
-    def drop_old(self, keep: int = 3) -> list[int]:
-        """Deletes the open rows of all but the last `keep` commits. Closed rows stay."""
-        old = sorted(self.commits.all())[:-keep]
-        return [v for v in old if self.commits.delete(f"{self._data(v)}/{PART}={OPEN}")]
+    def drop_old(self, keep: int = 3) -> int:
+        """Deletes open rows that none of the last `keep` commits uses; closed rows stay.
+
+        Returns how many folders went.
+        """
+        versions = sorted(self.commits.all())
+        parts = {v: set(map(tuple, self._open_parts(v + 1).items())) for v in versions}
+        used = set().union(*[parts[v] for v in versions[-keep:]])
+        unused = set().union(*parts.values()) - used
+        return sum(self.commits.delete(self._open_dir(b, v)) for b, v in sorted(unused))
 
 
 class KeyedStore:

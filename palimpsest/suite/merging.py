@@ -276,7 +276,8 @@ from m
 def store_merge_snapshots(spark, data):
     """Three snapshots committed to a table; the third repeats what is open, without one segment."""
     schema = opened(first_snapshot(spark, data), T0).schema
-    store = HistoryStore(spark, new_folder(spark, "customers"), CUSTOMER_KEYS, schema)
+    folder = new_folder(spark, "customers")
+    store = HistoryStore(spark, folder, CUSTOMER_KEYS, schema, buckets=8)
     store.merge(first_snapshot(spark, data), T0)
     store.merge(second_snapshot(spark, data), T1, small_rows=0)
     store.merge(store.open_rows().where(F.col("c_mktsegment") != "REVIEW"), T2)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from palimpsest.operators.convert import normalize
+from palimpsest.operators.evolve import Add, Cast, Rename, upgrade
 from palimpsest.plans.read import read, snapshot
 from palimpsest.plans.refresh import refresh, refresh_levels
 from palimpsest.plans.usage import usage_events, usage_of_month
@@ -248,16 +249,17 @@ def test_refresh_without_organizations(spark, tmp_path):
 SCHEMA = "k int, v string, active_from timestamp, active_to timestamp, last_seen timestamp"
 
 
-def new_store(spark, path):
-    return HistoryStore(spark, str(path), ["k"], spark.createDataFrame([], SCHEMA).schema)
+def new_store(spark, path, buckets=1):
+    return HistoryStore(spark, str(path), ["k"], spark.createDataFrame([], SCHEMA).schema, buckets=buckets)
 
 
 def batch(spark, *items):
     return spark.createDataFrame(list(items), "k int, v string")
 
 
-def test_commits_and_time_travel(spark, tmp_path):
-    store = new_store(spark, tmp_path / "t")
+@pytest.mark.parametrize("buckets", [1, 8])
+def test_commits_and_time_travel(spark, tmp_path, buckets):
+    store = new_store(spark, tmp_path / "t", buckets)
     assert store.history().count() == 0 and store.at("2026-01-01").count() == 0
     assert store.merge(batch(spark, (1, "a"), (2, "a")), "2026-01-01") == {"inserted": 2, "updated": 0, "expired+inserted": 0}
     assert store.merge(batch(spark, (1, "b")), "2026-01-02") == {"inserted": 0, "updated": 0, "expired+inserted": 1}
@@ -287,12 +289,50 @@ def test_unfinished_commit_is_not_seen(spark, tmp_path):
     store.merge(batch(spark, (1, "a")), "2026-01-01")
     # A run that died after writing data: its folder has no commit marker.
     ghost = store.open_rows().withColumn("v", F.lit("ghost")).withColumn("_part", F.lit("closed"))
-    ghost.write.partitionBy("_part").parquet(store._data(1))
+    ghost.withColumn("_bucket", F.lit(0)).write.partitionBy("_part", "_bucket").parquet(store._data(1))
     assert [r.v for r in store.history().collect()] == ["a"]
     store.merge(batch(spark, (1, "b")), "2026-01-02", version=1)
     assert sorted(r.v for r in store.history().collect()) == ["a", "b"]
 
 
+def test_buckets_limit_a_merge(spark, tmp_path):
+    store = new_store(spark, tmp_path / "t", 16)
+    store.merge(batch(spark, *[(k, "a") for k in range(200)]), "2026-01-01")
+    first = store._open_parts()
+    assert set(first) == set(range(16)) and set(first.values()) == {0}
+    store.merge(batch(spark, (7, "b")), "2026-01-02")
+    (changed,) = [b for b, v in store._open_parts().items() if v == 1]
+    assert os.listdir(f"{store._data(1)}/_part=open") == [f"_bucket={changed}"]
+    assert store.open_rows().count() == 200 and store.history().count() == 201
+    log = spark.createDataFrame([(7, "c", datetime(2026, 1, 3)), (7, "b", datetime(2026, 1, 4))], "k int, v string, t timestamp")
+    store.merge_log(log, "t")
+    assert sorted(r.v for r in store.history().where("k = 7").collect()) == ["a", "b", "b", "c"]
+    assert store.open_rows().count() == 200
+    # Of the last commit's buckets, 15 still lie in the first commit.
+    assert store.drop_old(keep=1) == 2
+    assert store.open_rows().count() == 200
+    with pytest.raises(ValueError, match="buckets"):
+        new_store(spark, tmp_path / "t", 8).open_rows()
+
+
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_load_a_history_and_evolve_it(spark, tmp_path, buckets):
+    old = new_store(spark, tmp_path / "old")
+    old.merge(batch(spark, (1, "7"), (2, "8")), "2026-01-01")
+    old.merge(batch(spark, (1, "9")), "2026-01-02")
+    steps = [Rename("v", "n"), Cast("n", "int"), Add("psk")]
+    moved = upgrade(old.history(), steps)
+    order = ["k", "n", "psk", "active_from", "active_to", "last_seen"]
+    new = HistoryStore(spark, str(tmp_path / "new"), ["k"], moved.select(*order).schema, buckets=buckets)
+    new.load(moved, "2026-01-02")
+    assert sorted((r.k, r.n) for r in new.at("2026-01-01").collect()) == [(1, 7), (2, 8)]
+    assert sorted((r.k, r.n) for r in new.open_rows().collect()) == [(1, 9), (2, 8)]
+    same = spark.createDataFrame([(1, 9, None)], "k int, n int, psk string")
+    assert new.merge(same, "2026-01-03") == {"inserted": 0, "updated": 1, "expired+inserted": 0}
+    with pytest.raises(ValueError):
+        new.load(moved, "2026-01-04")
+
+
 def test_redelivered_batch_counts_once(spark, tmp_path):
     store = new_store(spark, tmp_path / "t")
     first = store.merge(batch(spark, (1, "a")), "2026-01-01", version=0)
@@ -304,7 +344,7 @@ def test_drop_old(spark, tmp_path):
     store = new_store(spark, tmp_path / "t")
     for day, v in enumerate("abcd", 1):
         store.merge(batch(spark, (1, v)), f"2026-01-0{day}")
-    assert store.drop_old(keep=1) == [0, 1, 2]
+    assert store.drop_old(keep=1) == 3
     assert store.history().count() == 4
     assert [r.v for r in store.at("2026-01-02").collect()] == ["b"]
 
@@ -358,6 +398,19 @@ def test_stream_of_snapshots(spark, tmp_path):
     assert store.commits.all().keys() == {0, 1}
 
 
+def test_stream_of_timed_snapshots(spark, tmp_path):
+    """Snapshots that carry their own time; two of them land at once."""
+    store = HistoryStore.of(spark, str(tmp_path / "t"), DEVICE, buckets=4)
+    os.makedirs(tmp_path / "landing")
+    with open(tmp_path / "landing" / "all.json", "w") as out:
+        for day, status in ((1, "online"), (2, "online"), (3, "offline")):
+            out.write(json.dumps({"serial": "s1", "status": status, "takenAt": f"2026-01-0{day}T00:00:00Z"}) + "\n")
+    raw = stream_landing(spark, str(tmp_path / "landing"), DEVICE, extra="takenAt timestamp")
+    stream_log(normalize(raw, DEVICE, keep=["takenAt"]), store, "takenAt").awaitTermination()
+    got = [(r.status, str(r.active_from)[:10], str(r.last_seen)[:10]) for r in store.history().orderBy("active_from").collect()]
+    assert got == [("online", "2026-01-01", "2026-01-02"), ("offline", "2026-01-03", "2026-01-03")]
+
+
 def test_stream_log_refuses_old_batches(spark, tmp_path):
     store = new_store(spark, tmp_path / "t")
     source = str(tmp_path / "source")
