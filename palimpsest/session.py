@@ -47,6 +47,9 @@ def session(
     return builder.getOrCreate()
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -57,6 +60,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    made = tempfile.mkdtemp(prefix="palimpsest-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_DIRS:
+        _OWN_DIRS[app] = tempfile.mkdtemp(prefix="palimpsest-")
+    return _OWN_DIRS[app]
