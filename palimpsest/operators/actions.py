@@ -50,7 +50,7 @@ def update_actions(
     desired: DataFrame, current: DataFrame, spec: ResourceSpec, sensitive: bool = False
 ) -> DataFrame:
     """One update action per row whose desired state differs, carrying only the changed fields."""
-    values = [v for v in spec.values if sensitive or v not in spec.sensitive]
+    values = spec.shown(sensitive)
     changed = changed_fields(desired, current, spec.keys, values, spec.json_cols)
     body = payload(payload_fields(spec, values, sensitive), only=F.col("changed"))
     return changed.select(

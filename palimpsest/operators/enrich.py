@@ -89,7 +89,6 @@ def range_lookup(
     no range holds are absent. Ranges and points meet in an equi join on aligned blocks: no
     point is compared with a range that does not hold it. Whole numbers only.
     """
-    levels = -(-bits // STEP)
     blocks = range_blocks(
         ranges.select(
             F.col(start).cast("bigint").alias("_start"),
@@ -106,11 +105,15 @@ def range_lookup(
         F.col("_rank"), (F.col("_start") - F.col("_end")), -F.col("_start"), F.col("_value")
     )
     best = blocks.groupBy("_level", "_block").agg(F.max(order).alias("_best"))
+    # Usually ranges need few of the levels; points are spread over those only. There are no more
+    # than bits/STEP + 1 of them, so they are looked up before the plan is built.
+    used = sorted(r[0] for r in blocks.select("_level").distinct().collect())
+    levels = F.array(*[F.lit(level) for level in used]).cast("array<int>")
     places = (
         points.select(F.col(point).alias("_point"))
         .where(F.col("_point").isNotNull())
         .distinct()
-        .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+        .withColumn("_level", F.explode(levels))
         .withColumn("_block", _floor_block(F.col("_point").cast("bigint"), F.col("_level")))
     )
     return (

@@ -42,6 +42,9 @@ from palimpsest.spec import ResourceSpec
 # A batch of at most this many rows is broadcast in a merge.
 SMALL_BATCH = 50_000
 
+# Up to this many partitions a keyed commit is written as it comes.
+FEW_PARTITIONS = 4
+
 # Like the merge's own columns, so that tables may use any name without an underscore.
 BUCKET = "_bucket"
 
@@ -55,6 +58,12 @@ class Commit(NamedTuple):
     closed: int
 
 
+def _overwrite(rows: DataFrame, folder: str, partition_by: Sequence[str]) -> None:
+    """Writes a folder anew: what an unfinished run left in it goes, in any session."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+
+
 def at_most(df: DataFrame, n: int) -> bool:
     """Whether a frame has no more than `n` rows.
 
@@ -335,7 +344,7 @@ class HistoryStore:
         sizes = [F.count_if(F.col(PART) == part).alias(f"{part}_rows") for part in (OPEN, CLOSED)]
         # Counted in the stage that writes: a retried task counts once.
         rows = rows.observe(seen, *sizes, *outcome_columns()).select(*self.schema.names, PART, BUCKET)
-        rows.write.mode("overwrite").partitionBy(PART, BUCKET).parquet(self._data(version))
+        _overwrite(rows, self._data(version), [PART, BUCKET])
         counts = {k: v or 0 for k, v in seen.get.items()}
         open_rows, closed_rows = counts.pop("open_rows"), counts.pop("closed_rows")
         parts = self._open_parts(before=version)
@@ -442,10 +451,11 @@ class KeyedStore:
                 return {UPSERTED: 0}
             before = self._partitions(before=version)
             held = self._read({p: v for p, v in before.items() if p in touched})
-            writer = combine(held, batch).select(*self.schema.names).write.mode("overwrite")
-            if self.partition_by:
-                writer = writer.partitionBy(*self.partition_by)
-            writer.parquet(self._data(version))
+            rows = combine(held, batch).select(*self.schema.names)
+            if len(touched) > FEW_PARTITIONS:
+                # Not one file per task and partition.
+                rows = rows.hint("rebalance", *self.partition_by)
+            _overwrite(rows, self._data(version), self.partition_by)
             outcomes = {UPSERTED: batch.count()}
         finally:
             batch.unpersist()

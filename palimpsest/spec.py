@@ -94,6 +94,10 @@ class ResourceSpec:
     def sensitive(self) -> list[str]:
         return [f.name for f in self.fields if f.sensitive]
 
+    def shown(self, sensitive: bool = False) -> list[str]:
+        """Business columns for diffs and updates; secrets only where asked for."""
+        return [v for v in self.values if sensitive or v not in self.sensitive]
+
     @property
     def required(self) -> list[str]:
         return [f.name for f in self.fields if f.required or f.name in self.keys]

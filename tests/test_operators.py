@@ -67,6 +67,12 @@ def test_range_lookup(spark, bits):
     assert {r["p"]: r["v"] for r in got.collect()} == brute_lookup(points, ranges)
 
 
+def test_range_lookup_without_ranges(spark):
+    points = spark.createDataFrame([(1,)], "p bigint")
+    ranges = spark.createDataFrame([], "a bigint, b bigint, v string, rank int")
+    assert range_lookup(points, ranges, "p", "a", "b", "v", "rank").count() == 0
+
+
 def test_fill_by_range(spark):
     df = spark.createDataFrame([("a", 5, "kept"), ("b", 5, None), ("c", 50, None), ("d", None, None)], "k string, p bigint, v string")
     ranges = spark.createDataFrame([(0, 9, "found", 1)], "a bigint, b bigint, v string, rank int")

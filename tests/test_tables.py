@@ -284,7 +284,9 @@ def test_as_of_reads_only_later_commits(spark, tmp_path):
     assert len(late.inputFiles()) == 1 and [r.v for r in late.collect()] == ["c"]
 
 
-def test_unfinished_commit_is_not_seen(spark, tmp_path):
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_unfinished_commit_is_not_seen(spark, tmp_path, mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
     store = new_store(spark, tmp_path / "t")
     store.merge(batch(spark, (1, "a")), "2026-01-01")
     # A run that died after writing data: its folder has no commit marker.
@@ -293,6 +295,7 @@ def test_unfinished_commit_is_not_seen(spark, tmp_path):
     assert [r.v for r in store.history().collect()] == ["a"]
     store.merge(batch(spark, (1, "b")), "2026-01-02", version=1)
     assert sorted(r.v for r in store.history().collect()) == ["a", "b"]
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
 def test_buckets_limit_a_merge(spark, tmp_path):
