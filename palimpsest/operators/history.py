@@ -16,6 +16,7 @@ from palimpsest.operators.slices import (
     HOT,
     ROWS_PER_SLICE,
     SLICE,
+    any_hot,
     by_slice,
     in_slice,
     sliced,
@@ -39,11 +40,15 @@ def history_from_log(
     Equals merging the observations one after the other. Of several rows with the same key and
     time the last by `tiebreak` counts, so no version has zero length. The log
     crosses the network once, by key; detecting changes, dropping repeats and closing versions
-    all use that one layout and sort. Where one key repeats at one time without bound, reduce the
-    log with `latest` first.
+    all use that one layout and sort. Repeats of a hot key at one time are reduced before that.
     """
     rows, slicing = sliced(log.select(*keys, *values, at, *tiebreak), keys, at, rows_per_slice)
     state = F.struct(F.col(at).alias("at"), *values)
+    if slicing:
+        last = F.max_by(F.struct(*values, *tiebreak), F.struct(at, *tiebreak)).alias("_last")
+        cold, hot = rows.where(~F.col(HOT)), rows.where(HOT)
+        reduced = hot.groupBy(*keys, SLICE, HOT, at).agg(last).select(*keys, SLICE, HOT, at, "_last.*")
+        rows = cold.unionByName(reduced)
 
     # What a slice inherits: the last row before it, and the last time its key was seen.
     if slicing:
@@ -153,20 +158,47 @@ def as_of_join(
 
     Facts and version starts are put in one time order per key, and every fact takes the
     latest start before it. A key with many facts and many versions costs a sort, not
-    their product. `how` is "inner" or "left".
+    their product. Where a key is hot, this is done for its distinct times, cut into slices, and
+    the facts join the result by key and time. `how` is "inner" or "left".
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unknown join type {how!r}")
     carried = ["active_from", "active_to", *values]
-    kept = [c for c in facts.columns if c not in keys]
-    version_type = history.select(F.struct(*carried)).schema[0].dataType
-    fact_type = facts.select(F.struct(*kept)).schema[0].dataType
-    time_type = facts.schema[at].dataType
     # A fact without key or time has no version; such facts must not gather in one task.
     known = F.col(at).isNotNull()
     for key in keys:
         known = known & F.col(key).isNotNull()
-    entries = facts.where(known).select(
+    timed = facts.where(known)
+    busy = rows_per_slice is not None and any_hot(
+        facts.select(*keys).union(history.select(*keys)), keys, rows_per_slice
+    )
+    if busy:
+        times = timed.select(*keys, at).distinct()
+        found = _matched(times, history, keys, at, carried, rows_per_slice)
+        joined = timed.join(found, [*keys, at], how).select(*facts.columns, *carried)
+    else:
+        joined = _matched(timed, history, keys, at, carried, None, how)
+    if how == "inner":
+        return joined
+    nothing = [F.lit(None).cast(history.schema[c].dataType).alias(c) for c in carried]
+    return joined.unionByName(facts.where(~known).select("*", *nothing))
+
+
+def _matched(
+    facts: DataFrame,
+    history: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    carried: Sequence[str],
+    rows_per_slice: int | None,
+    how: str = "inner",
+) -> DataFrame:
+    """The facts, none without key or time, with the columns of their version."""
+    kept = [c for c in facts.columns if c not in keys]
+    version_type = history.select(F.struct(*carried)).schema[0].dataType
+    fact_type = facts.select(F.struct(*kept)).schema[0].dataType
+    time_type = facts.schema[at].dataType
+    entries = facts.select(
         *keys,
         F.col(at).alias("_at"),
         F.struct(*kept).alias("_fact"),
@@ -182,9 +214,8 @@ def as_of_join(
     rows, slicing = sliced(entries, keys, "_at", rows_per_slice)
     # At equal times the version comes first: validity includes its start.
     order = (F.col("_at"), F.col("_fact").isNotNull())
-    filled = rows.withColumn(
-        "_match", F.last("_version", ignorenulls=True).over(in_slice(keys, *order).rowsBetween(Window.unboundedPreceding, 0))
-    )
+    so_far = in_slice(keys, *order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = rows.withColumn("_match", F.last("_version", ignorenulls=True).over(so_far))
     if slicing:
         tails = summarise(
             rows.where(F.col("_version").isNotNull()), keys, F.max_by("_version", "_at").alias("_tail")
@@ -193,10 +224,9 @@ def as_of_join(
         slots = summarise(rows, keys, F.count(F.lit(1)).alias("_rows")).join(
             tails, [*keys, SLICE], "left"
         )
+        earlier = by_slice(keys).rowsBetween(Window.unboundedPreceding, -1)
         before = slots.select(
-            *keys,
-            SLICE,
-            F.last("_tail", ignorenulls=True).over(by_slice(keys).rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+            *keys, SLICE, F.last("_tail", ignorenulls=True).over(earlier).alias("_before")
         )
         filled = filled.join(before, [*keys, SLICE], "left").withColumn(
             "_match", F.coalesce("_match", "_before")
@@ -207,13 +237,7 @@ def as_of_join(
     )
     if how == "inner":
         filled = filled.where(valid)
-    joined = filled.select(
+    return filled.select(
         *[F.col(c) if c in keys else F.col(f"_fact.{c}").alias(c) for c in facts.columns],
         *[F.when(valid, F.col(f"_match.{c}")).alias(c) for c in carried],
     )
-    if how == "inner":
-        return joined
-    unknown = facts.where(~known).select(
-        "*", *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in carried]
-    )
-    return joined.unionByName(unknown)

@@ -48,6 +48,11 @@ def hot_keys(
     )
 
 
+def any_hot(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> bool:
+    """Whether the sample shows a hot key."""
+    return hot_keys(df, keys, rows_per_slice, max_hot=1).toArrow().num_rows > 0
+
+
 def _sample(df: DataFrame, fraction: float) -> DataFrame:
     return df if fraction >= 1 else df.sample(fraction, seed=1)
 

@@ -156,6 +156,19 @@ def test_as_of_join(spark, per_slice):
         as_of_join(df, stored, ["k"], "t", ["v"], how="full")
 
 
+@pytest.mark.parametrize("per_slice", [None, 50])
+def test_one_key_at_one_time(spark, per_slice):
+    """Most rows share their key and their time: history keeps the last, the join keeps all."""
+    log = random_log(13, size=100) + [(0, "z", 1, START + timedelta(minutes=70), n) for n in range(1000, 1600)]
+    df = spark.createDataFrame(log, LOG)
+    history = history_from_log(df, ["k"], ["v", "w"], "t", ["n"], rows_per_slice=per_slice)
+    assert as_text(history) == fold(log)
+    facts = df.select("k", F.col("t").alias("at"), "n")
+    joined = as_of_join(facts, history, ["k"], "at", ["v"], rows_per_slice=per_slice)
+    got = joined.where("k = 0 and minute(at) = 10 and hour(at) = 1").groupBy("v").count().collect()
+    assert joined.count() == len(log) and max(r["count"] for r in got if r.v == "z") >= 600
+
+
 def test_slices_follow_the_order(spark):
     df = spark.range(1000).select((F.col("id") % 2).alias("k"), F.col("id").alias("x"))
     cut, any_hot = sliced(df.where("k = 0 or x < 10"), ["k"], "x", rows_per_slice=100)
