@@ -16,8 +16,8 @@ from palimpsest.operators.slices import (
     HOT,
     ROWS_PER_SLICE,
     SLICE,
-    any_hot,
     by_slice,
+    found_hot,
     in_slice,
     sliced,
     summarise,
@@ -158,8 +158,8 @@ def as_of_join(
 
     Facts and version starts are put in one time order per key, and every fact takes the
     latest start before it. A key with many facts and many versions costs a sort, not
-    their product. Where a key is hot, this is done for its distinct times, cut into slices, and
-    the facts join the result by key and time. `how` is "inner" or "left".
+    their product. For hot keys this is done with their distinct times, cut into slices, and
+    their facts join the result by key and time. `how` is "inner" or "left".
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unknown join type {how!r}")
@@ -169,15 +169,20 @@ def as_of_join(
     for key in keys:
         known = known & F.col(key).isNotNull()
     timed = facts.where(known)
-    busy = rows_per_slice is not None and any_hot(
-        facts.select(*keys).union(history.select(*keys)), keys, rows_per_slice
-    )
-    if busy:
-        times = timed.select(*keys, at).distinct()
-        found = _matched(times, history, keys, at, carried, rows_per_slice)
-        joined = timed.join(found, [*keys, at], how).select(*facts.columns, *carried)
-    else:
+    hot = None
+    if rows_per_slice is not None:
+        hot = found_hot(facts.select(*keys).union(history.select(*keys)), keys, rows_per_slice)
+    if hot is None:
         joined = _matched(timed, history, keys, at, carried, None, how)
+    else:
+        only = F.broadcast(hot.select(*keys))
+        cold_facts, cold_history = (d.join(only, list(keys), "left_anti") for d in (timed, history))
+        hot_facts, hot_history = (d.join(only, list(keys), "left_semi") for d in (timed, history))
+        times = hot_facts.select(*keys, at).distinct()
+        found = _matched(times, hot_history, keys, at, carried, rows_per_slice)
+        joined = _matched(cold_facts, cold_history, keys, at, carried, None, how).unionByName(
+            hot_facts.join(found, [*keys, at], how).select(*facts.columns, *carried)
+        )
     if how == "inner":
         return joined
     nothing = [F.lit(None).cast(history.schema[c].dataType).alias(c) for c in carried]

@@ -48,9 +48,11 @@ def hot_keys(
     )
 
 
-def any_hot(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> bool:
-    """Whether the sample shows a hot key."""
-    return hot_keys(df, keys, rows_per_slice, max_hot=1).toArrow().num_rows > 0
+def found_hot(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> DataFrame | None:
+    """The hot keys as a table small enough to broadcast, or None if there are none."""
+    hot = hot_keys(df, keys, rows_per_slice)
+    found = hot.toArrow()
+    return df.sparkSession.createDataFrame(found, hot.schema) if found.num_rows else None
 
 
 def _sample(df: DataFrame, fraction: float) -> DataFrame:
@@ -84,13 +86,11 @@ def sliced(
     whole = df.withColumn(SLICE, F.lit(0).cast("bigint")).withColumn(HOT, F.lit(False))
     if rows_per_slice is None:
         return whole, False
-    spark = df.sparkSession
-    hot = hot_keys(df, keys, rows_per_slice)
-    found = hot.toArrow()
-    if found.num_rows == 0:
+    hot = found_hot(df, keys, rows_per_slice)
+    if hot is None:
         return whole, False
-    cuts = _cuts(df, keys, order, spark.createDataFrame(found, hot.schema), rows_per_slice)
-    cuts = spark.createDataFrame(cuts.toArrow(), cuts.schema)
+    cuts = _cuts(df, keys, order, hot, rows_per_slice)
+    cuts = df.sparkSession.createDataFrame(cuts.toArrow(), cuts.schema)
 
     marked = df.join(F.broadcast(cuts), list(keys), "left")
     is_hot = F.col("_borders").isNotNull()
