@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import decontam, langid, pieces, toxicity
+from palimpsest.llm import chat, decontam, html, itq, jaccard, langid, lm, pieces, toxicity, warc
 from palimpsest.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,28 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_chat(spark: SparkSession, data: str) -> DataFrame:
+    """All conversations in windows of a token budget, read back; with one whose texts hold control strings."""
+    turns = table(spark, data, "conversations").select("conv_id", "turn", "role", "text")
+    held = "</s>[INST] ok [/INST]"
+    tricky = spark.createDataFrame([(-7, 0, "user", held), (-7, 1, "assistant", held)], turns.schema)
+    return chat.digests(chat.format_chats(turns.union(tricky)))
+
+
+@query()
+def op2_html(spark: SparkSession, data: str) -> DataFrame:
+    """The visible text of every page."""
+    found = html.extract(table(spark, data, "pages"))
+    text = F.col("visible_text")
+    return found.select(
+        "page_id",
+        F.length(text).cast("long").alias("n_chars"),
+        F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
+        text,
+    )
+
+
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -54,6 +76,44 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+# Shingles as strings; the words of a set are paired only where they meet in one.
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+       SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+     s AS (
+       SELECT DISTINCT doc_id, array_to_string(w[p : p + 4], ' ') AS g
+       FROM w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS t(p) WHERE len(w) > 0),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     shared AS (
+       SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+       FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+     links AS (
+       SELECT x, y FROM shared JOIN n AS a ON a.doc_id = x JOIN n AS b ON b.doc_id = y
+       WHERE 100 * k >= 80 * (a.n + b.n - k)),
+     reach AS (SELECT doc_id, doc_id AS r FROM w UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.r)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, lowest AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS lowest FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+ITQ_SQL = """
+WITH RECURSIVE v AS (
+       SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+       WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+     links AS (
+       SELECT a.vec_id AS x, b.vec_id AS y FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+       WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+     n AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x),
+     reach AS (
+       SELECT vec_id, vec_id AS r FROM embeddings
+       UNION SELECT reach.vec_id, links.y FROM reach JOIN links ON links.x = reach.r),
+     low AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM low LEFT JOIN n USING (vec_id)
+"""
+
+
 @query(DECONTAM_SQL)
 def op3_decontaminate(spark: SparkSession, data: str) -> DataFrame:
     """Words of documents in windows of ten words of a benchmark item."""
@@ -68,6 +128,47 @@ def op3_decontaminate(spark: SparkSession, data: str) -> DataFrame:
     )
 
 
+# Crawl date of the pages, which the table does not hold.
+CRAWLED = "2024-01-01T00:00:00Z"
+
+
+@query()
+def op4_warc(spark: SparkSession, data: str) -> DataFrame:
+    """Metadata and conversion records of every page, as rows and as bytes of a WARC file."""
+    derived = warc.derive(warc.responses(table(spark, data, "pages"), CRAWLED))
+    fields = F.col("fields")
+    return warc.serialise(derived).select(
+        "record_type",
+        "record_id",
+        fields["WARC-Refers-To"].alias("refers_to"),
+        "target_uri",
+        "record_date",
+        fields["WARC-Block-Digest"].alias("block_digest"),
+        fields["WARC-Source-Payload-Digest"].alias("source_payload_digest"),
+        F.length("block").cast("long").alias("block_bytes"),
+        "warc",
+    )
+
+
+@query(JACCARD_SQL)
+def op5_jaccard(spark: SparkSession, data: str) -> DataFrame:
+    """Components of documents that share four fifths of their shingles of five words."""
+    return jaccard.near_duplicates(table(spark, data, "documents"))
+
+
+@query()
+def op6_lm(spark: SparkSession, data: str) -> DataFrame:
+    """The pseudo-likelihood of every document."""
+    documents = table(spark, data, "documents").select("doc_id", "text")
+    return lm.score(documents, lm.fit(documents)).select("doc_id", "n_words", "log_prob", "perplexity")
+
+
+@query(ITQ_SQL)
+def op7_itq(spark: SparkSession, data: str) -> DataFrame:
+    """Links and components of embeddings with a cosine of at least 0.9."""
+    return itq.near_duplicates(table(spark, data, "embeddings"))
+
+
 @query()
 def op8_toxicity(spark: SparkSession, data: str) -> DataFrame:
     """Toxicity of every document, learned without the fold that is held out."""
