@@ -32,7 +32,7 @@ def action(resource: Column, operation: Column, body: Column | None = None) -> C
 
     def filled(col: Column, name: str) -> Column:
         empty = col.isNull() | (col == "")
-        return F.when(empty, F.raise_error(F.lit(f"{name} must be a non-empty string"))).otherwise(col)
+        return F.when(empty, F.raise_error(F.lit(f"an action needs its {name}"))).otherwise(col)
 
     text = F.lit(None).cast("string") if body is None else body
     is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
@@ -52,7 +52,8 @@ def update_actions(
     """One update action per row whose desired state differs, carrying only the changed fields."""
     values = spec.shown(sensitive)
     changed = changed_fields(desired, current, spec.keys, values, spec.json_cols)
-    body = payload(payload_fields(spec, values, sensitive), only=F.col("changed"))
+    fields = payload_fields(spec, values, sensitive)
+    body = payload(fields, only=F.col("changed"))
     return changed.select(
         *spec.keys, "changed", action(path(spec.path), F.lit("update"), body).alias("action")
     )
@@ -67,9 +68,9 @@ def number_rows(
 ) -> DataFrame:
     """0-based position of each row in its group.
 
-    `order` must be unique within the group, and its first column a number or a time.
+    `order` must be unique within the group; its columns may be of any type that can be ordered.
     """
-    rows, slicing = sliced(df, by, order[0], rows_per_slice)
+    rows, slicing = sliced(df, by, order, rows_per_slice)
     local = F.row_number().over(in_slice(by, *order)) - 1
     if not slicing:
         return rows.withColumn(name, local.cast("bigint")).select(*df.columns, name)

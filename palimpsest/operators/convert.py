@@ -36,13 +36,19 @@ def rename_raw(df: DataFrame, overrides: dict[str, str] | None = None) -> DataFr
 
 def _typed(col: Column, have: T.DataType, want: Field, strict: bool) -> Column:
     if want.kind == "json":
-        return json_text(col) if isinstance(have, T.StringType) else json_text(
-            F.to_json(col, {"ignoreNullFields": "false"})
-            if isinstance(have, (T.StructType, T.ArrayType, T.MapType))
-            else F.to_json(F.array(col))
-        )
+        if isinstance(have, T.StringType):
+            return json_text(col)
+        if isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
+            return json_text(F.to_json(col, {"ignoreNullFields": "false"}))
+        # A scalar is written as the only element of an array, whose brackets go.
+        return F.when(col.isNotNull(), json_text(F.regexp_replace(F.to_json(F.array(col)), r"^\[|\]$", "")))
     if want.kind == "array" and isinstance(have, T.StringType):
-        return F.from_json(col, want.dtype)
+        parsed = F.from_json(col, want.dtype)
+        if not strict:
+            return parsed
+        unread = parsed.isNull() & col.isNotNull() & ~F.lower(F.trim(col)).isin("", "null")
+        failed = F.raise_error(F.lit(f"{want.name} is not a JSON array")).cast(want.dtype)
+        return F.when(unread, failed).otherwise(parsed)
     return col.cast(want.dtype) if strict else col.try_cast(want.dtype)
 
 
@@ -51,8 +57,8 @@ def normalize(
 ) -> DataFrame:
     """Raw records to the declared columns: unknown ones drop, missing ones are NULL.
 
-    `strict` fails on a value that does not fit its type; otherwise it becomes NULL. Columns in
-    `keep` go along as they are.
+    `strict` fails on a value that does not fit its type and on a NULL in a required column; otherwise it
+    becomes NULL. NULL keys are left to the merge, which names them. Columns in `keep` go along as they are.
     """
     if spec.children and spec.children in df.columns:
         here = [c for c in df.columns if c != spec.children]
@@ -80,6 +86,9 @@ def normalize(
             if isinstance(shape, T.StructType) and inner in shape.names:
                 nested = F.col(f"{outer}.{inner}").cast(f.dtype)
                 have = nested if have is None else F.coalesce(have, nested)
+        if strict and have is not None and f.required and f.name not in spec.keys:
+            lacking = F.raise_error(F.lit(f"{spec.name}: {f.name} is required and NULL")).cast(f.dtype)
+            have = F.coalesce(have, lacking)
         columns.append((F.lit(None).cast(f.dtype) if have is None else have).alias(f.name))
     return df.select(*columns, *keep)
 

@@ -53,15 +53,15 @@ def plan_windows(
 
 
 def in_windows(
-    events: DataFrame, windows: DataFrame, by: Sequence[str], at: str, few_groups: bool = False
+    events: DataFrame, windows: DataFrame, by: Sequence[str], at: str
 ) -> DataFrame:
     """Events inside their group's window, with the window's end as `last_seen`.
 
-    `few_groups` says that the windows fit a broadcast; the events are then not shuffled here.
-    The caller checks their number.
+    Windows of a size that Spark knows to be small (a local table, say) are broadcast by it. Events of no group,
+    and those without a time, are in no window.
     """
     bounds = windows.select(*by, "t0", "t1")
-    joined = events.join(F.broadcast(bounds) if few_groups else bounds, list(by))
+    joined = events.join(bounds, list(by))
     inside = (F.col(at) >= F.col("t0")) & (F.col(at) < F.col("t1"))
     return joined.where(inside).withColumnRenamed("t1", "last_seen").drop("t0")
 
@@ -137,6 +137,6 @@ def read_month(
 
 
 def split_late(events: DataFrame, at: str, now: Moment, lookback: str = LOOKBACK) -> DataFrame:
-    """`events` with `late`: older than the source can be read back from `now`."""
+    """`events` with `late`: older than the source can be read back from `now`, or without a time."""
     limit = moment(now, events.schema[at].dataType) - F.expr(f"interval {lookback}")
-    return events.withColumn("late", F.col(at) < limit)
+    return events.withColumn("late", F.coalesce(F.col(at) < limit, F.lit(True)))

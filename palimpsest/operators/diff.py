@@ -59,9 +59,14 @@ def changed_fields(
     names = F.array_compact(
         F.array(*[F.when(_differs(desired, v, json_cols), F.lit(v)) for v in values])
     )
+    # A generator of one row: what follows may name `changed` many times, and the optimizer would repeat the
+    # comparison of all columns at every place.
+    once = F.explode(F.array(F.struct(names.alias("changed")))).alias("_once")
     return (
         _paired(desired, current, keys, values)
-        .select(*keys, F.col("_left.*"), names.alias("changed"))
+        .select(*keys, F.col("_left.*"), once)
+        .withColumn("changed", F.col("_once.changed"))
+        .drop("_once")
         .where(F.size("changed") > 0)
     )
 

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 # Range lookup works on number blocks of 2**(STEP*level) numbers each.
 STEP = 4
 BITS = 32
+# Largest blocks one range may have.
+MOST = 4096
 
 
 def ipv4_number(ip: Column) -> Column:
@@ -50,11 +52,14 @@ def range_blocks(
     """Every inclusive range as the aligned blocks that make it up, largest first possible.
 
     At each level the pieces that do not fill a block of the next level are kept: fewer
-    than 2*2**STEP per level, so a range of any length becomes a short list.
+    than 2*2**STEP per level, so a range of any length becomes a short list. A range so much longer than
+    `bits` bits that it takes more than MOST blocks of the largest size fails.
     """
     levels = -(-bits // STEP)
-    lo = F.col(start).cast("bigint")
-    hi = F.col(end).cast("bigint") + 1
+    within = F.col(end).cast("bigint") - F.col(start) < MOST * 2 ** (STEP * levels)
+    beyond = F.raise_error(F.lit(f"a range lies beyond {bits} bits")).cast("bigint")
+    lo = F.when(within, F.col(start).cast("bigint")).otherwise(beyond)
+    hi = F.when(within, F.col(end).cast("bigint") + 1).otherwise(beyond)
     level = F.col("_level")
     leveled = ranges.where(F.col(start) <= F.col(end)).withColumn(
         "_level", F.explode(F.sequence(F.lit(0), F.lit(levels)))

@@ -41,7 +41,11 @@ def history_from_log(
     time the last by `tiebreak` counts, so no version has zero length. The log
     crosses the network once, by key; detecting changes, dropping repeats and closing versions
     all use that one layout and sort. Repeats of a hot key at one time are reduced before that.
+    A row without a time fails.
     """
+    # A row without a time has no place in a history; dropping it would lose it unseen.
+    timed = F.coalesce(F.col(at), F.raise_error(F.lit(f"{at} is NULL in a log")).cast(log.schema[at].dataType))
+    log = log.withColumn(at, timed)
     rows, slicing = sliced(log.select(*keys, *values, at, *tiebreak), keys, at, rows_per_slice)
     state = F.struct(F.col(at).alias("at"), *values)
     if slicing:
@@ -175,7 +179,7 @@ def as_of_join(
     if hot is None:
         joined = _matched(timed, history, keys, at, carried, None, how)
     else:
-        only = F.broadcast(hot.select(*keys))
+        only = hot.select(*keys)
         cold_facts, cold_history = (d.join(only, list(keys), "left_anti") for d in (timed, history))
         hot_facts, hot_history = (d.join(only, list(keys), "left_semi") for d in (timed, history))
         times = hot_facts.select(*keys, at).distinct()
@@ -202,10 +206,11 @@ def _matched(
     kept = [c for c in facts.columns if c not in keys]
     version_type = history.select(F.struct(*carried)).schema[0].dataType
     fact_type = facts.select(F.struct(*kept)).schema[0].dataType
-    time_type = facts.schema[at].dataType
+    # The wider type of the two, as a comparison in SQL takes it.
+    time_type = facts.select(at).union(history.select("active_from")).schema[0].dataType
     entries = facts.select(
         *keys,
-        F.col(at).alias("_at"),
+        F.col(at).cast(time_type).alias("_at"),
         F.struct(*kept).alias("_fact"),
         F.lit(None).cast(version_type).alias("_version"),
     ).unionByName(

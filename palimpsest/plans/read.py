@@ -95,13 +95,25 @@ def read(
     if spec.versioned:
         if month or year:
             raise ValueError(f"{spec.name} is read by time, not by month")
-        df = source.at(ts) if isinstance(source, HistoryStore) else at_time(source, ts)
+        if isinstance(source, HistoryStore):
+            # One value of the first key column names the bucket that can hold it.
+            key = next(
+                (v for n, v in filters.items() if n in spec.filters and spec.filters[n].kind in ("equals", "value") and v and spec.filters[n].column == source.keys[0]),
+                None,
+            )
+            df = source.at(ts, key)
+        else:
+            df = at_time(source, ts)
     else:
         if ts is not None:
             raise ValueError(f"{spec.name} keeps no versions to look up by time")
-        rows = source.rows() if isinstance(source, KeyedStore) else source
         if now is None and not (month and year):
             raise ValueError(f"{spec.name} needs month and year, or now")
+        if isinstance(source, KeyedStore):
+            named = {"month": month, "year": year}
+            rows = source.rows(**{c: v for c, v in named.items() if v and c in source.partition_by})
+        else:
+            rows = source
         df = for_month(rows, now if now is not None else "1970-01-01", month, year)
     df = filtered(df, spec, filters, match, null_as_empty, networks, devices)
     return df.orderBy(*[F.asc_nulls_last(c) for c in spec.sort]) if ordered and spec.sort else df

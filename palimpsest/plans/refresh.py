@@ -15,7 +15,7 @@ from palimpsest.operators.route import route
 from palimpsest.plans.usage import refresh_usage, usage_events
 from palimpsest.resources import NETWORK, ORGANIZATION, RESOURCES, UPLINK
 from palimpsest.sources.landing import read_landing
-from palimpsest.sources.store import Commits, HistoryStore, KeyedStore
+from palimpsest.sources.store import Commits, HistoryStore, KeyedStore, micros
 from palimpsest.spec import ResourceSpec
 
 # How many resources of a refresh are merged at the same time.
@@ -63,14 +63,15 @@ def refresh(
     ts: datetime | str,
     resources: Sequence[str] | None = None,
     registry: DataFrame | None = None,
-    small_rows: int | None = None,
-    buckets: int = 1,
+    small_bytes: int | None = None,
+    buckets: int | None = None,
 ) -> dict[str, dict[str, int]]:
     """Merges the snapshots under `landing` into the tables under `tables` as of `ts`.
 
     Per-network feeds keep only networks with the product type they need. A resource without
     a landing folder is left as it is; tables are kept in `buckets` parts. Nothing happens without organizations. Returns the outcome
-    counts per resource.
+    counts per resource. Run again with the same `ts`, say after one resource failed, it does what is missing, and
+    returns the stored counts of the rest.
     """
     files = Commits(spark, landing)
 
@@ -83,21 +84,22 @@ def refresh(
         return {}
     raw_networks = landed(NETWORK)
     networks = None if raw_networks is None else normalize(raw_networks, NETWORK)
-    options = {} if small_rows is None else {"small_rows": small_rows}
+    options = {} if small_bytes is None else {"small_bytes": small_bytes}
+    source = ("refresh", micros(ts))
 
     def merge(spec: ResourceSpec) -> dict[str, int] | None:
         raw = landed(spec)
         if raw is None or (networks is None and (spec.product_type or not spec.versioned)):
             return None
         if not spec.versioned:
-            return refresh_usage(KeyedStore.of(spark, tables, spec), usage_events(raw), networks, ts)
-        batch = landed_rows = normalize(raw, spec)
+            return refresh_usage(KeyedStore.of(spark, tables, spec), usage_events(raw), networks, ts, source)
+        batch = normalize(raw, spec)
         if spec.product_type:
             batch = route(batch, networks, spec.product_type)
         store = HistoryStore.of(spark, tables, spec, buckets)
         if spec is UPLINK:
             batch = enrich_uplinks(batch, store.open_rows(), registry)
-        return store.merge(batch, ts, sized_by=landed_rows, **options)
+        return store.merge(batch, ts, source, **options)
 
     counts: dict[str, dict[str, int]] = {}
     # Resources of one level write different tables: their jobs share the cluster.

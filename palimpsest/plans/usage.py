@@ -16,13 +16,12 @@ from palimpsest.operators.counters import (
     plan_windows,
     read_month,
 )
+from palimpsest.operators.merge import UPSERTED
 from palimpsest.resources import UPLINK_USAGE
-from palimpsest.sources.store import KeyedStore, at_most
+from palimpsest.sources.store import KeyedStore, Source
 
 KEYS = ["network_id", "serial", "interface"]
 MEASURES = ["sent", "received"]
-# Up to this many organizations, their reading windows are broadcast.
-FEW_GROUPS = 100_000
 
 
 def usage_events(raw: DataFrame) -> DataFrame:
@@ -47,22 +46,47 @@ def usage_of_month(
     return read_month(events, KEYS, MEASURES, "ts", now, month, year)
 
 
+# Where the counters' commits note up to when an organization's readings are counted.
+READ_UNTIL = "read_until"
+
+
 def refresh_usage(
-    store: KeyedStore, events: DataFrame, networks: DataFrame, now: datetime | str
+    store: KeyedStore,
+    events: DataFrame,
+    networks: DataFrame,
+    now: datetime | str,
+    source: Source | None = None,
 ) -> dict[str, int]:
-    """Adds the readings of every organization's next window to the counters."""
+    """Adds the readings of every organization's next window to the counters.
+
+    Each commit notes the end of the window of every organization that had readings in it, so a network that is no longer
+    there takes nothing from what is known to be read. Counters stored without such notes count from their latest reading.
+    There is a window for each organization; they are read before the plan is built, and their bounds reach the scan.
+    """
     by = ["org_id"]
+    spark = events.sparkSession
+    noted = store.notes().get(READ_UNTIL, {})
     owner = networks.select(F.col("id").alias("network_id"), F.col("organization_id").alias("org_id"))
-    state = store.rows().join(owner, "network_id")
-    # One row per organization, read for its size and for the join.
-    windows = plan_windows(events, state, by, now).persist()
-    try:
-        few = at_most(windows, FEW_GROUPS)
-        inside = in_windows(events, windows, by, "ts", few_groups=few)
-        return store.change(
-            monthly_delta(inside, KEYS, MEASURES, "ts"),
-            now,
-            lambda held, new: accumulate(held, new, UPLINK_USAGE.keys, MEASURES),
-        )
-    finally:
-        windows.unpersist()
+    state = store.rows().join(owner, "network_id").select("org_id", "last_seen")
+    if noted:
+        known = spark.createDataFrame([(o, t) for o, t in noted.items()], "org_id string, read long")
+        read = known.select("org_id", F.timestamp_micros("read").alias("last_seen"))
+        state = state.join(known.select("org_id"), "org_id", "left_anti").union(read)
+    groups = events.select("org_id").where(F.col("org_id").isNotNull())
+    planned = plan_windows(groups, state, by, now)
+    found = planned.select("org_id", F.unix_micros("t0").alias("t0"), F.unix_micros("t1").alias("t1")).collect()
+    if not found:
+        return {UPSERTED: 0}
+    local = spark.createDataFrame([tuple(r) for r in found], "org_id string, t0 long, t1 long")
+    windows = local.select("org_id", F.timestamp_micros("t0").alias("t0"), F.timestamp_micros("t1").alias("t1"))
+    first, last = min(r["t0"] for r in found), max(r["t1"] for r in found)
+    near = (F.col("ts") >= F.timestamp_micros(F.lit(first))) & (F.col("ts") < F.timestamp_micros(F.lit(last)))
+    inside = in_windows(events.where(near), windows, by, "ts")
+    had = {r["org_id"] for r in inside.select("org_id").distinct().collect()}
+    return store.change(
+        monthly_delta(inside, KEYS, MEASURES, "ts"),
+        now,
+        lambda held, new: accumulate(held, new, UPLINK_USAGE.keys, MEASURES),
+        source,
+        notes={READ_UNTIL: noted | {r["org_id"]: r["t1"] for r in found if r["org_id"] in had}},
+    )

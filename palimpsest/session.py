@@ -26,7 +26,7 @@ PARTITION_BYTES = 256 * 2**20
 
 def shuffle_partitions(input_bytes: int) -> int:
     """How many shuffle partitions a job over `input_bytes` should start from."""
-    return min(max(input_bytes // PARTITION_BYTES, 200), 400_000)
+    return max(input_bytes // PARTITION_BYTES, 200)
 
 
 def session(

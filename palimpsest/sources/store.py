@@ -1,22 +1,25 @@
 """Versioned and keyed tables as Parquet files, with all-or-nothing commits.
 
-    <table>/data/<n>/_part=open/_bucket=<b>      the current rows of bucket b after commit n
-    <table>/data/<n>/_part=closed                 the rows closed by commit n, never rewritten
-    <table>/commits/<n>_<time>_<k>               written last; its time, and how many rows it closed
-
-A marker holds, for every bucket, the commit that last wrote its open rows. A merge reads and
-writes only the buckets its batch falls into. Readers use the open rows the last marker names
-and the closed rows of all markers, so a commit shows as a whole or not at all. A run that died
-leaves a folder no marker names; its retry overwrites it. Asking for a commit that exists
-changes nothing, which makes a redelivered streaming batch harmless. A table has one writer.
+    <table>/data/<folder>/_part=open/_bucket=<b>      the current rows of bucket b after the folder's commit
+    <table>/data/<folder>/_part=closed                 the rows closed by that commit, never rewritten
+    <table>/commits/<n>                                the marker of commit n, written last
+
+Every run writes to a folder of its own, and a marker names the folders that make up the table after its commit:
+for each bucket the one that last wrote its open rows, and those with closed rows, with their times. A
+merge reads and writes only the buckets its batch falls into. A reader needs the last marker alone, so a commit
+shows as a whole or not at all. Markers are numbered without gaps and created only where there is none: of two writers with
+the same number one fails. A run that died leaves a folder no marker names.
+
+A marker also remembers for every source (a stream, a refresh) the number of its last batch. The same
+batch of the same source again changes nothing and returns the stored outcomes.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta, timezone
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,40 +42,20 @@ from palimpsest.operators.merge import (
 from palimpsest.operators.slices import ROWS_PER_SLICE
 from palimpsest.spec import ResourceSpec
 
-# A batch of at most this many rows is broadcast in a merge.
-SMALL_BATCH = 50_000
-
-# Up to this many partitions a keyed commit is written as it comes.
-FEW_PARTITIONS = 4
+# A batch whose rows take at most so many bytes as text is broadcast in a merge.
+SMALL_BYTES = 8 * 2**20
 
 # Like the merge's own columns, so that tables may use any name without an underscore.
 BUCKET = "_bucket"
 
 _EPOCH = datetime(1970, 1, 1)
 
+# A stream or another repeatable writer, and the number of its batch.
+Source = tuple[str, int]
 
-class Commit(NamedTuple):
-    """What a marker's name says: the time in microseconds, and the number of closed rows."""
-
-    time: int
-    closed: int
-
-
-def _overwrite(rows: DataFrame, folder: str, partition_by: Sequence[str]) -> None:
-    """Writes a folder anew: what an unfinished run left in it goes, in any session."""
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
-
-
-def at_most(df: DataFrame, n: int) -> bool:
-    """Whether a frame has no more than `n` rows.
 
-    Reads partitions one after the other until there are enough, so a large frame is hardly read.
-    """
-    return len(df.select(F.lit(1)).take(n + 1)) <= n
-
-
-def _micros(ts: datetime | str) -> int:
+def micros(ts: datetime | str) -> int:
+    """A time in microseconds; without a zone it is UTC."""
     parsed = datetime.fromisoformat(ts) if isinstance(ts, str) else ts
     if parsed.tzinfo is not None:
         parsed = parsed.astimezone(timezone.utc).replace(tzinfo=None)
@@ -93,39 +76,44 @@ class Commits:
     def _fs(self):
         return self._path().getFileSystem(self._conf)
 
-    def all(self) -> dict[int, Commit]:
-        """Commits by number, from the names of the markers alone."""
+    def numbers(self) -> list[int]:
+        """The numbers of all markers, in order."""
         fs = self._fs()
         if not fs.exists(self._path()):
-            return {}
+            return []
         names = [s.getPath().getName() for s in fs.listStatus(self._path())]
-        parts = [n.split("_") for n in names if n[:1].isdigit()]
-        return {int(v): Commit(int(time), int(closed)) for v, time, closed in parts}
-
-    def last(self, before: int | None = None) -> int | None:
-        known = [v for v in self.all() if before is None or v < before]
-        return max(known, default=None)
-
-    def _name(self, version: int, commit: Commit) -> str:
-        return f"{version:010d}_{commit.time}_{commit.closed}"
+        return sorted(int(n) for n in names if n.isdigit())
 
-    def read(self, version: int) -> dict:
-        stream = self._fs().open(self._path(self._name(version, self.all()[version])))
+    def text(self, path: str) -> str:
+        stream = self._fs().open(self._jvm.org.apache.hadoop.fs.Path(path))
         try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
+            return bytes(stream.readAllBytes()).decode()
         finally:
             stream.close()
 
-    def write(self, version: int, commit: Commit, body: dict) -> None:
-        fs = self._fs()
-        hidden = self._path(f".{self._name(version, commit)}")
-        out = fs.create(hidden, True)
+    def read(self, number: int) -> dict | None:
+        """A marker; None for one that its writer did not finish."""
+        try:
+            return json.loads(self.text(f"{self._dir}/{number:010d}"))
+        except json.JSONDecodeError:
+            return None
+
+    def last(self) -> tuple[int, dict]:
+        """The number of the next commit, and the last finished marker (empty without one)."""
+        numbers = self.numbers()
+        for number in reversed(numbers):
+            body = self.read(number)
+            if body is not None:
+                return numbers[-1] + 1, body
+        return (numbers[-1] + 1 if numbers else 0), {}
+
+    def write(self, number: int, body: dict) -> None:
+        """Creates the marker; fails if another writer has."""
+        out = self._fs().create(self._path(f"{number:010d}"), False)
         try:
             out.write(bytearray(json.dumps(body).encode()))
         finally:
             out.close()
-        if not fs.rename(hidden, self._path(self._name(version, commit))):
-            raise OSError(f"commit {version} could not be published")
 
     def delete(self, path: str) -> bool:
         return self._fs().delete(self._jvm.org.apache.hadoop.fs.Path(path), True)
@@ -133,13 +121,29 @@ class Commits:
     def exists(self, path: str) -> bool:
         return self._fs().exists(self._jvm.org.apache.hadoop.fs.Path(path))
 
+    def stored(self, body: dict, source: Source | None) -> dict[str, int] | None:
+        """The outcomes of a source's batch if it is committed already."""
+        done = body.get("sources", {}).get(source[0]) if source else None
+        if done is None or done["batch"] < source[1]:
+            return None
+        if done["batch"] > source[1]:
+            raise ValueError(f"batch {source[1]} of {source[0]} comes after batch {done['batch']}")
+        return done["outcomes"]
+
+    def publish(self, number: int, before: dict, source: Source | None, outcomes: dict[str, int], body: dict) -> None:
+        """Writes the next marker, with what it takes over from the one before."""
+        sources = dict(before.get("sources", {}))
+        if source:
+            sources[source[0]] = {"batch": source[1], "outcomes": outcomes}
+        self.write(number, body | {"outcomes": outcomes, "sources": sources})
+
 
 class HistoryStore:
     """A versioned table.
 
     Its open rows lie in `buckets` parts by the first key column. Full snapshots of a table need one;
     where batches cover a few networks or devices at a time, many buckets keep a merge as
-    small as its batch. The number is fixed for the life of a table.
+    small as its batch. The number is fixed for the life of a table; None takes what the table has.
     """
 
     def __init__(
@@ -149,62 +153,58 @@ class HistoryStore:
         keys: Sequence[str],
         schema: T.StructType,
         json_cols: Sequence[str] = (),
-        buckets: int = 1,
+        buckets: int | None = None,
     ):
-        self.buckets = buckets
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.schema, self.json_cols = list(keys), schema, list(json_cols)
         versioning = ("active_from", "active_to", "last_seen")
         self.values = [n for n in schema.names if n not in (*keys, *versioning)]
         self.commits = Commits(spark, self.path)
+        self.buckets = buckets or self.commits.last()[1].get("buckets", 1)
 
     @classmethod
     def of(
-        cls, spark: SparkSession, root: str, spec: ResourceSpec, buckets: int = 1
+        cls, spark: SparkSession, root: str, spec: ResourceSpec, buckets: int | None = None
     ) -> HistoryStore:
         return cls(spark, f"{root}/{spec.name}", spec.keys, spec.schema, spec.json_cols, buckets)
 
-    def _data(self, version: int) -> str:
-        return f"{self.path}/data/{version}"
-
-    def _empty(self) -> DataFrame:
-        return empty_frame(self.spark, self.schema)
+    def _data(self, folder: str) -> str:
+        return f"{self.path}/data/{folder}"
 
-    def _bucket(self) -> Column:
+    def _bucket_of(self, key: Column) -> Column:
         if self.buckets == 1:
             return F.lit(0)
-        return F.pmod(F.xxhash64(self.keys[0]), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
-    def _touched(self, batch: DataFrame) -> set[int]:
-        """The buckets of a batch: no more than the table has."""
-        if self.buckets == 1:
-            return {0}
-        key_type = self.schema[self.keys[0]].dataType
-        typed = batch.select(F.col(self.keys[0]).cast(key_type).alias(self.keys[0]))
-        return {r[0] for r in typed.select(self._bucket()).distinct().collect()}
-
-    def _open_parts(self, before: int | None = None) -> dict[int, int]:
-        """Bucket -> the commit that last wrote it."""
-        version = self.commits.last(before)
-        if version is None:
-            return {}
-        body = self.commits.read(version)
-        if body["buckets"] != self.buckets:
+    def _bucket(self) -> Column:
+        return self._bucket_of(F.col(self.keys[0]).cast(self.schema[self.keys[0]].dataType))
+
+    def state(self) -> tuple[int, dict]:
+        """The number of the next commit, and the marker that says what the table holds."""
+        number, body = self.commits.last()
+        if body.get("buckets", self.buckets) != self.buckets:
             raise ValueError(f"{self.path} has {body['buckets']} buckets, not {self.buckets}")
-        return {int(b): v for b, v in body["open"].items()}
+        return number, body
+
+    def _open_dir(self, bucket: int | str, folder: str) -> str:
+        return f"{self._data(folder)}/{PART}={OPEN}/{BUCKET}={bucket}"
 
-    def _open_dir(self, bucket: int, version: int) -> str:
-        return f"{self._data(version)}/{PART}={OPEN}/{BUCKET}={bucket}"
+    def _open_rows(self, body: dict, buckets: set[int] | None = None) -> DataFrame:
+        parts = body.get("open", {})
+        return self._read([self._open_dir(b, f) for b, f in parts.items() if buckets is None or int(b) in buckets])
 
-    def open_rows(self, before: int | None = None, buckets: set[int] | None = None) -> DataFrame:
-        """Current rows after the last commit (before a given one), of some buckets or all."""
-        parts = self._open_parts(before)
-        dirs = [self._open_dir(b, v) for b, v in parts.items() if buckets is None or b in buckets]
-        return self._read(dirs)
+    def open_rows(self, key: object = None) -> DataFrame:
+        """Current rows; with a value of the first key column, the bucket that holds it."""
+        body = self.state()[1]
+        if key is None or self.buckets == 1:
+            return self._open_rows(body)
+        typed = F.lit(key).cast(self.schema[self.keys[0]].dataType)
+        found = self.spark.range(1).select(self._bucket_of(typed)).first()[0]
+        return self._open_rows(body, {found})
 
     def _read(self, dirs: list[str]) -> DataFrame:
         if not dirs:
-            return self._empty()
+            return empty_frame(self.spark, self.schema)
         # The folders are named one by one: nothing is to be inferred from their names.
         reader = self.spark.read.schema(self.schema).option("recursiveFileLookup", True)
         return reader.parquet(*dirs)
@@ -212,101 +212,100 @@ class HistoryStore:
     def closed_rows(self, after: Moment | None = None) -> DataFrame:
         """Closed rows; those closed by commits later than `after` only."""
         # A commit closes rows no later than its own time: earlier commits are not even listed.
-        start = None if after is None or isinstance(after, Column) else _micros(after)
-        wanted = [
-            f"{self._data(v)}/{PART}={CLOSED}"
-            for v, commit in sorted(self.commits.all().items())
-            if commit.closed and (start is None or commit.time > start)
-        ]
-        return self._read(wanted)
+        start = None if after is None or isinstance(after, Column) else micros(after)
+        closed = self.state()[1].get("closed", [])
+        return self._read([f"{self._data(f)}/{PART}={CLOSED}" for f, time in closed if start is None or time > start])
 
     def history(self) -> DataFrame:
         """All versions."""
         return self.closed_rows().unionByName(self.open_rows())
 
-    def at(self, ts: Moment | None = None) -> DataFrame:
+    def at(self, ts: Moment | None = None, key: object = None) -> DataFrame:
         """Current rows (None), all versions ("all"), or the rows valid at `ts`.
 
-        Current rows read no closed file.
+        Current rows read no closed file. `key` is a value of the first key column: other buckets of
+        open rows are not read, and the caller filters.
         """
         if ts is None:
-            return self.open_rows()
+            return self.open_rows(key)
         if isinstance(ts, str) and ts == "all":
-            return self.history()
-        return as_of(self.closed_rows(after=ts).unionByName(self.open_rows()), ts)
+            return self.closed_rows().unionByName(self.open_rows(key))
+        return as_of(self.closed_rows(after=ts).unionByName(self.open_rows(key)), ts)
+
+    def _seen(self, batch: DataFrame, *more: Column) -> tuple[dict, set[int]]:
+        """What one pass over a batch says: aggregates, its size as text, and its buckets."""
+        text = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in batch.columns])))
+        found = batch.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(text), F.lit(0)).alias("bytes"),
+            # No more than the table has.
+            F.collect_set(self._bucket()).alias("buckets"),
+            *more,
+        ).first()
+        return found.asDict(), set(found["buckets"])
 
     def merge(
         self,
         batch: DataFrame,
         ts: datetime | str,
-        version: int | None = None,
-        small_rows: int = SMALL_BATCH,
-        sized_by: DataFrame | None = None,
+        source: Source | None = None,
+        small_bytes: int = SMALL_BYTES,
         **options,
     ) -> dict[str, int]:
         """Merges a snapshot taken at `ts`; returns the outcome counts, zeros included.
 
-        A batch of at most `small_rows` rows is broadcast. `sized_by` is a frame with at least the
-        batch's rows that is cheaper to look at, for a batch that comes out of joins.
+        A batch of at most `small_bytes` is broadcast. The batch is read twice: for its size and buckets, and
+        for the merge; write an expensive one first.
         """
-        known = self.commits.all()
-        if version in known:
-            return self.commits.read(version)["outcomes"]
-        last = max((c.time for c in known.values()), default=None)
-        if last is not None and _micros(ts) <= last:
+        number, body = self.state()
+        done = self.commits.stored(body, source)
+        if done is not None:
+            return done
+        if body and micros(ts) <= body["time"]:
             raise ValueError(f"snapshot of {ts} is not newer than the last commit")
-        version = max(known, default=-1) + 1 if version is None else version
-        if batch.isEmpty():
+        seen, touched = self._seen(batch)
+        if not seen["rows"]:
             return self._no_outcomes()
-        small = at_most(batch if sized_by is None else sized_by, small_rows)
-        if small:
-            batch = batch.persist()
-        try:
-            touched = self._touched(batch)
-            merged = scd2_merge(
-                self.open_rows(version, touched),
-                batch,
-                self.keys,
-                self.values,
-                ts,
-                self.json_cols,
-                small_batch=small,
-                **options,
-            )
-            return self._commit(merged, version, _micros(ts), touched)
-        finally:
-            if small:
-                batch.unpersist()
+        merged = scd2_merge(
+            self._open_rows(body, touched),
+            batch,
+            self.keys,
+            self.values,
+            ts,
+            self.json_cols,
+            small_batch=seen["bytes"] <= small_bytes,
+            **options,
+        )
+        return self._commit(merged, number, body, micros(ts), touched, source)
 
     def merge_log(
         self,
         log: DataFrame,
         at: str,
         tiebreak: Sequence[str] = (),
-        version: int | None = None,
+        source: Source | None = None,
         rows_per_slice: int | None = ROWS_PER_SLICE,
     ) -> dict[str, int]:
         """Appends a log batch with several times per key; batches must come in time order."""
-        known = self.commits.all()
-        if version in known:
-            return self.commits.read(version)["outcomes"]
-        micros = position(F.col(at), log.schema[at].dataType)
-        span = log.agg(
-            F.min(micros).alias("first"), F.max(micros).alias("last"), F.count(F.lit(1)).alias("rows")
-        ).first()
-        if span["first"] is None:
+        number, body = self.state()
+        done = self.commits.stored(body, source)
+        if done is not None:
+            return done
+        place = position(F.col(at), log.schema[at].dataType)
+        untimed = F.count_if(F.col(at).isNull()).alias("untimed")
+        seen, touched = self._seen(log, F.min(place).alias("first"), F.max(place).alias("last"), untimed)
+        if not seen["rows"]:
             return self._no_outcomes()
-        if rows_per_slice is not None and span["rows"] <= rows_per_slice:
+        if seen["untimed"]:
+            raise ValueError(f"{seen['untimed']} row(s) of the log have no {at}")
+        if rows_per_slice is not None and seen["rows"] <= rows_per_slice:
             # No key can be hot in a batch this small.
             rows_per_slice = None
-        last = max((c.time for c in known.values()), default=None)
-        if last is not None and span["first"] < last:
-            first = _EPOCH + timedelta(microseconds=span["first"])
+        if body and seen["first"] < body["time"]:
+            first = _EPOCH + timedelta(microseconds=seen["first"])
             raise ValueError(f"log batch from {first} is older than the last commit")
-        version = max(known, default=-1) + 1 if version is None else version
-        touched = self._touched(log)
         merged = merge_log(
-            self.open_rows(version, touched),
+            self._open_rows(body, touched),
             log,
             self.keys,
             self.values,
@@ -315,43 +314,59 @@ class HistoryStore:
             self.json_cols,
             rows_per_slice,
         )
-        return self._commit(merged, version, span["last"], touched)
+        return self._commit(merged, number, body, seen["last"], touched, source)
 
     def load(self, history: DataFrame, ts: datetime | str) -> None:
-        """The first commit of a table from a finished history, seen up to `ts`."""
-        if self.commits.all():
+        """The first commit of a table from a finished history, seen up to `ts`.
+
+        Fails if the history knows of anything later than `ts`.
+        """
+        number, body = self.state()
+        if body:
             raise ValueError(f"{self.path} has commits already")
+        times = [position(F.col(c), history.schema[c].dataType) for c in ("active_from", "active_to", "last_seen")]
+        latest = history.agg(*[F.max(t) for t in times], F.collect_set(self._bucket())).first()
+        if any(t is not None and t > micros(ts) for t in latest[:3]):
+            raise ValueError(f"the history goes on after {ts}")
         part = F.when(F.col("active_to").isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
         tagged = history.select(*self.schema.names, part.alias(PART)).withColumn(
             OUTCOME, F.lit(None).cast("string")
         )
-        touched = self._touched(history.where(F.col("active_to").isNull()))
-        self._commit(tagged, 0, _micros(ts), touched)
+        self._commit(tagged, number, body, micros(ts), set(latest[3]), None)
 
     def _no_outcomes(self) -> dict[str, int]:
         return {"inserted": 0, "updated": 0, "expired+inserted": 0}
 
     def _commit(
-        self, merged: DataFrame, version: int, micros: int, touched: set[int]
+        self, merged: DataFrame, number: int, before: dict, time: int, touched: set[int], source: Source | None
     ) -> dict[str, int]:
         # Closed rows are read by commit, never by bucket: they stay together.
         bucket = F.when(F.col(PART) == OPEN, self._bucket()).otherwise(F.lit(0))
-        rows = merged.withColumn(BUCKET, bucket)
-        if self.buckets > 1:
-            # Few files per bucket, and a hot bucket still spread over several tasks.
-            rows = rows.hint("rebalance", PART, BUCKET)
         seen = Observation()
         sizes = [F.count_if(F.col(PART) == part).alias(f"{part}_rows") for part in (OPEN, CLOSED)]
-        # Counted in the stage that writes: a retried task counts once.
-        rows = rows.observe(seen, *sizes, *outcome_columns()).select(*self.schema.names, PART, BUCKET)
-        _overwrite(rows, self._data(version), [PART, BUCKET])
+        # Counted in the stage that writes: a retried task counts once. Few files per bucket, a hot bucket still
+        # spread over several tasks; within a file the order by which it is read.
+        rows = (
+            merged.withColumn(BUCKET, bucket)
+            .hint("rebalance", PART, BUCKET)
+            .observe(seen, *sizes, *outcome_columns())
+            .select(*self.schema.names, PART, BUCKET)
+            .sortWithinPartitions(PART, BUCKET, "active_to", *self.keys)
+        )
+        folder = f"{number:010d}-{uuid.uuid4().hex}"
+        rows.write.partitionBy(PART, BUCKET).parquet(self._data(folder))
         counts = {k: v or 0 for k, v in seen.get.items()}
         open_rows, closed_rows = counts.pop("open_rows"), counts.pop("closed_rows")
-        parts = self._open_parts(before=version)
+        parts = dict(before.get("open", {}))
         if open_rows:
-            parts |= {b: version for b in touched}
-        body = {"buckets": self.buckets, "open": parts, "outcomes": counts}
-        self.commits.write(version, Commit(micros, closed_rows), body)
+            # A bucket none of whose rows is open has no folder.
+            held = {b for b in touched if self.commits.exists(self._open_dir(b, folder))}
+            parts = {b: f for b, f in parts.items() if int(b) not in touched} | {str(b): folder for b in held}
+        else:
+            parts = {b: f for b, f in parts.items() if int(b) not in touched}
+        closed = before.get("closed", []) + ([[folder, time]] if closed_rows else [])
+        body = {"time": time, "buckets": self.buckets, "open": parts, "closed": closed}
+        self.commits.publish(number, before, source, counts, body)
         return counts
 
     def drop_old(self, keep: int = 3) -> int:
@@ -359,17 +374,21 @@ class HistoryStore:
 
         Returns how many folders went.
         """
-        versions = sorted(self.commits.all())
-        parts = {v: set(map(tuple, self._open_parts(v + 1).items())) for v in versions}
-        used = set().union(*[parts[v] for v in versions[-keep:]])
-        unused = set().union(*parts.values()) - used
-        return sum(self.commits.delete(self._open_dir(b, v)) for b, v in sorted(unused))
+        bodies = [b for b in map(self.commits.read, self.commits.numbers()) if b is not None]
+        parts = [set(b["open"].items()) for b in bodies]
+        unused = set().union(*parts) - set().union(*parts[-keep:])
+        return sum(self.commits.delete(self._open_dir(b, f)) for b, f in sorted(unused))
+
+
+# The partition of a keyed table's row: a name of its own for every combination of values.
+_PARTITION = "_partition"
 
 
 class KeyedStore:
     """A keyed table without versions, partitioned; a commit rewrites only touched partitions.
 
-    Each commit names, for every partition, the commit that last wrote it.
+    Partitions are by columns of the key, so a row never moves. A folder's name is a hash of the values, which
+    may be any text or NULL; the marker holds the values, and for every partition the folder that last wrote it.
     """
 
     def __init__(
@@ -380,6 +399,9 @@ class KeyedStore:
         schema: T.StructType,
         partition_by: Sequence[str] = (),
     ):
+        outside = sorted(set(partition_by) - set(keys))
+        if outside:
+            raise ValueError(f"a keyed table is partitioned by columns of its key, not by {outside}")
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.schema, self.partition_by = list(keys), schema, list(partition_by)
         self.commits = Commits(spark, self.path)
@@ -390,84 +412,73 @@ class KeyedStore:
     ) -> KeyedStore:
         return cls(spark, f"{root}/{spec.name}", spec.keys, spec.schema, partition_by)
 
-    def _data(self, version: int) -> str:
-        return f"{self.path}/data/{version}"
-
-    def _partition_dir(self, version: int, partition: str) -> str:
-        return f"{self._data(version)}/{partition}" if partition else self._data(version)
+    def _values(self) -> Column:
+        typed = [F.col(c).cast(self.schema[c].dataType).alias(c) for c in self.partition_by]
+        return F.to_json(F.struct(*typed), {"ignoreNullFields": "false"}) if typed else F.lit("{}")
 
-    def _partitions(self, before: int | None = None) -> dict[str, int]:
-        version = self.commits.last(before)
-        return {} if version is None else self.commits.read(version)["partitions"]
+    def _dir(self, partition: str, folder: str) -> str:
+        return f"{self.path}/data/{folder}/{_PARTITION}={partition}"
 
-    def _read(self, partitions: dict[str, int]) -> DataFrame:
+    def _read(self, partitions: Mapping[str, dict]) -> DataFrame:
         if not partitions:
             return empty_frame(self.spark, self.schema)
-        if not self.partition_by:
-            (version,) = partitions.values()
-            return self.spark.read.schema(self.schema).parquet(self._data(version))
-        by_version: dict[int, list[str]] = {}
-        for partition, version in partitions.items():
-            by_version.setdefault(version, []).append(self._partition_dir(version, partition))
-        frames = [
-            self.spark.read.schema(self.schema).option("basePath", self._data(v)).parquet(*dirs)
-            for v, dirs in by_version.items()
-        ]
-        out = frames[0]
-        for frame in frames[1:]:
-            out = out.unionByName(frame)
-        return out.select(*self.schema.names)
-
-    def rows(self, before: int | None = None) -> DataFrame:
-        return self._read(self._partitions(before))
-
-    def _touched(self, batch: DataFrame) -> list[str]:
-        """The partitions a batch falls into: as many as it has months, say."""
-        if not self.partition_by:
-            return [""]
-        found = batch.select(*self.partition_by).distinct().collect()
-        return ["/".join(f"{c}={r[c]}" for c in self.partition_by) for r in found]
+        dirs = [self._dir(p, at["folder"]) for p, at in partitions.items()]
+        return self.spark.read.schema(self.schema).option("recursiveFileLookup", True).parquet(*dirs)
+
+    def rows(self, **where: object) -> DataFrame:
+        """The rows; `where` names values of partition columns, and other partitions are not read."""
+        unknown = sorted(set(where) - set(self.partition_by))
+        if unknown:
+            raise ValueError(f"{unknown} do(es) not partition {self.path}")
+        partitions = self.commits.last()[1].get("partitions", {})
+        wanted = {p: at for p, at in partitions.items() if all(at["values"].get(c) == v for c, v in where.items())}
+        return self._read(wanted)
+
+    def notes(self) -> dict:
+        """What earlier commits noted."""
+        return self.commits.last()[1].get("notes", {})
 
     def change(
         self,
         batch: DataFrame,
         ts: datetime | str,
         combine: Callable[[DataFrame, DataFrame], DataFrame],
-        version: int | None = None,
+        source: Source | None = None,
+        notes: Mapping[str, object] | None = None,
     ) -> dict[str, int]:
         """Replaces the partitions `batch` falls into by `combine(their rows, batch)`.
 
-        Returns how many rows the batch brought.
+        Returns how many rows the batch brought. `notes` are kept with the commit, over those of earlier ones.
+        The batch is read twice: for its partitions, of which the marker holds a line each, and for the write.
         """
-        known = self.commits.all()
-        if version in known:
-            return self.commits.read(version)["outcomes"]
-        version = max(known, default=-1) + 1 if version is None else version
-        # Read twice: for its partitions and for the write.
-        batch = batch.persist()
-        try:
-            touched = self._touched(batch)
-            if not touched:
-                return {UPSERTED: 0}
-            before = self._partitions(before=version)
-            held = self._read({p: v for p, v in before.items() if p in touched})
-            rows = combine(held, batch).select(*self.schema.names)
-            if len(touched) > FEW_PARTITIONS:
-                # Not one file per task and partition.
-                rows = rows.hint("rebalance", *self.partition_by)
-            _overwrite(rows, self._data(version), self.partition_by)
-            outcomes = {UPSERTED: batch.count()}
-        finally:
-            batch.unpersist()
-        partitions = {**before, **{p: version for p in touched}}
-        body = {"partitions": partitions, "outcomes": outcomes}
-        self.commits.write(version, Commit(_micros(ts), 0), body)
+        number, body = self.commits.last()
+        done = self.commits.stored(body, source)
+        if done is not None:
+            return done
+        before = body.get("partitions", {})
+        found = batch.groupBy(self._values().alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        found = found.select("v", "n", F.md5("v").alias("p")).collect()
+        outcomes = {UPSERTED: sum(r["n"] for r in found)}
+        held_notes = body.get("notes", {}) | dict(notes or {})
+        if not found and held_notes == body.get("notes", {}):
+            return outcomes
+        partitions = dict(before)
+        if found:
+            held = self._read({r["p"]: before[r["p"]] for r in found if r["p"] in before})
+            rows = combine(held, batch).select(*self.schema.names).withColumn(_PARTITION, F.md5(self._values()))
+            folder = f"{number:010d}-{uuid.uuid4().hex}"
+            # Not one file per task and partition.
+            rows.hint("rebalance", _PARTITION).write.partitionBy(_PARTITION).parquet(f"{self.path}/data/{folder}")
+            partitions |= {r["p"]: {"folder": folder, "values": json.loads(r["v"])} for r in found}
+        self.commits.publish(
+            number, body, source, outcomes, {"time": micros(ts), "partitions": partitions, "notes": held_notes}
+        )
         return outcomes
 
     def upsert(
-        self, batch: DataFrame, ts: datetime | str, version: int | None = None, **options
+        self, batch: DataFrame, ts: datetime | str, source: Source | None = None, **options
     ) -> dict[str, int]:
         """Replaces or adds whole rows by key."""
         return self.change(
-            batch, ts, lambda held, new: keyed_upsert(held, new, self.keys, ts, **options), version
+            batch, ts, lambda held, new: keyed_upsert(held, new, self.keys, ts, **options), source
         )

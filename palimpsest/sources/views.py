@@ -14,12 +14,14 @@ def open_store(spark: SparkSession, root: str, spec: ResourceSpec) -> HistorySto
     return kind.of(spark, root, spec)
 
 
-def register_views(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
-    """A temporary view with all rows of every resource under `root`."""
+def register_views(spark: SparkSession, root: str, prefix: str = "", sensitive: bool = False) -> list[str]:
+    """A temporary view with all rows of every resource under `root`, without secrets unless asked for."""
     names = []
     for spec in RESOURCES.values():
         store = open_store(spark, root, spec)
         rows = store.history() if spec.versioned else store.rows()
+        if not sensitive:
+            rows = rows.drop(*[f.name for f in spec.fields if f.sensitive])
         rows.createOrReplaceTempView(prefix + spec.name)
         names.append(prefix + spec.name)
     return names

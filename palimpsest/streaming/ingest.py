@@ -1,8 +1,10 @@
-"""Streams into the tables. Each micro-batch is one commit under the batch's number, so a batch
-delivered twice counts once. All queries run what is there and stop (`availableNow`)."""
+"""Streams into the tables. Each micro-batch is one commit, which remembers the stream and the batch's number:
+a batch delivered twice counts once, and a stream follows on whatever the table holds. All queries run what
+is there and stop (`availableNow`)."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
@@ -11,35 +13,55 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from palimpsest.operators.counters import LOOKBACK, accumulate, monthly_delta, split_late
-from palimpsest.sources.store import HistoryStore, KeyedStore
+from palimpsest.sources.store import Commits, HistoryStore, KeyedStore, Source
 
 
-def _run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+def _run(
+    stream: DataFrame, commits: Commits, each: Callable[[DataFrame, Source], None], checkpoint: str
+) -> StreamingQuery:
+    def numbered(batch: DataFrame, number: int) -> None:
+        # Spark names a stream by its checkpoint; a new checkpoint is a new stream.
+        name = json.loads(commits.text(f"{checkpoint}/metadata"))["id"]
+        each(batch, (f"stream {name}", number))
+
+    writer = stream.writeStream.foreachBatch(numbered).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
 def stream_log(
-    stream: DataFrame, store: HistoryStore, at: str, tiebreak: Sequence[str] = ()
+    stream: DataFrame, store: HistoryStore, at: str, tiebreak: Sequence[str] = (), checkpoint: str | None = None
 ) -> StreamingQuery:
     """Observations with their own times; a batch may hold many per key. Batches come in time
-    order: one older than the last commit stops the query."""
+    order: one older than the last commit stops the query, and so does a row without a time."""
 
-    def each(batch: DataFrame, number: int) -> None:
-        store.merge_log(batch, at, tiebreak, version=number)
+    def each(batch: DataFrame, source: Source) -> None:
+        store.merge_log(batch, at, tiebreak, source=source)
 
-    return _run(stream, each, f"{store.path}/stream")
+    return _run(stream, store.commits, each, checkpoint or f"{store.path}/stream")
 
 
 def stream_snapshots(
-    stream: DataFrame, store: HistoryStore, clock: Callable[[int], datetime | str], **options
+    stream: DataFrame,
+    store: HistoryStore,
+    clock: Callable[[int], datetime | str],
+    checkpoint: str | None = None,
+    **options,
 ) -> StreamingQuery:
     """Snapshots without a time of their own; `clock` gives each batch number its time."""
 
-    def each(batch: DataFrame, number: int) -> None:
-        store.merge(batch, clock(number), version=number, **options)
+    def each(batch: DataFrame, source: Source) -> None:
+        store.merge(batch, clock(source[1]), source=source, **options)
 
-    return _run(stream, each, f"{store.path}/stream")
+    return _run(stream, store.commits, each, checkpoint or f"{store.path}/stream")
+
+
+def late_events(store: KeyedStore, like: DataFrame) -> DataFrame:
+    """The events that `stream_counters` set aside, with the columns of `like`."""
+    path = f"{store.path}/late"
+    if not store.commits.exists(path):
+        return like.limit(0)
+    reader = like.sparkSession.read.schema(like.schema).option("recursiveFileLookup", True)
+    return reader.parquet(path)
 
 
 def stream_counters(
@@ -50,19 +72,26 @@ def stream_counters(
     now: datetime | str,
     lookback: str = LOOKBACK,
     late: Callable[[DataFrame, int], None] | None = None,
+    checkpoint: str | None = None,
 ) -> StreamingQuery:
-    """Usage events added to the monthly counters. Events older than `lookback` before `now` are
-    not counted; they go to `late`."""
+    """Usage events added to the monthly counters.
+
+    Events older than `lookback` before `now`, and those without a time, are not counted. They go to `late`, or else
+    to a folder of the table, where `late_events` finds them.
+    """
     keys = [k for k in store.keys if k not in ("month", "year")]
 
-    def each(batch: DataFrame, number: int) -> None:
+    def each(batch: DataFrame, source: Source) -> None:
         marked = split_late(batch, at, now, lookback)
+        aside = marked.where("late").drop("late")
         if late is not None:
-            late(marked.where("late").drop("late"), number)
+            late(aside, source[1])
+        else:
+            # Under the batch's name: written again, it replaces itself.
+            folder = f"{store.path}/late/{source[0].replace(' ', '-')}-{source[1]}"
+            aside.write.mode("overwrite").parquet(folder)
         timely = marked.where(~F.col("late")).withColumn("last_seen", F.col(at).cast("timestamp"))
         delta = monthly_delta(timely, keys, measures, at)
-        store.change(
-            delta, now, lambda held, new: accumulate(held, new, store.keys, measures), version=number
-        )
+        store.change(delta, now, lambda held, new: accumulate(held, new, store.keys, measures), source)
 
-    return _run(stream, each, f"{store.path}/stream")
+    return _run(stream, store.commits, each, checkpoint or f"{store.path}/stream")

@@ -8,6 +8,7 @@ from palimpsest.suite import (  # noqa: F401  (each module registers its queries
     evolving,
     filtering,
     joining,
+    keeping,
     merging,
     reading,
     versions,

@@ -136,7 +136,7 @@ def dedup_batch(spark, data):
 with b as (
   select l_suppkey as s_suppkey, 'Ships ' || max(l_shipdate)::date::varchar as s_name,
     max(l_linenumber) as s_nationkey, max(l_shipdate) as seen
-  from lineitem where l_returnflag = 'R' and l_shipdate >= timestamp '2001-09-01' group by l_suppkey),
+  from lineitem group by l_suppkey),
 b2 as (select s_suppkey, s_name, s_nationkey,
     case when s_nationkey > 5 then seen else timestamp '{T1}' end as last_seen from b)
 select s_suppkey, s_name, s_nationkey, timestamp '{T0}' as last_seen from supplier s
@@ -144,14 +144,11 @@ where not exists (select 1 from b2 where b2.s_suppkey = s.s_suppkey)
 union all select * from b2
 """)
 def keyed_upsert_supplier(spark, data):
-    """Suppliers overwritten from late shipments; `last_seen` is given for some of them."""
+    """Suppliers overwritten from their shipments; `last_seen` is given for some of them."""
     base = table(spark, data, "supplier").select(
         "s_suppkey", "s_name", "s_nationkey", F.lit(T0).cast("timestamp_ntz").alias("last_seen")
     )
-    late = table(spark, data, "lineitem").where(
-        (F.col("l_returnflag") == "R") & (F.col("l_shipdate") >= F.lit("2001-09-01").cast("timestamp_ntz"))
-    )
-    batch = late.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(
+    batch = table(spark, data, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(
         F.concat(F.lit("Ships "), F.max("l_shipdate").cast("date").cast("string")).alias("s_name"),
         F.max("l_linenumber").alias("s_nationkey"),
         F.max("l_shipdate").alias("_seen"),
@@ -279,7 +276,7 @@ def store_merge_snapshots(spark, data):
     folder = new_folder(spark, "customers")
     store = HistoryStore(spark, folder, CUSTOMER_KEYS, schema, buckets=8)
     store.merge(first_snapshot(spark, data), T0)
-    store.merge(second_snapshot(spark, data), T1, small_rows=0)
+    store.merge(second_snapshot(spark, data), T1, small_bytes=0)
     store.merge(store.open_rows().where(F.col("c_mktsegment") != "REVIEW"), T2)
     return store.history()
 

@@ -352,6 +352,8 @@ with sizes as (
   union all select 'dhcp_server_policy', count(*) from nation where n_regionkey in (0, 3)
   union all select 'l3_firewall_rule', count(*) * 2 from nation where n_regionkey in (0, 2)
   union all select 'vlan', count(*) from supplier join nation on n_nationkey = s_nationkey where n_regionkey in (0, 2)
+  union all select 'ssid', count(*) from supplier join nation on n_nationkey = s_nationkey where n_regionkey in (0, 1)
+  union all select 'appliance_malware', count(*) from nation where n_regionkey in (0, 2)
   union all select 'alert', count(*) from orders),
 moved as (
   select 'device' as resource, count(*) as c from customer where c_acctbal < 0

@@ -42,6 +42,13 @@ def test_blocks_make_up_the_range(spark):
         assert covered.get(i, set()) == set(range(a, b + 1))
 
 
+def test_ranges_far_beyond_the_bits_fail(spark):
+    df = spark.createDataFrame([(0, 2**20)], "a bigint, b bigint")
+    assert range_blocks(df, "a", "b", bits=12).count() > 0
+    with pytest.raises(Exception, match="beyond 4 bits"):
+        range_blocks(df, "a", "b", bits=4).collect()
+
+
 def brute_lookup(points, ranges):
     out = {}
     for p in points:
@@ -149,7 +156,7 @@ def actions_of(spark, n, group="org"):
     return df.withColumn("action", action(F.concat(F.lit("/x/"), F.col("n").cast("string")), F.lit("update"), F.lit('{"a":1}')))
 
 
-@pytest.mark.parametrize("n,synchronous,sizes", [(150, False, [100, 50]), (25, True, [20, 5]), (100, False, [100]), (0, False, [])])
+@pytest.mark.parametrize("n,synchronous,sizes", [(101, False, [100, 1]), (43, True, [20, 20, 3]), (99, False, [99]), (20, True, [20]), (0, False, [])])
 @pytest.mark.parametrize("per_slice", [None, 4_000_000, 7])
 def test_chunks(spark, n, synchronous, sizes, per_slice):
     chunks = chunk_actions(actions_of(spark, n), ["org"], ["n"], synchronous, rows_per_slice=per_slice)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from palimpsest.operators.convert import normalize
 from palimpsest.operators.evolve import Add, Cast, Rename, upgrade
+from palimpsest.operators.merge import scd2_merge
 from palimpsest.plans.read import read, snapshot
 from palimpsest.plans.refresh import refresh, refresh_levels
 from palimpsest.plans.usage import usage_events, usage_of_month
@@ -34,7 +35,7 @@ from palimpsest.session import session, shared_dir, shuffle_partitions
 from palimpsest.sources.landing import read_landing, stream_landing
 from palimpsest.sources.store import HistoryStore, KeyedStore
 from palimpsest.sources.views import register_views
-from palimpsest.streaming.ingest import stream_counters, stream_log, stream_snapshots
+from palimpsest.streaming.ingest import late_events, stream_counters, stream_log, stream_snapshots
 
 RECORDS = {
     ORGANIZATION: [{"id": "o1", "name": " Acme ", "url": "u", "api": {"enabled": True}, "licensing": {"model": "co-term"}, "extra": 1}],
@@ -154,7 +155,9 @@ def test_refresh_again(spark, landing, tables):
     assert all(c.get("inserted", 0) == 0 and c.get("expired+inserted", 0) == 0 for c in counts.values())
     usage = {r["interface"]: (r["sent"], r["received"]) for r in rows(KeyedStore.of(spark, root, UPLINK_USAGE).rows())}
     assert usage == {"wan1": (110, 200), "wan2": (1, 1)}
-    with pytest.raises(ValueError, match="not newer"):
+    # The same refresh again does nothing, and says what it did.
+    assert refresh(spark, landing, root, "2026-01-20") == counts
+    with pytest.raises(ValueError, match="comes after"):
         refresh(spark, landing, root, "2026-01-15")
 
 
@@ -263,7 +266,7 @@ def test_commits_and_time_travel(spark, tmp_path, buckets):
     assert store.history().count() == 0 and store.at("2026-01-01").count() == 0
     assert store.merge(batch(spark, (1, "a"), (2, "a")), "2026-01-01") == {"inserted": 2, "updated": 0, "expired+inserted": 0}
     assert store.merge(batch(spark, (1, "b")), "2026-01-02") == {"inserted": 0, "updated": 0, "expired+inserted": 1}
-    assert store.merge(batch(spark, (1, "c"), (3, "c")), "2026-01-03", small_rows=0)["inserted"] == 1
+    assert store.merge(batch(spark, (1, "c"), (3, "c")), "2026-01-03", small_bytes=0)["inserted"] == 1
     assert store.merge(batch(spark), "2026-01-04") == {"inserted": 0, "updated": 0, "expired+inserted": 0}
     values = lambda ts: sorted((r.k, r.v) for r in store.at(ts).collect())
     assert values(None) == [(1, "c"), (2, "a"), (3, "c")]
@@ -291,9 +294,9 @@ def test_unfinished_commit_is_not_seen(spark, tmp_path, mode):
     store.merge(batch(spark, (1, "a")), "2026-01-01")
     # A run that died after writing data: its folder has no commit marker.
     ghost = store.open_rows().withColumn("v", F.lit("ghost")).withColumn("_part", F.lit("closed"))
-    ghost.withColumn("_bucket", F.lit(0)).write.partitionBy("_part", "_bucket").parquet(store._data(1))
+    ghost.withColumn("_bucket", F.lit(0)).write.partitionBy("_part", "_bucket").parquet(store._data("0000000001-died"))
     assert [r.v for r in store.history().collect()] == ["a"]
-    store.merge(batch(spark, (1, "b")), "2026-01-02", version=1)
+    store.merge(batch(spark, (1, "b")), "2026-01-02")
     assert sorted(r.v for r in store.history().collect()) == ["a", "b"]
     spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
@@ -301,11 +304,13 @@ def test_unfinished_commit_is_not_seen(spark, tmp_path, mode):
 def test_buckets_limit_a_merge(spark, tmp_path):
     store = new_store(spark, tmp_path / "t", 16)
     store.merge(batch(spark, *[(k, "a") for k in range(200)]), "2026-01-01")
-    first = store._open_parts()
-    assert set(first) == set(range(16)) and set(first.values()) == {0}
+    first = store.state()[1]["open"]
+    assert set(first) == {str(b) for b in range(16)} and len(set(first.values())) == 1
     store.merge(batch(spark, (7, "b")), "2026-01-02")
-    (changed,) = [b for b, v in store._open_parts().items() if v == 1]
-    assert os.listdir(f"{store._data(1)}/_part=open") == [f"_bucket={changed}"]
+    ((changed, folder),) = set(store.state()[1]["open"].items()) - set(first.items())
+    assert os.listdir(f"{store._data(folder)}/_part=open") == [f"_bucket={changed}"]
+    assert len(store.open_rows(key=7).inputFiles()) < len(store.open_rows().inputFiles())
+    assert [r.v for r in store.open_rows(key=7).where("k = 7").collect()] == ["b"]
     assert store.open_rows().count() == 200 and store.history().count() == 201
     log = spark.createDataFrame([(7, "c", datetime(2026, 1, 3)), (7, "b", datetime(2026, 1, 4))], "k int, v string, t timestamp")
     store.merge_log(log, "t")
@@ -338,11 +343,63 @@ def test_load_a_history_and_evolve_it(spark, tmp_path, buckets):
 
 def test_redelivered_batch_counts_once(spark, tmp_path):
     store = new_store(spark, tmp_path / "t")
-    first = store.merge(batch(spark, (1, "a")), "2026-01-01", version=0)
-    assert store.merge(batch(spark, (1, "a")), "2026-01-05", version=0) == first
+    first = store.merge(batch(spark, (1, "a")), "2026-01-01", source=("s", 3))
+    assert store.merge(batch(spark, (1, "a")), "2026-01-05", source=("s", 3)) == first
+    with pytest.raises(ValueError, match="comes after"):
+        store.merge(batch(spark, (1, "a")), "2026-01-05", source=("s", 2))
     assert [str(r.last_seen) for r in store.open_rows().collect()] == ["2026-01-01 00:00:00"]
 
 
+def test_two_writers_of_one_commit(spark, tmp_path):
+    one, two = new_store(spark, tmp_path / "t"), new_store(spark, tmp_path / "t")
+    one.merge(batch(spark, (1, "a")), "2026-01-01")
+    number, body = two.state()
+    one.merge(batch(spark, (1, "b")), "2026-01-02")
+    with pytest.raises(Exception, match="exists"):
+        two._commit(scd2_merge(two.open_rows(), batch(spark, (1, "c")), ["k"], ["v"], "2026-01-02"), number, body, 1, {0}, None)
+    assert sorted(r.v for r in two.history().collect()) == ["a", "b"]
+
+
+def test_an_unfinished_marker_is_passed_over(spark, tmp_path):
+    store = new_store(spark, tmp_path / "t")
+    store.merge(batch(spark, (1, "a")), "2026-01-01")
+    (tmp_path / "t" / "commits" / "0000000001").write_text('{"time": 1')
+    assert [r.v for r in store.history().collect()] == ["a"]
+    store.merge(batch(spark, (1, "b")), "2026-01-02")
+    assert store.commits.numbers() == [0, 1, 2] and sorted(r.v for r in store.history().collect()) == ["a", "b"]
+
+
+def test_a_refresh_that_died_halfway(spark, tmp_path):
+    land(tmp_path / "l", {ORGANIZATION: RECORDS[ORGANIZATION], NETWORK: RECORDS[NETWORK]})
+    root = str(tmp_path / "t")
+    first = refresh(spark, str(tmp_path / "l"), root, "2026-01-01", ["organization"])
+    again = refresh(spark, str(tmp_path / "l"), root, "2026-01-01")
+    assert again["organization"] == first["organization"] and again["network"]["inserted"] == len(RECORDS[NETWORK])
+    assert HistoryStore.of(spark, root, ORGANIZATION).commits.numbers() == [0]
+
+
+def test_streams_follow_on_whatever_is_there(spark, tmp_path):
+    """A merge before the stream, and a new checkpoint: no batch is taken for one that is done."""
+    store = new_store(spark, tmp_path / "t")
+    store.merge(batch(spark, (1, "a")), "2026-01-01")
+    schema, source = "k int, v string, t timestamp", str(tmp_path / "s")
+    for n, checkpoint in enumerate(("one", "two")):
+        folder = f"{source}/{n}"
+        spark.createDataFrame([(2, f"b{n}", datetime(2026, 1, 2 + n))], schema).write.parquet(folder)
+        stream = spark.readStream.schema(schema).parquet(folder)
+        for _ in range(2):
+            stream_log(stream, store, "t", checkpoint=str(tmp_path / checkpoint)).awaitTermination()
+    assert sorted(r.v for r in store.history().collect()) == ["a", "b0", "b1"]
+
+
+def test_load_refuses_a_history_that_goes_on(spark, tmp_path):
+    old = new_store(spark, tmp_path / "old")
+    old.merge(batch(spark, (1, "a")), "2026-01-01")
+    old.merge(batch(spark, (1, "b")), "2026-01-03")
+    with pytest.raises(ValueError, match="goes on after"):
+        new_store(spark, tmp_path / "new").load(old.history(), "2026-01-02")
+
+
 def test_drop_old(spark, tmp_path):
     store = new_store(spark, tmp_path / "t")
     for day, v in enumerate("abcd", 1):
@@ -372,7 +429,11 @@ def test_keyed_store(spark, tmp_path):
     got = sorted((r.k, r.month, r.n) for r in store.rows().collect())
     assert got == [(1, 1, 10), (1, 2, 21), (2, 2, 22)]
     # January was not written again.
-    assert not os.path.exists(f"{store._data(1)}/month=1")
+    assert len(store.rows(month=1).inputFiles()) == 1 and store.rows(month=1).inputFiles() != store.rows(month=2).inputFiles()
+    with pytest.raises(ValueError):
+        store.rows(k=1)
+    with pytest.raises(ValueError, match="key"):
+        KeyedStore(spark, str(tmp_path / "x"), ["k"], schema, ["month"])
     flat = KeyedStore(spark, str(tmp_path / "f"), ["k", "month"], schema)
     flat.upsert(load((1, 1, 10)), "2026-01-01")
     flat.upsert(load((1, 1, 11), (2, 1, 1)), "2026-01-02")
@@ -398,7 +459,7 @@ def test_stream_of_snapshots(spark, tmp_path):
     run()
     assert store.history().count() == 4
     assert [r.name for r in store.at().where("id = 'n1'").collect()] == ["renamed"]
-    assert store.commits.all().keys() == {0, 1}
+    assert store.commits.numbers() == [0, 1]
 
 
 def test_stream_of_timed_snapshots(spark, tmp_path):
@@ -443,8 +504,20 @@ def test_stream_counters_sets_late_events_aside(spark, tmp_path):
     assert [r.n for r in late] == [4]
 
 
+def test_late_and_untimed_events_are_kept(spark, tmp_path):
+    schema = spark.createDataFrame([], "k int, month int, year int, n bigint, last_seen timestamp").schema
+    store = KeyedStore(spark, str(tmp_path / "t"), ["k", "month", "year"], schema, ["year", "month"])
+    events = spark.createDataFrame([(1, datetime(2026, 2, 1), 2), (1, datetime(2025, 12, 1), 4), (1, None, 8)], "k int, t timestamp, n bigint")
+    assert late_events(store, events).count() == 0
+    events.write.parquet(str(tmp_path / "source"))
+    stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "source"))
+    stream_counters(stream, store, ["n"], "t", "2026-02-10").awaitTermination()
+    assert [r.n for r in store.rows().collect()] == [2]
+    assert sorted(r.n for r in late_events(store, events).collect()) == [4, 8]
+
+
 def test_session_settings(spark, tmp_path):
     assert session().conf.get("spark.sql.adaptive.enabled") == "true"
     assert shared_dir(spark) == shared_dir(spark)
     assert shuffle_partitions(0) == 200
-    assert shuffle_partitions(100 * 2**40) == 400_000
+    assert shuffle_partitions(100 * 2**40) == 100 * 2**40 // (256 * 2**20)
