@@ -1,15 +1,15 @@
 """Similarity join of documents by the Jaccard index of their word n-grams, for components.
 
 Every document is the set of its distinct shingles. Equal sets become one class. Candidate pairs of classes meet in
-tiles: of one shingle, in order of size, so that only sizes within the threshold of each other are
-paired. A pair passes on when the bit count of its signatures allows enough overlap: a signature holds
-the parity of the number of shingles at each hashed place, as many places as the next power of two over the set's
-size, so every differing bit proves a differing shingle. What passes is intersected exactly.
+tiles: of one shingle and one band of sizes with itself or the next, cut into blocks of bounded size, so only sizes within the
+threshold of each other are paired and a frequent shingle is many tiles. A pair leaves its tile when the bit count
+of its signatures allows enough overlap: a signature holds the parity of the number of shingles at each hashed place,
+two to four places for each shingle, so every differing bit proves a differing shingle. What passes is intersected exactly.
 
 Tiles come in two rounds. First each class is paired with one hub in the tiles of its smallest shingles, which joins
 groups of near copies in linear work, however large they are. Then prefixes (Jaccard at least t makes the first
 n - ceil(t n) + 1 shingles of two sets, in any common order, share one) give every pair that can still link
-two components. Shingles that are frequent in a sample come last in that order, so they make no large tiles; the
+two components: the nearest partner of each class in a tile first, then, between the components that are left, all. Shingles that are frequent in a sample come last in that order, so they make no large tiles; the
 order has no influence on the result.
 """
 
@@ -36,8 +36,9 @@ SAMPLE = 64
 LEAST = 4
 FREQUENT = 1 << 20
 BITMAP_LOG2 = 26
-# Pairs of a tile are made in parts of so many.
-PAIRS = 1 << 16
+# Rows of one tile on either side, by expectation, and bytes of signatures compared at a time.
+BLOCK = 2048
+COMPARED = 16 << 20
 
 
 def shingle_sets(w: W.Words, size: int, late: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,19 +69,45 @@ def shingle_sets(w: W.Words, size: int, late: np.ndarray) -> tuple[np.ndarray, n
 
 def _signature(values: np.ndarray) -> bytes:
     """Parity of the values at each of the places, as bits; places: a power of two from 64 on."""
-    places = max(64, 1 << int(len(values) - 1).bit_length())
+    places = max(64, 2 << int(len(values) - 1).bit_length())
     odd = np.bincount(values & (places - 1), minlength=places) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def _differing(a: bytes, b: bytes) -> int:
-    """Bits in which two signatures differ, the longer folded to the length of the shorter."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    if len(x) > len(y):
-        x, y = y, x
-    if len(y) > len(x):
-        y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
-    return int(np.bitwise_count(x ^ y).sum())
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Signatures (rows) as they would be with fewer places."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, width), axis=1)
+
+
+def _apart(signatures: pa.Array, left: np.ndarray, right: np.ndarray, others: pa.Array | None = None) -> np.ndarray:
+    """Bits in which signatures differ, pair by pair; the longer of two is folded to the length of the shorter."""
+
+    def by_width(column):
+        data, offsets = column.buffers()[2], np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
+        whole, sizes = np.frombuffer(data, np.uint8), np.diff(offsets)
+        row = np.zeros(len(column), np.int64)
+        tables = {}
+        for size in np.unique(sizes).tolist():
+            some = np.flatnonzero(sizes == size)
+            row[some] = np.arange(len(some))
+            place = offsets[some][:, None] + np.arange(size)[None, :]
+            tables[size] = whole[place].view(np.uint64)
+        return sizes, row, tables
+
+    one = by_width(signatures)
+    two = one if others is None else by_width(others)
+    out = np.zeros(len(left), np.int64)
+    wide = one[0][left] * np.int64(1 << 32) + two[0][right]
+    for both in np.unique(wide).tolist():
+        x, y = one[2][both >> 32], two[2][both & 0xFFFFFFFF]
+        width = min(x.shape[1], y.shape[1])
+        x, y = _folded(x, width), _folded(y, width)
+        some = np.flatnonzero(wide == both)
+        step = max(1, COMPARED // (width * 8))
+        for at in range(0, len(some), step):
+            part = some[at : at + step]
+            out[part] = np.bitwise_count(x[one[1][left[part]]] ^ y[two[1][right[part]]]).sum(1)
+    return out
 
 
 def _per_text(values: np.ndarray, counts: np.ndarray) -> Iterator[np.ndarray]:
@@ -223,53 +250,114 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held[0]
 
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes of one tile that lie in different components and near enough in size.
+def _possible(nx: np.ndarray, ny: np.ndarray, apart: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes, with at least `apart` shingles in one only, can be similar enough."""
+    both = nx + ny
+    most = np.minimum((both - apart) // 2, np.minimum(nx, ny))
+    return 100 * most >= percent * (both - most)
 
-    Rows come sorted by t and n. A tile in which all are of one component makes none.
+
+def _tile_pairs(batches: Iterator[pa.RecordBatch], percent: int, nearest: bool = False) -> Iterator[pa.RecordBatch]:
+    """Pairs of classes of one tile that lie in different components and whose signatures leave room.
+
+    `nearest` keeps for each row only the partner whose signature differs least: as many pairs as rows.
+    Rows come sorted by tile and side. Those of side 0 are paired with those of side 1; in a tile with one side only (2) each
+    with those behind it.
     """
-    for batch in _runs(batches, "t"):
-        t, n = batch.column("t").to_numpy(), batch.column("n").to_numpy().astype(np.int64)
-        c, comp = batch.column("c").to_numpy(), batch.column("comp").to_numpy()
-        # Each row is paired with the rows behind it in its tile, up to the last size that can link.
-        starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-        stop = np.repeat(np.concatenate([starts[1:], [len(t)]]), np.diff(np.concatenate([starts, [len(t)]])))
-        mixed = np.maximum.reduceat(comp, starts) != np.minimum.reduceat(comp, starts)
-        live = np.repeat(mixed, np.diff(np.concatenate([starts, [len(t)]])))
-        if not live.any():
-            continue
-        # Rows of a tile lie in ascending size, so one search over (tile, size) finds where a row's band ends.
-        tile = np.cumsum(np.concatenate([[True], t[1:] != t[:-1]]))
-        wide = np.int64(n.max()) * 2 + 2
-        band = np.searchsorted(tile * wide + n, tile * wide + np.minimum(n * 100 // percent, wide - 1), "right")
-        partners = np.where(live, np.minimum(band, stop) - np.arange(len(t)) - 1, 0)
+    for batch in _runs(batches, "tile"):
+        tile, side = batch.column("tile").to_numpy(), batch.column("side").to_numpy()
+        n, c, comp = (batch.column(k).to_numpy().astype(np.int64) for k in ("n", "c", "comp"))
+        here = np.arange(len(tile))
+        starts = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
+        sizes = np.diff(np.concatenate([starts, [len(tile)]]))
+        stop = np.repeat(starts + sizes, sizes)
+        second = np.repeat(starts + np.add.reduceat((side == 0).astype(np.int64), starts), sizes)
+        begin = np.where(side == 2, here + 1, second)
+        partners = np.where(side == 1, 0, stop - begin)
         ends = np.cumsum(partners)
         at = 0
-        while at < len(t):
+        while at < len(tile):
             done = ends[at - 1] if at else 0
-            upto = max(at + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
+            upto = max(at + 1, int(np.searchsorted(ends, done + (1 << 18), "right")))
             many = partners[at:upto]
-            left = np.repeat(np.arange(at, upto), many)
-            right = left + 1 + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-            other = comp[left] != comp[right]
-            x, y = c[left[other]], c[right[other]]
+            left = np.repeat(here[at:upto], many)
+            right = np.repeat(begin[at:upto] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+            at = upto
+            ok = (comp[left] != comp[right]) & _possible(n[left], n[right], np.int64(0), percent)
+            left, right = left[ok], right[ok]
+            if not len(left):
+                continue
+            apart = _apart(batch.column("sig"), left, right)
+            ok = _possible(n[left], n[right], apart, percent)
+            left, right, apart = left[ok], right[ok], apart[ok]
+            if nearest and len(left):
+                row, other = np.concatenate([left, right]), np.concatenate([right, left])
+                order = np.lexsort((np.concatenate([apart, apart]), row))
+                first = order[np.concatenate([[True], row[order][1:] != row[order][:-1]])]
+                left, right = row[first], other[first]
+            x, y = c[left], c[right]
             if len(x):
                 pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["x", "y"])
-            at = upto
+
+
+def _tiles(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Rows (t, n, c, comp) of shingles that reach over components, once for each tile they belong to.
+
+    Bands are a little wider than the threshold: sizes that can link lie in one band or two neighbouring ones. A band
+    of a shingle with more than BLOCK rows has several blocks, and every pair of blocks is a tile. The bands of a shingle
+    with fewer rows in all are one tile, in which sizes are compared as they are.
+    """
+    banded = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / np.log(100.01 / percent)).cast("int"))
+    counted = banded.groupBy("t", "band").agg(
+        F.min("comp").alias("low"),
+        F.max("comp").alias("high"),
+        F.count(F.lit(1)).alias("rows"),
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
+    )
+    # A shingle has as many bands as sizes differ by the threshold: a hundred at most.
+    mixed = (
+        counted.groupBy("t")
+        .agg(
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            F.sum("rows").alias("rows"),
+            F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("blocks"),
+        )
+        .where(F.col("low") < F.col("high"))
+        .select("t", (F.col("rows") <= BLOCK).alias("small"), "blocks")
+    )
+    live = banded.join(mixed, "t").join(classes.select("c", "sig"), "c")
+    many = lambda band: F.coalesce(F.try_element_at("blocks", band), F.lit(0))
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    band, own = F.col("band"), F.pmod(F.xxhash64("c"), many(F.col("band"))).cast("int")
+
+    def place(low, high, i, j, side):
+        return F.struct(F.xxhash64(F.col("t"), low, high, i, j).alias("tile"), side.cast("tinyint").alias("side"))
+
+    within = F.transform(
+        upto(many(band)),
+        lambda k: place(
+            band, band, F.least(own, k), F.greatest(own, k), F.when(own == k, F.lit(2)).when(own < k, F.lit(0)).otherwise(F.lit(1))
+        ),
+    )
+    above = F.transform(upto(many(band + 1)), lambda k: place(band, band + 1, own, k, F.lit(0)))
+    below = F.transform(upto(many(band - 1)), lambda k: place(band - 1, band, k, own, F.lit(1)))
+    none = F.lit(-1)
+    places = F.when(F.col("small"), F.array(place(none, none, none, none, F.lit(2)))).otherwise(F.concat(within, above, below))
+    return live.select("n", "c", "comp", "sig", F.explode(places).alias("p")).select(
+        "p.tile", "p.side", "n", "c", "comp", "sig"
+    )
 
 
 def _bounded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose sizes and signatures leave room for enough overlap."""
     for batch in batches:
         nx, ny = (batch.column(k).to_numpy() for k in ("nx", "ny"))
-        keep = 100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)
-        for i in np.flatnonzero(keep).tolist():
-            apart = _differing(batch.column("sx")[i].as_py(), batch.column("sy")[i].as_py())
-            both = int(nx[i] + ny[i])
-            most = (both - apart) // 2
-            keep[i] = 100 * most >= percent * (both - most)
-        yield batch.select(["x", "y"]).filter(pa.array(keep))
+        some = np.flatnonzero(_possible(nx, ny, np.int64(0), percent))
+        apart = _apart(batch.column("sx"), some, some, batch.column("sy"))
+        keep = some[_possible(nx[some], ny[some], apart, percent)]
+        yield batch.select(["x", "y"]).take(pa.array(keep))
 
 
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -341,7 +429,7 @@ def near_duplicates(
     - A null id is not the smallest one of its component unless all its ids are null.
     - Empty tables give no rows. Other columns are not read.
 
-    Sets are compared by 62-bit hashes of their shingles. Documents are scanned four times and never shuffled;
+    Sets are compared by 62-bit hashes of their shingles. Documents are scanned five times and never shuffled;
     what is shuffled are prefixes (a fifth of the shingles) and the sets of candidates. Hubs, tiles and pairs go
     through joins that adaptive execution splits.
     """
@@ -388,15 +476,17 @@ def near_duplicates(
         .mapInArrow(_shared, "t bigint, row_key bigint, n int")
     )
     placed = classes.select("row_key", "c").join(first.withColumnRenamed("node", "c"), "c", "left")
-    tiles = (
-        postings.join(placed, "row_key")
-        .select("t", "n", "c", F.coalesce("label", "c").alias("comp"))
-        .repartition(F.col("t"))
-        .sortWithinPartitions("t", "n")
-    )
-    crossing = tiles.mapInArrow(lambda b: _tile_pairs(b, percent), _PAIR).distinct()
-    more = _links(docs, classes, crossing, size, percent)
-    final = components(links.union(more))
+    rows = cut(postings.join(placed, "row_key").select("t", "n", "c", F.coalesce("label", "c").alias("comp")))
+
+    def met(rows: DataFrame, nearest: bool) -> DataFrame:
+        tiles = _tiles(rows, classes, percent).repartition(F.col("tile")).sortWithinPartitions("tile", "side")
+        return tiles.mapInArrow(lambda b: _tile_pairs(b, percent, nearest), _PAIR).distinct()
+
+    # The nearest partners come before all others: they join most of what is left, and so leave few pairs.
+    links = links.union(_links(docs, classes, met(rows, True), size, percent))
+    joined = components(links).withColumnRenamed("node", "c")
+    rows = rows.select("t", "n", "c").join(joined, "c", "left").select("t", "n", "c", F.coalesce("label", "c").alias("comp"))
+    final = components(links.union(_links(docs, classes, met(cut(rows), False), size, percent)))
 
     labelled = classes.select("a", "b", "n", "low", "c").join(final.withColumnRenamed("node", "c"), "c", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "c"))
@@ -415,11 +505,10 @@ def representatives(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     Of rows that repeat that id one stays. Rows of a null id all stay: nothing tells them apart.
     """
     found = near_duplicates(documents, doc_id, text)
-    kept = found.where(F.col(doc_id) == F.col("component_id")).select(F.col(doc_id).alias("_kept")).distinct()
-    same = documents.join(kept, F.col(doc_id) == F.col("_kept"), "left_semi")
-    again = found.groupBy(doc_id).agg(F.count(F.lit(1)).alias("rows")).where((F.col("rows") > 1) & F.col(doc_id).isNotNull())
-    again = again.select(F.col(doc_id).alias("_again"))
-    # Only repeated ids are shuffled with their texts.
-    single = same.join(again, F.col(doc_id) == F.col("_again"), "left_anti")
-    repeated = same.join(again, F.col(doc_id) == F.col("_again"), "left_semi").dropDuplicates([doc_id])
+    kept = found.where(F.col(doc_id) == F.col("component_id")).select(doc_id).distinct()
+    same = documents.join(kept, doc_id, "left_semi")
+    again = found.groupBy(doc_id).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1).select(doc_id)
+    # Only repeated ids are shuffled with their texts. Null ids match in no join.
+    single = same.join(again, doc_id, "left_anti")
+    repeated = same.join(again, doc_id, "left_semi").dropDuplicates([doc_id])
     return single.unionByName(repeated).unionByName(documents.where(F.col(doc_id).isNull()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from palimpsest.llm import jaccard
@@ -70,7 +71,8 @@ def test_frequent_shingles_come_last_and_change_nothing(spark, monkeypatch):
     docs = corpus(5, 80)
     monkeypatch.setattr(jaccard, "SAMPLE", 1)
     monkeypatch.setattr(jaccard, "SKETCH", 1)
-    monkeypatch.setattr(jaccard, "PAIRS", 7)
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    monkeypatch.setattr(jaccard, "COMPARED", 64)
     assert run(spark, docs) == brute(docs)
 
 
@@ -96,8 +98,10 @@ def test_signatures_bound_the_overlap():
     for a, b in [(3, 3), (10, 700), (64, 65), (5000, 5100)]:
         pool = rng.integers(0, 1 << 62, a + b)
         x, y = np.unique(pool[:a]), np.unique(pool[a // 2 : a // 2 + b])
-        apart = jaccard._differing(jaccard._signature(x), jaccard._signature(y))
-        assert len(np.setxor1d(x, y)) >= apart
+        column = pa.array([jaccard._signature(x), jaccard._signature(y)], pa.binary())
+        (apart,) = jaccard._apart(column, np.array([0]), np.array([1]))
+        assert 0 < apart <= len(np.setxor1d(x, y))
+        assert jaccard._apart(column, np.array([1]), np.array([0]), column).tolist() == [apart]
 
 
 @pytest.mark.parametrize("edges", [[], [(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (8, 8)], [(0, i) for i in range(1, 50)] + [(60, 59)]])
