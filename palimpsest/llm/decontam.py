@@ -269,4 +269,4 @@ def decontaminate(
 def without(documents: DataFrame, found: DataFrame, doc_id: str = "doc_id", most: float = 0.0) -> DataFrame:
     """Documents of which at most the share `most` of the words is hit, with their columns."""
     bad = found.where(F.col("n_hit") > most * F.col("n_words")).select(F.col(doc_id).alias("_bad")).distinct()
-    return documents.join(bad, F.col(doc_id).eqNullSafe(F.col("_bad")), "left_anti")
+    return documents.join(bad, documents[doc_id].eqNullSafe(bad["_bad"]), "left_anti")
