@@ -31,8 +31,9 @@ NORMAL, UNKNOWN, BYTE, UNUSED, USER = 1, 2, 6, 5, 4
 UNIGRAM, BPE = 1, 2
 # Words kept with their pieces by one task, and pairs of pieces with whether they stay apart.
 CACHED_WORDS = 500_000
-CACHED_PAIRS = 1_000_000
-NO_PAIRS = np.array([-1]), np.array([False])
+CACHED_PAIRS = 4_000_000
+NO_PAIRS = np.zeros(0, np.int64), np.zeros(0, bool)
+LATE_PAIRS = 10_000
 # A batch of words of one length is searched in parts of so many characters times the longest piece.
 CELLS = 1 << 21
 
@@ -58,7 +59,7 @@ class Model:
         keys = np.array([_hash_of(self.pieces[i]) for i in usable], np.uint64)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(usable, np.int64)[order]
-        self.lengths = [len(p) for p in self.pieces]
+        self.lengths = np.array([len(p) for p in self.pieces], np.int64)
         self.longest = max((len(self.pieces[i]) for i in usable), default=1)
         self.place = {self.pieces[i]: i for i in usable}
         self.bytes = {i: int(self.pieces[i][3:5], 16) for i, k in enumerate(self.kinds) if k == BYTE}
@@ -67,7 +68,7 @@ class Model:
         normal = [self.scores[i] for i, k in enumerate(self.kinds) if k == NORMAL]
         # What an uncovered character costs, below every piece.
         self.penalty = min(normal, default=0.0) - 10.0
-        self.apart = NO_PAIRS
+        self.apart = NO_PAIRS, NO_PAIRS
         self.words: dict[str, bytes] = {}
 
 
@@ -127,13 +128,20 @@ def _stays_apart(model: Model, pairs: np.ndarray) -> np.ndarray:
 
     Ids from the number of pieces on are single characters that no piece covers.
     """
-    known, answers = model.apart
-    at = np.searchsorted(known, pairs)
-    at[at == len(known)] = 0
-    hit = known[at] == pairs
-    out = answers[at]
-    if not hit.all():
-        new, back = np.unique(pairs[~hit], return_inverse=True)
+    out = np.zeros(len(pairs), bool)
+    open_ = np.arange(len(pairs))
+    # What is known lies in a large table and a small one of late entries, which is merged into it now and then.
+    for known, answers in model.apart:
+        if not len(open_) or not len(known):
+            continue
+        wanted = pairs[open_]
+        at = np.searchsorted(known, wanted)
+        at[at == len(known)] = 0
+        hit = known[at] == wanted
+        out[open_[hit]] = answers[at[hit]]
+        open_ = open_[~hit]
+    if len(open_):
+        new, back = np.unique(pairs[open_], return_inverse=True)
         total = len(model.pieces)
         fresh = np.empty(len(new), bool)
         for i, code in enumerate(new.tolist()):
@@ -144,13 +152,20 @@ def _stays_apart(model: Model, pairs: np.ndarray) -> np.ndarray:
             else:
                 a = model.pieces[left] if left < total else chr(left - total)
                 fresh[i] = _merge(model, a + b) == [a, b]
-        out[~hit] = fresh[back]
-        known, answers = (known, answers) if len(known) < CACHED_PAIRS else NO_PAIRS
-        place = np.searchsorted(known, new)
-        model.apart = np.insert(known, place, new), np.insert(answers, place, fresh)
+        out[open_] = fresh[back]
+        large, late = model.apart
+        late = _with(late, new, fresh)
+        if len(late[0]) > LATE_PAIRS + len(large[0]) // 8:
+            large, late = _with(large, *late) if len(large[0]) < CACHED_PAIRS else late, NO_PAIRS
+        model.apart = large, late
     return out
 
 
+def _with(table: tuple[np.ndarray, np.ndarray], codes: np.ndarray, answers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    place = np.searchsorted(table[0], codes)
+    return np.insert(table[0], place, codes), np.insert(table[1], place, answers)
+
+
 def _search(model: Model, points: np.ndarray) -> np.ndarray:
     """Back pointers of words of one length (rows of code points): the piece (or character) ending at each place."""
     rows, n = points.shape
@@ -215,32 +230,45 @@ def _ids(model: Model, codes: list[int]) -> list[int]:
     return out
 
 
+def _paths(model: Model, last: np.ndarray) -> list[bytes]:
+    """The pieces of each word, as the bytes of an int32 array, by following all back pointers at once."""
+    rows, n = len(last), last.shape[1] - 1
+    total = len(model.pieces)
+    steps = np.full((rows, n), -1, np.int64)
+    every, end = np.arange(rows), np.full(rows, n)
+    live = every
+    for k in range(n - 1, -1, -1):
+        code = last[live, end[live]]
+        steps[live, k] = code
+        end[live] -= np.where(code < total, model.lengths[np.minimum(code, total - 1)], 1)
+        live = live[end[live] > 0]
+        if not len(live):
+            break
+    held = steps >= 0
+    flat = steps[held].astype(np.int32).tobytes()
+    stops = (np.cumsum(held.sum(1)) * 4).tolist()
+    out = [flat[a:b] for a, b in zip([0, *stops], stops)]
+    for i in np.flatnonzero(steps.max(axis=1) >= total).tolist():
+        out[i] = array("i", _ids(model, steps[i][held[i]].tolist())).tobytes()
+    return out
+
+
 def encode_words(model: Model, words: list[str]) -> list[bytes]:
     """Ids of every word, as the bytes of an int32 array; words of one length are searched together, in batches of bounded size."""
     by_length: dict[int, list[int]] = {}
     for i, word in enumerate(words):
         by_length.setdefault(len(word), []).append(i)
     out = [b""] * len(words)
-    total, lengths = len(model.pieces), model.lengths
     for n, places in by_length.items():
         if not n:
             continue
         step = max(1, CELLS // (n * model.longest))
         for at in range(0, len(places), step):
             some = places[at : at + step]
-            text = "".join(words[i] for i in some).encode("utf-32-le", "surrogatepass")
+            text = "".join([words[i] for i in some]).encode("utf-32-le", "surrogatepass")
             points = np.frombuffer(text, np.uint32).reshape(len(some), n).astype(np.uint64)
-            last = _search(model, points).tolist()
-            for i, row in zip(some, last):
-                codes, end = [], n
-                while end:
-                    code = row[end]
-                    codes.append(code)
-                    end -= lengths[code] if code < total else 1
-                codes.reverse()
-                if max(codes) >= total:
-                    codes = _ids(model, codes)
-                out[i] = array("i", codes).tobytes()
+            for i, ids in zip(some, _paths(model, _search(model, points))):
+                out[i] = ids
     return out
 
 
