@@ -244,8 +244,11 @@ def fit(documents: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: in
         for batch in W.slices(batches, "text"):
             w = W.split(batch.column("text"), W.ALNUM)
             number = _ids(w.hashes, *sent.value)
-            # By a hash of the word before and its own, so the same places are chosen in any partitioning.
-            at = np.flatnonzero(W.mix(w.hashes + np.concatenate([w.hashes[:1], w.hashes[:-1]])) % np.uint64(rate) == 0)
+            # By a hash of the text and the place in it, so the same places are chosen in any partitioning.
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.hashes)])
+            text = np.repeat(sums[w.first[1:]] - sums[w.first[:-1]], w.counts)
+            place = np.arange(len(number)) - np.repeat(w.first[:-1], w.counts)
+            at = np.flatnonzero(W.mix(text + W.mix(place.astype(np.uint64))) % np.uint64(rate) == 0)
             rows = np.concatenate([_windows(number, w.first, at), number[at][:, None]], axis=1).astype(np.int16)
             yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary())], names=["rows"])
 
