@@ -72,5 +72,5 @@ def test_column(spark):
     pages = spark.createDataFrame([(1, None, "z"), (2, "", "z"), (3, "<p>a", "z"), (3, "<p>a", "z")], "page_id long, html string, visible_text string")
     got = extract(pages)
     assert got.columns == ["page_id", "html", "visible_text"]
-    assert sorted(r["visible_text"] or "null" for r in got.collect()) == ["", "a", "a", "null"]
+    assert sorted("null" if r["visible_text"] is None else r["visible_text"] for r in got.collect()) == ["", "a", "a", "null"]
     assert extract(pages.limit(0)).count() == 0
