@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -191,8 +192,24 @@ def fit(
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < most).distinct()
     texts = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(F.length("text") <= LONGEST)
     # The chosen ids number about `rows`, whatever the input.
-    sample = texts.join(F.broadcast(chosen), "id").toPandas().sort_values(["id", "label", "text"], kind="stable")
-    return train(sample["text"].tolist(), sample["label"].to_numpy(np.int64))
+    sample = texts.join(F.broadcast(chosen), "id")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([sample_schema, *frames]).sort_values(["id", "label", "text"], kind="stable")
+        model = train(rows["text"].tolist(), rows["label"].to_numpy(np.int64))
+        used = np.flatnonzero(model.table.any(axis=1))
+        parts = [used, model.table[used], model.weights, model.bias]
+        yield pd.DataFrame({"part": range(4), "data": [p.tobytes() for p in parts]})
+
+    # One task trains on the bounded sample: its arrays are several times the sample, and the driver needs none of them.
+    sample_schema = pd.DataFrame({"id": [], "text": [], "label": []})
+    found = {r["part"]: bytes(r["data"]) for r in sample.repartition(1).mapInPandas(run, "part int, data binary").collect()}
+    table = np.zeros((1 << BUCKETS_LOG2, DIMENSIONS), np.float32)
+    if not found:  # a task without rows
+        return train([], np.zeros(0, np.int64))
+    table[np.frombuffer(found[0], np.int64)] = np.frombuffer(found[1], np.float32).reshape(-1, DIMENSIONS)
+    weights = np.frombuffer(found[2], np.float32).reshape(DIMENSIONS, 2)
+    return Model(table, weights, np.frombuffer(found[3], np.float32))
 
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
