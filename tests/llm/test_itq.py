@@ -71,6 +71,38 @@ def test_recall_and_precision(spark, d):
     assert found >= 0.95 * all_of_them
 
 
+def around_a_mean(seed, n, mean, near):
+    """Unit vectors of 64 dimensions of the mean cosine, and partners for the first of them at a cosine of 0.905."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = math.sqrt(mean) * np.eye(64)[0] + math.sqrt(1 - mean) * x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    aside = rng.standard_normal((near, 64))
+    aside -= (aside * x[:near]).sum(1, keepdims=True) * x[:near]
+    return x, 0.905 * x[:near] + math.sqrt(1 - 0.905**2) * aside / np.linalg.norm(aside, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("width, mean", [(20, 0.0), (25, 0.0), (20, 0.3), (16, 0.6)])
+def test_tables_follow_the_width_and_the_mean(width, mean):
+    x, y = around_a_mean(1, 4000, mean, 2000)
+    models, narrow, apart = itq._fitted({64: x}, 0.9, width)
+    centre, axes = models[64]
+    fx, fy = (x[:2000] - centre) @ axes, (y - centre) @ axes
+    (bx, wx), (by, wy) = itq._chunks(fx, narrow), itq._chunks(fy, narrow)
+    differ = bx != by
+    met = [np.take_along_axis(differ, w, 2).sum(2) == differ.sum(2) for w in (wx, wy)]
+    assert (met[0] | met[1]).any(1).mean() >= 0.9
+    assert (((fx >= 0) != (fy >= 0)).mean(1) <= apart).mean() > 0.99
+
+
+def test_recall_in_wide_chunks_around_a_mean(spark):
+    rows = [(i, [float(f) for f in np.float32(v)]) for i, v in enumerate(np.concatenate(around_a_mean(2, 700, 0.3, 300)))]
+    got, want = {r[0]: r for r in run(spark, rows, width=22)}, {r[0]: r for r in brute(rows)}
+    assert all(got[i][1] <= want[i][1] for i in want)
+    assert sum(r[1] for r in got.values()) >= 0.9 * sum(r[1] for r in want.values()) >= 500
+
+
 def test_threshold_is_checked(spark):
     with pytest.raises(ValueError):
         run(spark, [(1, [1.0])], cosine=0.0)
