@@ -5,8 +5,8 @@ score is the sum of the logarithms of what it gives to each word. Words outside
 all documents, share buckets by hash. The softmax has two levels: a class of words, then a word of the class.
 
 The network is trained in numpy where the data lie: every partition of training windows trains a copy, the copies
-are averaged in a tree of bounded width, and the average is where the next round begins. Windows are taken from every document
-at a fixed rate, so what is learned from grows with the corpus.
+are averaged in a tree of bounded width, and the average is where the next round begins. Every word of every document is a
+training window in one of the rounds.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ OUTSIDE = VOCABULARY
 SIDE = 3
 DIMENSIONS = 16
 HIDDEN = 32
-# One word in RATE is a training window; ROUNDS passes over the windows.
-RATE = 24
+# A round trains on the words of one residue in RATE, the next round on those of the next: ROUNDS = RATE uses each word once.
+RATE = 2
 ROUNDS = 2
 BATCH = 2048
 STEP = 0.01
@@ -194,6 +194,14 @@ def _windows(ids: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def _residues(w: W.Words, rate: int) -> np.ndarray:
+    """The round of every word, by a hash of its text and its place in it, so it is the same in any partitioning."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.hashes)])
+    text = np.repeat(sums[w.first[1:]] - sums[w.first[:-1]], w.counts)
+    place = np.arange(len(w.hashes)) - np.repeat(w.first[:-1], w.counts)
+    return (W.mix(text + W.mix(place.astype(np.uint64))) % np.uint64(rate)).astype(np.int64)
+
+
 def _vocabulary(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The NAMED most frequent words of all documents."""
 
@@ -233,38 +241,33 @@ def _average(copies: DataFrame) -> np.ndarray:
 
 
 def fit(documents: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: int = RATE) -> Model:
-    """Vocabulary and network from all documents. Without any word the network stays as it began."""
+    """Vocabulary and network from all documents. Without any word the network stays as it began.
+
+    Round r trains on the places whose hash is r modulo `rate`, so `rate` rounds see every word; windows are made anew
+    from the texts in each round and stored nowhere.
+    """
     docs = documents.select(F.col(text).alias("text"))
     known, ids = _vocabulary(docs)
     net = Network.new()
     context = documents.sparkSession.sparkContext
     sent = context.broadcast((known, ids))
 
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sample(batches: Iterator[pa.RecordBatch], residue: int) -> Iterator[np.ndarray]:
         for batch in W.slices(batches, "text"):
             w = W.split(batch.column("text"), W.ALNUM)
             number = _ids(w.hashes, *sent.value)
-            # By a hash of the text and the place in it, so the same places are chosen in any partitioning.
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.hashes)])
-            text = np.repeat(sums[w.first[1:]] - sums[w.first[:-1]], w.counts)
-            place = np.arange(len(number)) - np.repeat(w.first[:-1], w.counts)
-            at = np.flatnonzero(W.mix(text + W.mix(place.astype(np.uint64))) % np.uint64(rate) == 0)
-            rows = np.concatenate([_windows(number, w.first, at), number[at][:, None]], axis=1).astype(np.int16)
-            yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary())], names=["rows"])
-
-    windows = cut(docs.mapInArrow(sample, "rows binary"))
-    for _ in range(rounds):
+            at = np.flatnonzero(_residues(w, rate) == residue)
+            for k in range(0, len(at), 1 << 16):
+                some = at[k : k + (1 << 16)]
+                yield np.concatenate([_windows(number, w.first, some), number[some][:, None]], axis=1)
+
+    for r in range(rounds):
         now = context.broadcast(net.flat())
 
-        def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def copy(batches: Iterator[pa.RecordBatch], residue: int = r % rate) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
-            def parts():
-                for batch in batches:
-                    for data in batch.column("rows"):
-                        yield np.frombuffer(data.as_py(), np.int16).reshape(-1, 2 * SIDE + 1).astype(np.int64)
-
-            trained, rows = train(Network.unflat(now.value), parts())
+            trained, rows = train(Network.unflat(now.value), sample(batches, residue))
             if rows:
                 flat = trained.flat()
                 blocks = [flat[k : k + BLOCK].tobytes() for k in range(0, len(flat), BLOCK)]
@@ -275,9 +278,9 @@ def fit(documents: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: in
                     names=["copy", "block", "rows", "data"],
                 )
 
-        copies = cut(windows.mapInArrow(copy, "copy bigint, block int, rows bigint, data binary"))
+        copies = cut(docs.mapInArrow(copy, "copy bigint, block int, rows bigint, data binary"))
         if copies.isEmpty():
-            break
+            continue  # a tiny corpus may have no word in this residue
         net = Network.unflat(_average(copies))
     return Model(known, ids, net)
 

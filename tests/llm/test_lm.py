@@ -110,3 +110,19 @@ def test_nulls_empty_and_repeats(spark):
     assert len([r for r in rows if r[0] == 3]) == 1 and all(r[2] < 0 for r in rows if r[0] == 3)
     empty = docs.limit(0)
     assert lm.score(empty, lm.fit(empty)).count() == 0
+
+
+def test_production_rounds_train_on_every_word(spark, monkeypatch):
+    """With the module's own parameters the rows trained on are all words, those of short texts too."""
+    docs = spark.createDataFrame([(i, " ".join(f"t{i}x{k}" for k in range(1 + i % 9))) for i in range(90)], "doc_id long, text string")
+    seen = []
+    average = lm._average
+
+    def counted(copies):
+        once = copies.where("block = 0").agg({"rows": "sum"}).first()[0]
+        seen.append(once)
+        return average(copies)
+
+    monkeypatch.setattr(lm, "_average", counted)
+    lm.fit(docs)
+    assert sum(seen) == sum(1 + i % 9 for i in range(90)) and len(seen) == lm.ROUNDS
