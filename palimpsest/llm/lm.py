@@ -128,17 +128,22 @@ def _gradient(net: Network, around: np.ndarray, target: np.ndarray) -> list[np.n
     of_classes = wide.T @ error
     back = error @ net.classes.T
     of_within = np.zeros_like(net.within)
+    # Rows in the order of their classes, so that each class is a slice.
     order = np.argsort(group, kind="stable")
-    begin = 0
-    for g, end in enumerate(np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()):
-        if end > begin:
-            some = order[begin:end]
-            own = _softmax(wide[some] @ net.within[g])
-            own[np.arange(len(some)), place[some]] -= 1
-            own /= n
-            of_within[g] = wide[some].T @ own
-            back[some] += own @ net.within[g].T
-        begin = end
+    ends = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
+    parts = [(g, begin, end) for g, (begin, end) in enumerate(zip([0, *ends], ends)) if end > begin]
+    sorted_wide = wide[order]
+    own = np.empty((len(target), WITHIN), wide.dtype)
+    for g, begin, end in parts:
+        np.matmul(sorted_wide[begin:end], net.within[g], out=own[begin:end])
+    own = _softmax(own)
+    own[np.arange(len(own)), place[order]] -= 1
+    own /= n
+    sorted_back = np.empty_like(wide)
+    for g, begin, end in parts:
+        of_within[g] = sorted_wide[begin:end].T @ own[begin:end]
+        np.matmul(own[begin:end], net.within[g].T, out=sorted_back[begin:end])
+    back[order] += sorted_back
     back = back[:, :HIDDEN] * (1 - hidden * hidden)
     of_seen = (back @ inner.T).reshape(-1, DIMENSIONS)
     ids = around.ravel()
