@@ -2,7 +2,8 @@
 
 A small network sees the words on both sides of a place and gives a distribution over the word at it. A document's
 score is the sum of the logarithms of what it gives to each word. Words outside a vocabulary, counted over
-all documents, share buckets by hash. The softmax has two levels: a class of words, then a word of the class.
+all documents, share buckets by hash; such a word has the probability of its bucket times its share of the bucket's counts.
+The softmax has two levels: a class of words, then a word of the class.
 
 The network is trained in numpy where the data lie: every partition of training windows trains a copy, the copies
 are averaged in a tree of bounded width, and the average is where the next round begins. Every word of every document is a
@@ -171,11 +172,16 @@ def train(net: Network, batches: Iterator[np.ndarray]) -> tuple[Network, int]:
 
 @dataclass
 class Model:
-    """hashes: the words of the vocabulary, sorted; ids: their numbers, by falling frequency."""
+    """hashes: the words of the vocabulary, sorted; ids: their numbers, by falling frequency.
+
+    counts: word and n of every word of the documents; totals: for each bucket 1 + its distinct words + their counts.
+    """
 
     hashes: np.ndarray
     ids: np.ndarray
     network: Network
+    counts: DataFrame
+    totals: np.ndarray
 
 
 def _ids(hashes: np.ndarray, known: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -207,8 +213,8 @@ def _residues(w: W.Words, rate: int) -> np.ndarray:
     return (W.mix(text + W.mix(place.astype(np.uint64))) % np.uint64(rate)).astype(np.int64)
 
 
-def _vocabulary(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The NAMED most frequent words of all documents."""
+def _counts(docs: DataFrame) -> DataFrame:
+    """word (its hash) and n of every word of all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.slices(batches, "text"):
@@ -216,12 +222,29 @@ def _vocabulary(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(times)], names=["word", "n"])
 
     counts = docs.select("text").mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return cut(counts)
+
+
+def _vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The NAMED most frequent words of all documents."""
     top = counts.orderBy(F.desc("n"), "word").limit(NAMED).collect()
     hashes = np.array([r["word"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     return hashes[order], order.astype(np.int64)
 
 
+def _totals(counts: DataFrame, known: np.ndarray) -> np.ndarray:
+    """For each bucket 1 + the number of its distinct words + the sum of their counts, words of the vocabulary left out."""
+    bucket = F.col("word").bitwiseAND(WITHIN - 1).cast("int").alias("bucket")
+    out = np.ones(WITHIN)
+    for r in counts.groupBy(bucket).agg((F.count(F.lit(1)) + F.sum("n")).alias("n")).collect():
+        out[r["bucket"]] += r["n"]
+    named = counts.sparkSession.createDataFrame([(int(h),) for h in known.view(np.int64)], "word bigint")
+    for r in counts.join(F.broadcast(named), "word").select(bucket, (F.col("n") + 1).alias("n")).collect():
+        out[r["bucket"]] -= r["n"]
+    return out
+
+
 def _average(copies: DataFrame) -> np.ndarray:
     """The mean of all copies (copy, block, rows, values), weighted by their rows."""
 
@@ -252,7 +275,8 @@ def fit(documents: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: in
     from the texts in each round and stored nowhere.
     """
     docs = documents.select(F.col(text).alias("text"))
-    known, ids = _vocabulary(docs)
+    counts = _counts(docs)
+    known, ids = _vocabulary(counts)
     net = Network.new()
     context = documents.sparkSession.sparkContext
     sent = context.broadcast((known, ids))
@@ -287,14 +311,56 @@ def fit(documents: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: in
         if copies.isEmpty():
             continue  # a tiny corpus may have no word in this residue
         net = Network.unflat(_average(copies))
-    return Model(known, ids, net)
+    return Model(known, ids, net, counts, _totals(counts, known))
+
+
+def _shares(documents: DataFrame, model: Model, text: str) -> DataFrame:
+    """_key (of a text) and _share: the sum of the logarithms of its outside words' shares of their buckets."""
+    sent = documents.sparkSession.sparkContext.broadcast(model.hashes)
+
+    def outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches, "text"):
+            w = W.split(batch.column("text"), W.ALNUM)
+            known, owner = sent.value, w.owner
+            if len(known):
+                at = np.searchsorted(known, w.hashes)
+                at[at == len(known)] = 0
+                rare = np.flatnonzero(known[at] != w.hashes)
+            else:
+                rare = np.arange(len(owner))
+            # Each word of a text once, with its number there; the first of a text counts the text.
+            order = rare[np.lexsort((w.hashes[rare], owner[rare]))]
+            word, own = w.hashes[order], owner[order]
+            first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (own[1:] != own[:-1])])) if len(order) else order
+            times = np.diff(np.append(first, len(order)))
+            word, own = word[first], own[first]
+            begins = np.concatenate([[True], own[1:] != own[:-1]]) if len(own) else np.zeros(0, bool)
+            key = batch.column("_key").take(pa.array(own))
+            yield pa.RecordBatch.from_arrays(
+                [key, pa.array(word.view(np.int64)), pa.array(times.astype(np.int32)), pa.array(begins.astype(np.int32))],
+                names=["_key", "word", "times", "texts"],
+            )
+
+    texts = documents.select(F.xxhash64(F.col(text)).alias("_key"), F.col(text).alias("text"))
+    words = texts.mapInArrow(outside, "_key bigint, word bigint, times int, texts int")
+    totals = F.array(*[F.lit(float(t)) for t in model.totals])
+    total = F.get(totals, F.col("word").bitwiseAND(WITHIN - 1).cast("int"))
+    # One more than the count, for words that the counts lack too.
+    share = F.log((F.coalesce("n", F.lit(0)) + 1) / total)
+    # Equal texts have one key: their sum is divided by their number.
+    return (
+        words.join(model.counts, "word", "left")
+        .groupBy("_key")
+        .agg((F.sum(F.col("times") * share) / F.sum("texts")).alias("_share"))
+    )
 
 
 def score(documents: DataFrame, model: Model, text: str = "text", rows: int = 1 << 14) -> DataFrame:
     """All columns of the documents with n_words, log_prob and perplexity.
 
     log_prob is the sum over all words of the logarithm of the probability that the network gives to the word from the SIDE words
-    on either side; perplexity is exp(-log_prob / n_words). Texts without words, empty and null ones have no words, log_prob 0 and a null
+    on either side. For a word outside the vocabulary that is its bucket's probability times (n + 1) / (1 + the bucket's distinct words
+    + their counts), n being the word's count in the documents of the model, 0 for unseen ones. perplexity is exp(-log_prob / n_words). Texts without words, empty and null ones have no words, log_prob 0 and a null
     perplexity. Repeated rows get equal scores. Columns of these names are replaced. A task holds 4 MB of text, or one longer text, and
     the layers of `rows` words.
     """
@@ -315,19 +381,21 @@ def score(documents: DataFrame, model: Model, text: str = "text", rows: int = 1
                 total[some + 1] = log_probabilities(net, reach, _windows(number, w.first, some), number[some])
             np.cumsum(total, out=total)
             value = total[w.first[1:]] - total[w.first[:-1]]
-            per_word = -value / np.maximum(w.counts, 1)
-            perplexity = pa.array(np.exp(np.minimum(per_word, 700)), mask=w.counts == 0)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(w.counts), pa.array(value), perplexity],
-                names=[*names, "n_words", "log_prob", "perplexity"],
+                [*batch.columns, pa.array(w.counts), pa.array(value)], names=[*names, "_key", "n_words", "log_prob"]
             )
 
     schema = T.StructType(
         [
             *documents.schema.fields,
+            T.StructField("_key", T.LongType()),
             T.StructField("n_words", T.LongType()),
             T.StructField("log_prob", T.DoubleType()),
-            T.StructField("perplexity", T.DoubleType()),
         ]
     )
-    return documents.mapInArrow(run, schema)
+    scored = documents.withColumn("_key", F.xxhash64(F.col(text))).mapInArrow(run, schema)
+    total = F.col("log_prob") + F.coalesce("_share", F.lit(0.0))
+    per_word = F.when(F.col("n_words") > 0, F.exp(F.least(-total / F.col("n_words"), F.lit(700.0))))
+    return scored.join(_shares(documents, model, text), "_key", "left").select(
+        *[F.col(f"`{n}`") for n in names], "n_words", total.alias("log_prob"), per_word.alias("perplexity")
+    )

@@ -126,3 +126,28 @@ def test_production_rounds_train_on_every_word(spark, monkeypatch):
     monkeypatch.setattr(lm, "_average", counted)
     lm.fit(docs)
     assert sum(seen) == sum(1 + i % 9 for i in range(90)) and len(seen) == lm.ROUNDS
+
+
+def test_words_outside_have_probabilities_of_their_own(spark, monkeypatch):
+    """Words of one bucket are told apart by their counts, unseen ones get the least, and a bucket adds up to one."""
+    monkeypatch.setattr(lm, "NAMED", 4)
+    counts = {f"w{i}": 1 + i % 7 for i in range(300)}
+    docs = spark.createDataFrame([(i, " ".join([w] * n + ["a b c d"] * 9)) for i, (w, n) in enumerate(counts.items())], "doc_id long, text string")
+    model = lm.fit(docs)
+    asked = [*counts, "never", "seen", "w1 w1 w6", "w1 w1 w6", "a b"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lm.score(rows, model).collect()}
+    monkeypatch.undo()  # tasks have the module as it is
+    # The network's part, and the shares by hand.
+    bucket = {w: int(W.split(pa.array([w]), W.ALNUM).hashes[0] & np.uint64(63)) for w in [*counts, "never", "seen"]}
+    of = {b: [counts[w] for w in counts if bucket[w] == b] for b in range(64)}
+    reach = model.network.reach()
+    for i, t in enumerate(asked):
+        w = W.split(pa.array([t]), W.ALNUM)
+        ids = lm._ids(w.hashes, model.hashes, model.ids)
+        net = lm.log_probabilities(model.network, reach, lm._windows(ids, w.first, np.arange(len(ids))), ids).sum()
+        share = sum(math.log((counts.get(x, 0) + 1) / (1 + len(of[bucket[x]]) + sum(of[bucket[x]]))) for x in t.split() if x in bucket)
+        assert math.isclose(got[i]["log_prob"], net + share, rel_tol=1e-5), t
+        assert math.isclose(got[i]["perplexity"], math.exp(-(net + share) / len(ids)), rel_tol=1e-4)
+    for b, ns in of.items():
+        assert math.isclose(sum(n + 1 for n in ns) + 1, model.totals[b])
