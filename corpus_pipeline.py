@@ -27,8 +27,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
-    return jaccard.representatives(docs)
+    """One row of each group of near-duplicates, the one with the smallest id; null ids come last and stand for no other."""
+    return jaccard.representatives(docs, nulls_stay=False)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

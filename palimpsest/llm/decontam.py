@@ -172,7 +172,7 @@ def decontaminate(
 
     Returns doc_id, n_words, n_hit (words in a shared window), items (ids of the items with a
     window in the document, as sorted strings), spans (array of start, end: hit words from start
-    up to end, disjoint and in order). A window is `span` consecutive words of an item, or all words
+    up to end, disjoint and in order), row_key (a hash of id and text, by which `without` filters). A window is `span` consecutive words of an item, or all words
     of a shorter one.
 
     - Null and empty texts have no words: nothing hit, no spans; such items match nothing.
@@ -262,11 +262,17 @@ def decontaminate(
             ).alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
             F.coalesce("spans", none).alias("spans"),
+            "row_key",
         )
     )
 
 
-def without(documents: DataFrame, found: DataFrame, doc_id: str = "doc_id", most: float = 0.0) -> DataFrame:
-    """Documents of which at most the share `most` of the words is hit, with their columns."""
-    bad = found.where(F.col("n_hit") > most * F.col("n_words")).select(F.col(doc_id).alias("_bad")).distinct()
-    return documents.join(bad, documents[doc_id].eqNullSafe(bad["_bad"]), "left_anti")
+def without(
+    documents: DataFrame, found: DataFrame, doc_id: str = "doc_id", most: float = 0.0, text: str = "text"
+) -> DataFrame:
+    """Documents of which at most the share `most` of the words is hit, with their columns.
+
+    Rows are told apart by id and text, so a null or repeated id takes no other row with it.
+    """
+    bad = found.where(F.col("n_hit") > most * F.col("n_words")).select(F.col("row_key").alias("_bad")).distinct()
+    return documents.join(bad, F.xxhash64(documents[doc_id], documents[text]) == bad["_bad"], "left_anti")

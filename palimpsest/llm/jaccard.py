@@ -433,6 +433,18 @@ def near_duplicates(
     what is shuffled are prefixes (a fifth of the shingles) and the sets of candidates. Hubs, tiles and pairs go
     through joins that adaptive execution splits.
     """
+    features, labelled = _labelled(documents, doc_id, text, size, percent)
+    lowest = labelled.groupBy("label").agg(F.min("low").alias("component_id"))
+    of_set = labelled.join(lowest, "label").select("a", "b", "n", "component_id")
+    return features.select("doc_id", "a", "b", "n").join(of_set, ["a", "b", "n"], "left").select(
+        F.col("doc_id").alias(doc_id),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
+
+
+def _labelled(documents: DataFrame, doc_id: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Features of every row (doc_id, row_key, a, b, n), and the label of the component of every set (a, b, n)."""
     context = documents.sparkSession.sparkContext
     docs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     docs = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
@@ -489,26 +501,29 @@ def near_duplicates(
     final = components(links.union(_links(docs, classes, met(cut(rows), False), size, percent)))
 
     labelled = classes.select("a", "b", "n", "low", "c").join(final.withColumnRenamed("node", "c"), "c", "left")
-    labelled = labelled.withColumn("label", F.coalesce("label", "c"))
-    lowest = labelled.groupBy("label").agg(F.min("low").alias("component_id"))
-    of_set = labelled.join(lowest, "label").select("a", "b", "n", "component_id")
-    return features.select("doc_id", "a", "b", "n").join(of_set, ["a", "b", "n"], "left").select(
-        F.col("doc_id").alias(doc_id),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    return features, labelled.withColumn("label", F.coalesce("label", "c"))
 
 
-def representatives(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, the one with the smallest id, with all its columns.
+def representatives(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", nulls_stay: bool = True) -> DataFrame:
+    """One row of each component, with all its columns: the smallest id, of rows that repeat it the smallest hash of id and text.
 
-    Of rows that repeat that id one stays. Rows of a null id all stay: nothing tells them apart.
+    Of rows with one id and text one stays. Rows without shingles are components of their own and stay. Rows of a null id
+    all stay; with `nulls_stay` off they are rows of their components as others are, chosen where no row has an id.
     """
-    found = near_duplicates(documents, doc_id, text)
-    kept = found.where(F.col(doc_id) == F.col("component_id")).select(doc_id).distinct()
-    same = documents.join(kept, doc_id, "left_semi")
-    again = found.groupBy(doc_id).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1).select(doc_id)
-    # Only repeated ids are shuffled with their texts. Null ids match in no join.
-    single = same.join(again, doc_id, "left_anti")
-    repeated = same.join(again, doc_id, "left_semi").dropDuplicates([doc_id])
-    return single.unionByName(repeated).unionByName(documents.where(F.col(doc_id).isNull()))
+    features, labelled = _labelled(documents, doc_id, text, SHINGLE, PERCENT)
+    rows = features.where(F.col("doc_id").isNotNull()) if nulls_stay else features
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("best")
+    sets = rows.where(F.col("n") > 0).groupBy("a", "b", "n").agg(best)
+    chosen = sets.join(labelled.select("a", "b", "n", "label"), ["a", "b", "n"]).groupBy("label").agg(F.min("best").alias("best"))
+    chosen = chosen.select(F.col("best.row_key").alias("_row_key"))
+    alone = rows.where(F.col("n") == 0).select(F.col("row_key").alias("_row_key"))
+    again = rows.where(F.col("n") > 0).groupBy(F.col("row_key").alias("_row_key")).agg(F.count(F.lit(1)).alias("rows"))
+    again = again.where(F.col("rows") > 1).select("_row_key")
+    keyed = documents.withColumn("_row_key", F.xxhash64(F.col(doc_id), F.col(text)))
+    keyed = keyed.where(F.col(doc_id).isNotNull()) if nulls_stay else keyed
+    same = keyed.join(chosen.union(alone).distinct(), "_row_key", "left_semi")
+    # Only repeated rows are shuffled once more with their texts.
+    single = same.join(again, "_row_key", "left_anti")
+    repeated = same.join(again, "_row_key", "left_semi").dropDuplicates(["_row_key"])
+    out = single.unionByName(repeated).select(*documents.columns)
+    return out.unionByName(documents.where(F.col(doc_id).isNull())) if nulls_stay else out

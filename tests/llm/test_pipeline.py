@@ -7,7 +7,7 @@ import os
 import pytest
 
 import corpus_pipeline
-from palimpsest.llm import langid, pieces, toxicity
+from palimpsest.llm import decontam, jaccard, langid, pieces, toxicity
 from palimpsest.llm.queries import PIECES
 from test_decontam import brute as shared_windows
 from test_jaccard import brute as similar
@@ -47,3 +47,19 @@ def test_entry_registers_all(spark):
     names = set(entry.queries())
     assert {"pipeline"} | {f"op{i}" for i in range(1, 11)} <= {n.split("_")[0] for n in names}
     assert set(entry.oracle_sql()) <= names
+
+
+def test_rows_do_not_decide_for_each_other(spark):
+    """Null and repeated ids: every row is judged by its own text, and one row of each component stays."""
+    item = " ".join(f"q{i}" for i in range(12))
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(20)) for w in "abcd")
+    rows = [(None, item), (None, a), (None, a), (None, b), (1, b), (1, c), (1, item), (2, c + " more"), (2, d), (2, d), (None, None), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = decontam.without(docs, decontam.decontaminate(docs, items))
+    assert key(clean) == sorted((r for r in rows if r[1] != item), key=str)
+    left = jaccard.representatives(clean, nulls_stay=False)
+    assert key(left) == sorted([(None, a), (1, b), (1, c), (2, d), (None, None), (3, "")], key=str)
+    stages = dict(corpus_pipeline.STAGES)
+    assert key(stages["near_duplicates"](spark, clean, "")) == key(left)
