@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import chat, decontam, html, itq, jaccard, langid, lm, pieces, toxicity, warc
+from palimpsest.llm import bpe, chat, decontam, html, itq, jaccard, langid, lm, pieces, toxicity, warc
 from palimpsest.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +203,20 @@ def op10_pieces(spark: SparkSession, data: str) -> DataFrame:
     documents = table(spark, data, "documents").select("doc_id", "text")
     decoded = pieces.decode_column(pieces.encode_column(documents, PIECES), PIECES)
     return decoded.select("doc_id", "n_pieces", "pieces", pieces.round_trips().alias("round_trip"))
+
+
+@query()
+def op13_bpe(spark: SparkSession, data: str) -> DataFrame:
+    """Every document as ids of byte-level BPE, and the bytes they decode to."""
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    documents = table(spark, data, "documents").select("doc_id", "text")
+    decoded = bpe.decode_column(bpe.encode_column(documents, ranks), ranks)
+    none = F.lit(b"")
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.coalesce("tokens", none), 256).alias("ids_sha256"),
+        F.sha2(F.coalesce("decoded", none), 256).alias("decoded_sha256"),
+    )
