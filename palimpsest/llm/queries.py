@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import bpe, chat, decontam, html, itq, jaccard, langid, lm, pieces, toxicity, warc
+from palimpsest.llm import bpe, chat, decontam, html, itq, jaccard, langid, lm, pieces, runs, toxicity, warc
 from palimpsest.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,6 +205,49 @@ def op10_pieces(spark: SparkSession, data: str) -> DataFrame:
     return decoded.select("doc_id", "n_pieces", "pieces", pieces.round_trips().alias("round_trip"))
 
 
+def planted(documents: DataFrame) -> DataFrame:
+    """Documents of which a tenth repeat some of their words from a word on, by a rule on their id."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = documents.select(
+        "doc_id",
+        "text",
+        F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("w"),
+        F.floor(h / 10).alias("g"),
+    )
+    first = words.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    period = first.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    places = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1),
+        lambda i: F.get("w", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")),
+    )
+    return period.select("doc_id", F.when(F.col("n") > 0, F.array_join(places, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_runs(spark: SparkSession, data: str) -> DataFrame:
+    """Periodic runs of words in every document, the strongest one, and the text without repetitions."""
+    found = runs.find_runs(planted(table(spark, data, "documents")))
+
+    def stronger(a, b):
+        return F.when(
+            a.isNull() | (b["length"] * a["period"] > a["length"] * b["period"]), b
+        ).otherwise(a)
+
+    kind = found.schema["runs"].dataType.elementType.simpleString()
+    best = F.aggregate("runs", F.lit(None).cast(kind), stronger)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query()
 def op13_bpe(spark: SparkSession, data: str) -> DataFrame:
     """Every document as ids of byte-level BPE, and the bytes they decode to."""
