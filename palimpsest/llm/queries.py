@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import bpe, chat, decontam, html, itq, jaccard, langid, lm, pieces, runs, toxicity, warc
+from palimpsest.llm import bpe, chat, decontam, divergence, html, itq, jaccard, langid, lm, pieces, runs, toxicity, warc
 from palimpsest.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,6 +205,46 @@ def op10_pieces(spark: SparkSession, data: str) -> DataFrame:
     return decoded.select("doc_id", "n_pieces", "pieces", pieces.round_trips().alias("round_trip"))
 
 
+DIVERGENCE_SQL = r"""
+WITH d AS (
+       SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+     t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+     kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+     v AS (SELECT lang, count(*) AS v, sum(n) AS words FROM kept GROUP BY lang),
+     cell AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+     g AS (
+       SELECT lang, source, coalesce(sum(n), 0) AS total
+       FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN cell USING (lang, source) GROUP BY lang, source),
+     p AS (
+       SELECT g.lang, g.source, kept.term, coalesce(cell.n, 0) AS n,
+         1 + CAST(1000000000 AS HUGEINT) * (coalesce(cell.n, 0) + 2) // (total + 2 * v) AS p,
+         1 + CAST(1000000000 AS HUGEINT) * (kept.n + 2) // (words + 2 * v) AS q
+       FROM g JOIN kept USING (lang) JOIN v USING (lang)
+         LEFT JOIN cell ON cell.lang = g.lang AND cell.source = g.source AND cell.term = kept.term),
+     sums AS (
+       SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+       FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+     every AS (
+       SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+       FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+       UNION ALL
+       SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+     ranked AS (
+       SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query(DIVERGENCE_SQL)
+def op11_divergence(spark: SparkSession, data: str) -> DataFrame:
+    """How far the sources of each language are from one another, and the terms they use more than their language."""
+    return divergence.audit(table(spark, data, "documents"))
+
+
 def planted(documents: DataFrame) -> DataFrame:
     """Documents of which a tenth repeat some of their words from a word on, by a rule on their id."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))

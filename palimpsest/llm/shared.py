@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows, written to the shared checkpoint folder as Parquet and read from there."""
+    path = f"{shared_dir(df.sparkSession)}/palimpsest/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bitmap(hashes: DataFrame, column: str, log2: int) -> np.ndarray:
     """A bitmap of 2**log2 bits with the bit of every hash (its highest bits) set.
 
