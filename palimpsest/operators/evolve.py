@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +86,15 @@ class Drop:
 Step = Rename | Cast | Add | Drop
 
 
+def step_to_dict(step: Step) -> dict:
+    return {"step": type(step).__name__, **asdict(step)}
+
+
+def step_from_dict(fields: dict) -> Step:
+    kinds = {kind.__name__: kind for kind in (Rename, Cast, Add, Drop)}
+    return kinds[fields["step"]](**{k: v for k, v in fields.items() if k != "step"})
+
+
 def upgrade(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
     for step in steps:
         df = step.apply(df)

@@ -11,6 +11,7 @@ from palimpsest.suite import (  # noqa: F401  (each module registers its queries
     keeping,
     merging,
     reading,
+    storing,
     versions,
 )
 
