@@ -7,8 +7,8 @@ transition function over the eight states of the splitter, and an associative sc
 of all code points of a batch. Functions are numbers, and their products a table, since the symbols generate few
 different ones. The first code point of a text is a constant function, so nothing crosses texts.
 
-The slices between borders are merged by rank, each distinct one once while it is cached. Where each token's
-bytes end is kept beside the ids, so decoding places the bytes of all tokens at once.
+The slices between borders are merged by rank, each distinct one once while it is cached, and those of one length side by
+side. Where each token's bytes end is kept beside the ids, so decoding places the bytes of all tokens at once.
 """
 
 from __future__ import annotations
@@ -28,9 +28,12 @@ from palimpsest.llm import words as W
 
 # Text split at a time.
 BATCH_BYTES = 1 << 20
-# Slices and their ids kept by one task; longer slices are not kept.
+# Slices and their ids kept by one task.
 CACHED_BYTES = 16 << 20
-CACHED_SLICE = 128
+# Slices up to so many bytes are merged side by side and cached, longer ones by themselves.
+SIDE_BY_SIDE = 48
+# The rank of a pair that makes no token.
+APART = 1 << 40
 
 # Symbols of code points: white space that more white space or the end follows, other white space, a space there.
 LETTER, NUMBER, SIGN, TWO, THREE, WHITE, LAST_WHITE, LAST_SPACE = range(8)
@@ -166,7 +169,18 @@ class Ranks:
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.cache: dict[bytes, list[int]] = {}
+        self.single = np.array([self.of[bytes([b])] for b in range(256)], np.int64)
+        # Every way to put a token together from two: pairs of ids in order, and what they make.
+        pairs = [
+            (self.of[token[:k]] << 32 | self.of[token[k:]], rank)
+            for token, rank in self.of.items()
+            for k in range(1, len(token))
+            if token[:k] in self.of and token[k:] in self.of
+        ]
+        pairs.sort()
+        self.pairs = np.array([p for p, _ in pairs] or [-1], np.int64)
+        self.made = np.array([m for _, m in pairs] or [APART], np.int64)
+        self.cache: dict[bytes, bytes] = {}
         self.cached = 0
 
     def merge(self, piece: bytes) -> list[int]:
@@ -194,16 +208,66 @@ class Ranks:
             i = end[i]
         return out
 
-    def ids(self, piece: bytes) -> list[int]:
-        found = self.cache.get(piece)
-        if found is None:
-            found = self.merge(piece)
-            if len(piece) <= CACHED_SLICE:
-                self.cached += 150 + len(piece) + 8 * len(found)
-                if self.cached > CACHED_BYTES:
-                    self.cache.clear()
-                    self.cached = 0
-                self.cache[piece] = found
+    def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What pairs of ids make; APART where they make no token."""
+        wanted = left << 32 | right
+        at = np.searchsorted(self.pairs, wanted)
+        at[at == len(self.pairs)] = 0
+        return np.where(self.pairs[at] == wanted, self.made[at], APART)
+
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids (as the bytes of a uint32 array) of slices of one length, all of them merged one pair at a time side by side."""
+        raw = np.frombuffer(b"".join(pieces), np.uint8).reshape(len(pieces), -1)
+        ids = self.single[raw]
+        ranks = self.joined(ids[:, :-1], ids[:, 1:])
+        row, out = np.arange(len(pieces)), [b""] * len(pieces)
+        while len(row):
+            if ids.shape[1] > 1:
+                at = ranks.argmin(1)
+                best = ranks[np.arange(len(row)), at]
+            else:
+                best = np.full(len(row), APART)
+            done = best == APART
+            if done.any():
+                size = 4 * ids.shape[1]
+                flat = ids[done].astype(np.uint32).tobytes()
+                for k, i in enumerate(row[done].tolist()):
+                    out[i] = flat[k * size : (k + 1) * size]
+                if done.all():
+                    break
+                row, ids, ranks, at, best = (x[~done] for x in (row, ids, ranks, at, best))
+            # The pair becomes one id, and all behind it move up.
+            here, width = np.arange(len(row)), ids.shape[1] - 1
+            ids[here, at] = best
+            ids = np.take_along_axis(ids, np.arange(width) + (np.arange(width) > at[:, None]), 1)
+            ranks = np.take_along_axis(ranks, np.arange(width - 1) + (np.arange(width - 1) >= at[:, None]), 1)
+            some = np.flatnonzero(at > 0)
+            ranks[some, at[some] - 1] = self.joined(ids[some, at[some] - 1], ids[some, at[some]])
+            some = np.flatnonzero(at < width - 1)
+            ranks[some, at[some]] = self.joined(ids[some, at[some]], ids[some, at[some] + 1])
+        return out
+
+    def ids(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of distinct slices, each as the bytes of a uint32 array; what is not cached is merged together."""
+        found = [self.cache.get(p) for p in pieces]
+        by_length: dict[int, list[int]] = {}
+        for i, f in enumerate(found):
+            if f is None:
+                whole = self.of.get(pieces[i])
+                if whole is not None:
+                    found[i] = np.uint32(whole).tobytes()
+                elif len(pieces[i]) > SIDE_BY_SIDE:
+                    found[i] = np.array(self.merge(pieces[i]), np.uint32).tobytes()
+                else:
+                    by_length.setdefault(len(pieces[i]), []).append(i)
+        for some in by_length.values():
+            for i, f in zip(some, self.merge_all([pieces[i] for i in some])):
+                found[i] = f
+            self.cached += sum(150 + len(pieces[i]) + len(found[i]) for i in some)
+            if self.cached > CACHED_BYTES:
+                self.cache.clear()
+                self.cached = 0
+            self.cache.update((pieces[i], found[i]) for i in some)
         return found
 
 
@@ -219,9 +283,9 @@ def encode(ranks: Ranks, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.nd
         pa.large_binary(), len(starts), [None, pa.py_buffer(stops), pa.py_buffer(np.ascontiguousarray(data))]
     )
     coded = slices.dictionary_encode()
-    found = [ranks.ids(piece) for piece in coded.dictionary.to_pylist()]
-    sizes = np.array([len(f) for f in found], np.int64)
-    flat = np.array([x for f in found for x in f], np.uint32)
+    found = ranks.ids(coded.dictionary.to_pylist())
+    sizes = np.array([len(f) // 4 for f in found], np.int64)
+    flat = np.frombuffer(b"".join(found), np.uint32)
     code = coded.indices.to_numpy()
     per_slice = sizes[code]
     begin = np.cumsum(per_slice) - per_slice

@@ -122,11 +122,24 @@ def test_long_slices_take_little_time(ranks, library):
     assert bpe.encode(ranks, pa.array([short]))[0].tolist() == library.encode_ordinary(short)
 
 
+def test_slices_side_by_side_and_alone(ranks):
+    rng = random.Random(9)
+    for n in (1, 2, 3, 7, 20):
+        some = ["".join(rng.choice(["the", "a", "b", "ing", "é", " ", "!", "z"]) for _ in range(n)).encode()[: max(1, n)] for _ in range(200)]
+        for size in {len(x) for x in some}:
+            own = [x for x in some if len(x) == size]
+            want = [np.array(ranks.merge(x), np.uint32).tobytes() for x in own]
+            if size > 1:
+                assert ranks.merge_all(own) == want
+            assert ranks.ids(own) == want
+
+
 def test_small_caches_and_batches_change_nothing(spark, monkeypatch):
     some = texts(6, 100) + ["word " * 5000]
     want = [bytes(r[0]) for r in bpe.encode_column(frame(spark, some), PATH).select("tokens").collect()]
     small = bpe.Ranks(PATH)
     monkeypatch.setattr(bpe, "CACHED_BYTES", 500)
+    monkeypatch.setattr(bpe, "SIDE_BY_SIDE", 5)
     ids, _, counts = bpe.encode(small, pa.array(some))
     cuts = np.cumsum(counts)[:-1]
     assert [x.tobytes() for x in np.split(ids, cuts)] == want
