@@ -108,7 +108,9 @@ def column_runs(at: np.ndarray, count: np.ndarray, begin: np.ndarray) -> tuple[n
 
 def _block_runs(rows: DataFrame) -> DataFrame:
     """lang, block, width (in terms), place, starts, values of each column that a block holds, from rows of lang, key, weight."""
-    ordered = rows.repartitionByRange("lang", "key").sortWithinPartitions("lang", "key")
+    # Ranges are found from a sample that the driver holds: by the first two cells of a row and a hash, not by all its cells.
+    short = [F.get("key", 0), F.get("key", 1), F.xxhash64("key")]
+    ordered = rows.repartitionByRange("lang", *short).sortWithinPartitions("lang", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
