@@ -14,6 +14,7 @@ Characters no piece covers become byte pieces (or the unknown piece, where the m
 
 from __future__ import annotations
 
+import heapq
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -29,13 +30,19 @@ from palimpsest.llm import words as W
 SPACE = "▁"
 NORMAL, UNKNOWN, BYTE, UNUSED, USER = 1, 2, 6, 5, 4
 UNIGRAM, BPE = 1, 2
-# Words kept with their pieces by one task, and pairs of pieces with whether they stay apart.
-CACHED_WORDS = 500_000
-CACHED_PAIRS = 4_000_000
-NO_PAIRS = np.zeros(0, np.int64), np.zeros(0, bool)
-LATE_PAIRS = 10_000
+# Text searched at a time, bytes of words kept with their pieces by one task, and places for pairs of pieces with whether they stay apart.
+BATCH_BYTES = 4 << 20
+CACHED_BYTES = 16 << 20
+CACHED_PAIRS_LOG2 = 20
+# From so many new pairs on they are merged side by side.
+TOGETHER = 64
 # A batch of words of one length is searched in parts of so many characters times the longest piece.
 CELLS = 1 << 21
+# Longer words of a BPE model are searched in stretches of so many characters that overlap by so many.
+STRETCH, OVERLAP = 512, 64
+# The code that stands before the first piece of a word, and the rank of a pair that does not merge.
+NONE = 1 << 30
+NEVER = 1 << 40
 
 _POW = np.uint64(0x9E3779B97F4A7C15)
 
@@ -68,8 +75,51 @@ class Model:
         normal = [self.scores[i] for i, k in enumerate(self.kinds) if k == NORMAL]
         # What an uncovered character costs, below every piece.
         self.penalty = min(normal, default=0.0) - 10.0
-        self.apart = NO_PAIRS, NO_PAIRS
+        # Each pair has one place, and the last one of a place is kept.
+        self.apart = np.full(1 << CACHED_PAIRS_LOG2, -1, np.int64), np.zeros(1 << CACHED_PAIRS_LOG2, bool)
         self.words: dict[str, bytes] = {}
+        self.cached = 0
+        # A table by the first bits of a hash says which substrings may be pieces.
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[self.keys >> np.uint64(44)] = True
+        # Pairs of codes that make a piece, with its rank (best score first) and its id.
+        _, rank = np.unique(-self.scores, return_inverse=True)
+        pairs = []
+        for piece, i in self.place.items():
+            for k in range(1, len(piece)):
+                left, right = self.code(piece[:k]), self.code(piece[k:])
+                if left is not None and right is not None:
+                    pairs.append((left << 32 | right, int(rank[i]), i))
+        pairs.sort()
+        self.pairs, self.pair_rank, self.pair_makes = (np.array([p[k] for p in pairs] or [-1], np.int64) for k in range(3))
+        self.made = {(p[0] >> 32, p[0] & 0xFFFFFFFF): p[2] for p in pairs}
+        self.made_rank = rank.tolist()
+        self.of_char = {c: i for c, i in self.place.items() if len(c) == 1}
+        self._decoding()
+
+    def code(self, text: str) -> int | None:
+        """The id of a piece, or a number above all ids for a character that is none."""
+        found = self.place.get(text)
+        return found if found is not None or len(text) > 1 else len(self.pieces) + ord(text)
+
+    def _decoding(self) -> None:
+        """The text of every id; plain: those that need no look at their neighbours."""
+        text = ["" for _ in self.pieces]
+        for i, kind in enumerate(self.kinds):
+            if kind in (NORMAL, USER):
+                text[i] = self.pieces[i].replace(SPACE, " ")
+            elif kind == UNKNOWN:
+                text[i] = " \u2047 "
+        # A byte of ASCII is a character whatever stands beside it.
+        for i, b in self.bytes.items():
+            text[i] = chr(b) if b < 0x80 else ""
+        raw = [t.encode() for t in text]
+        self.text_lengths = np.array([len(t) for t in raw], np.int64)
+        self.text_starts = np.cumsum(self.text_lengths) - self.text_lengths
+        self.text_bytes = np.frombuffer(b"".join(raw), np.uint8)
+        self.plain = np.ones(len(raw), bool)
+        self.plain[[i for i, b in self.bytes.items() if b >= 0x80]] = False
+        self.marked = np.array([p.startswith(SPACE) for p in self.pieces])
 
 
 def load(path: str) -> Model:
@@ -108,79 +158,119 @@ def _hashes(points: np.ndarray, n: int) -> np.ndarray:
     return W.mix(out ^ np.uint64(n))
 
 
-def _merge(model: Model, text: str) -> list[str]:
-    """Pieces of a short string, merged by score, the left one of equals first."""
-    parts = list(text)
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            piece = model.place.get(parts[i] + parts[i + 1])
-            if piece is not None and (best is None or model.scores[piece] > best):
-                best, at = model.scores[piece], i
-        if best is None:
+def merge(model: Model, text: str) -> list[int]:
+    """The codes of a string after merging by score, the left one of equals first; by a heap of pairs."""
+    n, total = len(text), len(model.pieces)
+    code = [c if (c := model.of_char.get(t)) is not None else total + ord(t) for t in text]
+    get, ranks = model.made.get, model.made_rank
+    end, before = list(range(1, n + 1)), list(range(-1, n))
+    heap = [(ranks[m], i, i + 1, i + 2, m) for i in range(n - 1) if (m := get((code[i], code[i + 1]))) is not None]
+    heapq.heapify(heap)
+    while heap:
+        _, i, j, k, m = heapq.heappop(heap)
+        if end[i] != j or end[j] != k:
+            continue
+        code[i], end[i], end[j], before[k] = m, k, 0, i
+        if k < n and (made := get((m, code[k]))) is not None:
+            heapq.heappush(heap, (ranks[made], i, k, end[k], made))
+        left = before[i]
+        if left >= 0 and (made := get((code[left], m))) is not None:
+            heapq.heappush(heap, (ranks[made], left, i, k, made))
+    out, i = [], 0
+    while i < n:
+        out.append(code[i])
+        i = end[i]
+    return out
+
+
+def _merged(model: Model, texts: list[str]) -> list[tuple[int, ...] | None]:
+    """The codes of strings of one length after merging by score, the left one of equals first; None for more than two.
+
+    All strings lose one pair at a time, side by side.
+    """
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(texts), -1).astype(np.int64)
+    chars, back = np.unique(points, return_inverse=True)
+    ids = np.array([model.code(chr(c)) for c in chars.tolist()], np.int64)[back.reshape(points.shape)]
+    row, out = np.arange(len(texts)), [None] * len(texts)
+
+    def joined(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        wanted = left << 32 | right
+        at = np.searchsorted(model.pairs, wanted)
+        at[at == len(model.pairs)] = 0
+        hit = model.pairs[at] == wanted
+        return np.where(hit, model.pair_rank[at], NEVER), model.pair_makes[at]
+
+    while len(row):
+        width = ids.shape[1]
+        if width == 1:
+            done = np.ones(len(row), bool)
+        else:
+            rank, makes = joined(ids[:, :-1], ids[:, 1:])
+            at = rank.argmin(1)
+            done = rank[np.arange(len(row)), at] == NEVER
+        if width <= 2:
+            for i, codes in zip(row[done].tolist(), ids[done].tolist()):
+                out[i] = tuple(codes)
+        if width == 1 or done.all():
             break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    return parts
+        row, ids, at, makes = row[~done], ids[~done], at[~done], makes[~done]
+        here = np.arange(len(row))
+        ids[here, at] = makes[here, at]
+        ids = np.take_along_axis(ids, np.arange(width - 1) + (np.arange(width - 1) > at[:, None]), 1)
+    return out
 
 
 def _stays_apart(model: Model, pairs: np.ndarray) -> np.ndarray:
-    """For codes left * 2**32 + right (ids; left 2**30 for none): does merging leave exactly these two pieces?
+    """For codes left * 2**32 + right (ids; left NONE for none): does merging leave exactly these two pieces?
 
     Ids from the number of pieces on are single characters that no piece covers.
     """
-    out = np.zeros(len(pairs), bool)
-    open_ = np.arange(len(pairs))
-    # What is known lies in a large table and a small one of late entries, which is merged into it now and then.
-    for known, answers in model.apart:
-        if not len(open_) or not len(known):
-            continue
-        wanted = pairs[open_]
-        at = np.searchsorted(known, wanted)
-        at[at == len(known)] = 0
-        hit = known[at] == wanted
-        out[open_[hit]] = answers[at[hit]]
-        open_ = open_[~hit]
+    known, answers = model.apart
+    slot = W.mix(pairs.view(np.uint64)) >> np.uint64(64 - CACHED_PAIRS_LOG2)
+    out = answers[slot]
+    open_ = np.flatnonzero(known[slot] != pairs)
     if len(open_):
         new, back = np.unique(pairs[open_], return_inverse=True)
         total = len(model.pieces)
+        text = lambda code: "" if code == NONE else model.pieces[code] if code < total else chr(code - total)
+        wanted = [(code >> 32, code & 0xFFFFFFFF) for code in new.tolist()]
+        glued = [text(a) + text(b) for a, b in wanted]
         fresh = np.empty(len(new), bool)
-        for i, code in enumerate(new.tolist()):
-            left, right = code >> 32, code & 0xFFFFFFFF
-            b = model.pieces[right] if right < total else chr(right - total)
-            if left == 1 << 30:
-                fresh[i] = right >= total or _merge(model, b) == [b]
-            else:
-                a = model.pieces[left] if left < total else chr(left - total)
-                fresh[i] = _merge(model, a + b) == [a, b]
+        by_length: dict[int, list[int]] = {}
+        for i, t in enumerate(glued):
+            by_length.setdefault(len(t), []).append(i)
+        for some in by_length.values():
+            texts = [glued[i] for i in some]
+            merged = _merged(model, texts) if len(some) >= TOGETHER else [tuple(merge(model, t)) for t in texts]
+            for i, codes in zip(some, merged):
+                a, b = wanted[i]
+                fresh[i] = codes == ((b,) if a == NONE else (a, b))
         out[open_] = fresh[back]
-        large, late = model.apart
-        late = _with(late, new, fresh)
-        if len(late[0]) > LATE_PAIRS + len(large[0]) // 8:
-            large, late = _with(large, *late) if len(large[0]) < CACHED_PAIRS else late, NO_PAIRS
-        model.apart = large, late
+        slot = W.mix(new.view(np.uint64)) >> np.uint64(64 - CACHED_PAIRS_LOG2)
+        known[slot], answers[slot] = new, fresh
     return out
 
 
-def _with(table: tuple[np.ndarray, np.ndarray], codes: np.ndarray, answers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    place = np.searchsorted(table[0], codes)
-    return np.insert(table[0], place, codes), np.insert(table[1], place, answers)
-
-
 def _search(model: Model, points: np.ndarray) -> np.ndarray:
     """Back pointers of words of one length (rows of code points): the piece (or character) ending at each place."""
     rows, n = points.shape
     total = len(model.pieces)
-    none = np.int64(1) << 30
+    none = np.int64(NONE)
     last = np.full((rows, n + 1), -1, np.int64)
     last[:, 0] = none
     value = np.full((rows, n + 1), -np.inf)
     value[:, 0] = 0.0
     found: list[np.ndarray] = []
     for size in range(1, min(model.longest, n) + 1):
-        grams = _hashes(points, size)
-        at = np.searchsorted(model.keys, grams)
-        at[at == len(model.keys)] = 0
-        piece = np.where(model.keys[at] == grams, model.ids[at], -1) if len(model.keys) else np.full(grams.shape, -1)
+        grams = _hashes(points, size).ravel()
+        piece = np.full(len(grams), -1, np.int64)
+        some = np.flatnonzero(model.maybe[grams >> np.uint64(44)])
+        if len(some):
+            at = np.searchsorted(model.keys, grams[some])
+            at[at == len(model.keys)] = 0
+            hit = model.keys[at] == grams[some]
+            piece[some[hit]] = model.ids[at[hit]]
+        piece = piece.reshape(rows, -1)
         if size == 1:  # any character may stand for itself
             own = total + points.astype(np.int64)
             found.append(np.where(piece >= 0, piece, own))
@@ -230,8 +320,8 @@ def _ids(model: Model, codes: list[int]) -> list[int]:
     return out
 
 
-def _paths(model: Model, last: np.ndarray) -> list[bytes]:
-    """The pieces of each word, as the bytes of an int32 array, by following all back pointers at once."""
+def _paths(model: Model, last: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The codes of each word, as the bytes of an int32 array, by following all back pointers at once; which hold no-pieces."""
     rows, n = len(last), last.shape[1] - 1
     total = len(model.pieces)
     steps = np.full((rows, n), -1, np.int64)
@@ -247,28 +337,74 @@ def _paths(model: Model, last: np.ndarray) -> list[bytes]:
     held = steps >= 0
     flat = steps[held].astype(np.int32).tobytes()
     stops = (np.cumsum(held.sum(1)) * 4).tolist()
-    out = [flat[a:b] for a, b in zip([0, *stops], stops)]
-    for i in np.flatnonzero(steps.max(axis=1) >= total).tolist():
-        out[i] = array("i", _ids(model, steps[i][held[i]].tolist())).tobytes()
-    return out
+    return [flat[a:b] for a, b in zip([0, *stops], stops)], steps.max(axis=1, initial=0) >= total
 
 
-def encode_words(model: Model, words: list[str]) -> list[bytes]:
-    """Ids of every word, as the bytes of an int32 array; words of one length are searched together, in batches of bounded size."""
+def _codes(model: Model, words: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """Codes of every word; words of one length are searched together, in batches of bounded size."""
     by_length: dict[int, list[int]] = {}
     for i, word in enumerate(words):
         by_length.setdefault(len(word), []).append(i)
-    out = [b""] * len(words)
+    out, odd = [b""] * len(words), np.zeros(len(words), bool)
     for n, places in by_length.items():
         if not n:
             continue
+        if model.bpe and n > STRETCH + OVERLAP:
+            for i in places:
+                out[i], odd[i] = _long(model, words[i])
+            continue
         step = max(1, CELLS // (n * model.longest))
         for at in range(0, len(places), step):
             some = places[at : at + step]
             text = "".join([words[i] for i in some]).encode("utf-32-le", "surrogatepass")
             points = np.frombuffer(text, np.uint32).reshape(len(some), n).astype(np.uint64)
-            for i, ids in zip(some, _paths(model, _search(model, points))):
-                out[i] = ids
+            found, odd[some] = _paths(model, _search(model, points))
+            for i, codes in zip(some, found):
+                out[i] = codes
+    return out, odd
+
+
+def _long(model: Model, word: str) -> tuple[bytes, bool]:
+    """Codes of a long word of a BPE model, from stretches that are searched side by side.
+
+    A path all of whose neighbours stay apart is the only one there is. So two stretches are joined where both have a border
+    and the pieces on its two sides stay apart.
+    """
+    total = len(model.pieces)
+    starts = list(range(0, max(1, len(word) - OVERLAP), STRETCH))
+    found, _ = _codes(model, [word[k : k + STRETCH + OVERLAP] for k in starts])
+
+    def placed(codes: bytes, start: int) -> tuple[np.ndarray, np.ndarray]:
+        codes = np.frombuffer(codes, np.int32).astype(np.int64)
+        return codes, start + np.cumsum(np.where(codes < total, model.lengths[np.minimum(codes, total - 1)], 1))
+
+    parts = [placed(codes, k) for k, codes in zip(starts, found)]
+    done: list[np.ndarray] = []
+    held = parts[0]
+    for start, (codes, ends) in zip(starts[1:], parts[1:]):
+        here = np.concatenate([[start], ends[:-1]])
+        borders, left, right = np.intersect1d(held[1], here, assume_unique=True, return_indices=True)
+        # Pieces next to where a stretch was cut are the least certain: places in the middle come first.
+        order = np.argsort(np.abs(borders - start - OVERLAP // 2), kind="stable")
+        left, right = left[order], right[order]
+        apart = _stays_apart(model, held[0][left] << 32 | codes[right]) if len(left) else np.zeros(0, bool)
+        if apart.any():
+            k = int(apart.argmax())
+            done.append(held[0][: left[k] + 1])
+            held = codes[right[k] :], ends[right[k] :]
+        else:
+            # Such as one character over and over: the whole word is merged by its scores, which gives that path too.
+            whole = np.array(merge(model, word), np.int64)
+            return whole.astype(np.int32).tobytes(), bool((whole >= total).any())
+    whole = np.concatenate([*done, held[0]])
+    return whole.astype(np.int32).tobytes(), bool((whole >= total).any())
+
+
+def encode_words(model: Model, words: list[str]) -> list[bytes]:
+    """Ids of every word, as the bytes of an int32 array."""
+    out, odd = _codes(model, words)
+    for i in np.flatnonzero(odd).tolist():
+        out[i] = array("i", _ids(model, np.frombuffer(out[i], np.int32).tolist())).tobytes()
     return out
 
 
@@ -288,11 +424,14 @@ def encode(model: Model, texts: list[str | None]) -> list[np.ndarray]:
     """Ids of every text; null and empty texts have none. Equal words of a batch are searched once."""
     cache = model.words
     cut = [_cut(model, t) if t else [] for t in texts]
-    new = list({u for units in cut for u in units}.difference(cache))
-    if len(cache) + len(new) > CACHED_WORDS:
+    units = {u for units in cut for u in units}
+    if model.cached > CACHED_BYTES:
         cache.clear()
-        new = list({u for units in cut for u in units})
-    cache.update(zip(new, encode_words(model, new)))
+        model.cached = 0
+    new = list(units.difference(cache))
+    found = encode_words(model, new)
+    model.cached += sum(200 + 2 * len(u) + len(f) for u, f in zip(new, found))
+    cache.update(zip(new, found))
     return [np.frombuffer(b"".join([cache[u] for u in units]), np.int32) for units in cut]
 
 
@@ -335,6 +474,27 @@ def decode(model: Model, ids) -> str:
     return text.replace(SPACE, " ")
 
 
+def decode_all(model: Model, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+    """The texts of lists of ids in a row; those with byte pieces one by one, all others by joining bytes at once."""
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    lengths = model.text_lengths[ids]
+    inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    flat = model.text_bytes[np.repeat(model.text_starts[ids], lengths) + inside].tobytes()
+    at = np.concatenate([[0], np.cumsum(lengths)])[ends].tolist()
+    odd = np.concatenate([[0], np.cumsum(~model.plain[ids])])[ends]
+    # The added space is that of a first piece that begins with the mark for one; the unknown sign's own space stays.
+    strip = np.zeros(len(counts), bool)
+    some = np.flatnonzero(counts > 0)
+    strip[some] = model.dummy_prefix & model.marked[ids[ends[some]]]
+    out = []
+    for k, (a, b) in enumerate(zip(at, at[1:])):
+        if odd[k + 1] > odd[k]:
+            out.append(decode(model, ids[ends[k] : ends[k + 1]]))
+        else:
+            out.append(flat[a + bool(strip[k]) : b].decode())
+    return out
+
+
 _LOADED: dict[str, Model] = {}
 
 
@@ -345,19 +505,22 @@ def _model(path: str) -> Model:
     return _LOADED[path]
 
 
-def encode_column(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
+def encode_column(documents: DataFrame, path: str, text: str = "text", decoded: str | None = None) -> DataFrame:
     """All columns of the documents with pieces (array<int>) and n_pieces. Null text: null pieces, 0.
 
-    Empty texts have no pieces. Columns of these names are replaced. Every text is encoded whole. A task holds 4 MB of text at a
-    time, or one longer text, and caches of bounded numbers of words and pairs. `path` names a model file that is
+    `decoded` names a column for the text that decoding the pieces gives, in the same pass over the rows.
+
+    Empty texts have no pieces. Columns of these names are replaced. Every text is encoded whole. A task searches 4 MB of text at a
+    time, or one longer text, and keeps caches of bounded size. `path` names a model file that is
     installed on every machine.
     """
-    documents = documents.drop("pieces", "n_pieces")
+    more = [decoded] if decoded else []
+    documents = documents.drop("pieces", "n_pieces", *more)
     names = documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(path)
-        for batch in W.slices(batches, text):
+        for batch in W.slices(batches, text, BATCH_BYTES):
             column = batch.column(text)
             texts = column.to_pylist()
             ids = encode(model, texts)
@@ -366,10 +529,15 @@ def encode_column(documents: DataFrame, path: str, text: str = "text") -> DataFr
             pieces = W.lists(flat, counts, pa.int32())
             if column.null_count:
                 pieces = pa.ListArray.from_arrays(pieces.offsets, pieces.values, mask=column.is_null())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pieces, pa.array(counts)], names=[*names, "pieces", "n_pieces"])
+            columns = [*batch.columns, pieces, pa.array(counts)]
+            if decoded:
+                back = decode_all(model, flat.astype(np.int64), counts)
+                columns.append(pa.array([None if t is None else b for t, b in zip(texts, back)], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "pieces", "n_pieces", *more])
 
     schema = T.StructType(
         [*documents.schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType())]
+        + [T.StructField(m, T.StringType()) for m in more]
     )
     return documents.mapInArrow(run, schema)
 
@@ -384,7 +552,10 @@ def decode_column(encoded: DataFrame, path: str, pieces: str = "pieces", out: st
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [None if v.values is None else decode(model, v.values.to_numpy()) for v in part.column(pieces)]
+                lists = part.column(pieces)
+                counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                texts = decode_all(model, lists.flatten().to_numpy().astype(np.int64), counts)
+                texts = [t if ok else None for t, ok in zip(texts, lists.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, out])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())]))

@@ -201,7 +201,7 @@ def op9_language(spark: SparkSession, data: str) -> DataFrame:
 def op10_pieces(spark: SparkSession, data: str) -> DataFrame:
     """Every document as ids of pieces, and whether decoding them gives its text back."""
     documents = table(spark, data, "documents").select("doc_id", "text")
-    decoded = pieces.decode_column(pieces.encode_column(documents, PIECES), PIECES)
+    decoded = pieces.encode_column(documents, PIECES, decoded="decoded")
     return decoded.select("doc_id", "n_pieces", "pieces", pieces.round_trips().alias("round_trip"))
 
 

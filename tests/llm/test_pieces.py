@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import time
 
 import pytest
 
@@ -66,11 +67,52 @@ def test_unigram_is_the_librarys(unigram):
 def test_small_caches_and_batches_change_nothing(bpe, monkeypatch):
     some = texts(3)
     want = [g.tolist() for g in pieces.encode(bpe[0], some)]
-    for name, value in (("CACHED_WORDS", 3), ("CACHED_PAIRS", 5), ("CELLS", 1)):
+    for name, value in (("CACHED_BYTES", 3), ("CACHED_PAIRS_LOG2", 2), ("CELLS", 1), ("TOGETHER", 3)):
         monkeypatch.setattr(pieces, name, value)
     assert [g.tolist() for g in pieces.encode(pieces.load(PIECES), some)] == want
 
 
+def test_long_words(bpe, unigram):
+    """Words without a space in many stretches, and very long ones in seconds."""
+    rng = random.Random(6)
+    for signs in ("abcdefghijklmnop0123456789+/", "日本語文字列中国人", "a", "ab", "\U0001f600é"):
+        for n in (576, 577, 2000):
+            text = "".join(rng.choice(signs) for _ in range(n))
+            (got,) = pieces.encode(bpe[0], [text])
+            assert got.tolist() == bpe[1].encode(text)
+    text = "".join(rng.choice("的一是不了人我在有他这中大来上国 abcXYZ09"[rng.randrange(2) :]) for _ in range(400))
+    (got,) = pieces.encode(unigram[0], [text])
+    assert pieces.decode(unigram[0], got) == text
+    text = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(200_000))
+    start = time.time()
+    (got,) = pieces.encode(bpe[0], [text])
+    assert time.time() - start < 15
+    assert pieces.decode(bpe[0], got) == text
+    start = time.time()
+    assert pieces.decode(bpe[0], pieces.encode(bpe[0], ["a" * 200_000])[0]) == "a" * 200_000
+    assert time.time() - start < 15
+
+
+@pytest.mark.parametrize("stretch,overlap", [(7, 3), (5, 1), (16, 15)])
+def test_stretches_of_any_size(bpe, monkeypatch, stretch, overlap):
+    monkeypatch.setattr(pieces, "STRETCH", stretch)
+    monkeypatch.setattr(pieces, "OVERLAP", overlap)
+    rng = random.Random(stretch)
+    for _ in range(60):
+        text = "".join(rng.choice(["tion", "the", "a", "b", "é", "日", "x", "ing"]) for _ in range(rng.randrange(1, 60)))
+        bpe[0].words.clear()
+        assert pieces.encode(bpe[0], [text])[0].tolist() == bpe[1].encode(text)
+
+
+def test_decoding_together_is_decoding_alone(bpe, unigram):
+    import numpy as np
+
+    for model, own in (bpe, unigram):
+        lists = [np.array(own.encode(t or ""), np.int64) for t in texts(7)] + [np.array([0, 5, 300]), np.array([13, 300]), np.array([1, 2])]
+        together = pieces.decode_all(model, np.concatenate(lists).astype(np.int64), np.array([len(x) for x in lists]))
+        assert together == [pieces.decode(model, x) for x in lists]
+
+
 def test_columns(spark):
     rows = [(i, t, 1) for i, t in enumerate(texts(4))] + [(1, "", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, pieces int")
@@ -80,4 +122,6 @@ def test_columns(spark):
     for r in decoded.collect():
         assert r["same"] and r["n_pieces"] == len(r["pieces"] or [])
         assert (r["pieces"] is None) == (r["text"] is None) == (r["back"] is None)
+    once = pieces.encode_column(docs, PIECES, decoded="back").withColumn("same", pieces.round_trips(decoded="back"))
+    assert sorted(map(str, once.collect())) == sorted(map(str, decoded.select(once.columns).collect()))
     assert pieces.encode_column(docs.limit(0), PIECES).count() == 0
