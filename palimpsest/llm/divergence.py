@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm import words as W
-from palimpsest.llm.shared import stored
+from palimpsest.llm.shared import cut
 
 LEAST_DOCUMENTS = 10
 TOP_TERMS = 10
@@ -171,7 +171,7 @@ def pair_sums(terms: DataFrame, groups: DataFrame, tile: int = TILE) -> DataFram
     named = terms.select("lang", "term", F.explode("counts").alias("c")).select("lang", "term", "c.source", "c.n")
     placed = named.join(groups.select("lang", "source", "place"), ["lang", "source"])
     keyed = placed.groupBy("lang", "term").agg(F.sort_array(F.collect_list(F.struct("place", "n"))).alias("key"))
-    runs = stored(_block_runs(keyed.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("weight"))))
+    runs = cut(_block_runs(keyed.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("weight"))))
     blocks = runs.select("lang", "block", "width").distinct()
     # A source that does not occur in a block has one run of zeros there.
     zero = F.array(F.lit(0).cast("long"))
@@ -208,7 +208,7 @@ def audit(
     docs = documents.select(
         *[F.coalesce(F.col(c).cast("string"), empty).alias(name) for c, name in (("lang", "lang"), ("source", "source"), (text, "text"))]
     )
-    terms = stored(vocabulary(docs, least))
+    terms = cut(vocabulary(docs, least))
     cells = terms.select("lang", "term", F.col("n").alias("everywhere"), F.explode("counts").alias("c")).select(
         "lang", "term", "everywhere", "c.source", "c.n"
     )
@@ -217,7 +217,7 @@ def audit(
     every = docs.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").join(languages, "lang", "left")
     of_lang = Window.partitionBy("lang")
     # The smallest sources come first: their counts are zero in the longest stretches.
-    groups = stored(
+    groups = cut(
         every.fillna(0, ["total", "terms", "words"])
         .withColumn("place", F.row_number().over(of_lang.orderBy("total", "source")))
         .withColumn("sources", F.count(F.lit(1)).over(of_lang))

@@ -36,7 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = cut(small.union(low.select("u", F.col("m").alias("v"))).distinct())
+        now = cut(small.union(low.select("u", F.col("m").alias("v"))).distinct(), now)
         before, state = state, _state(now)
     roots = now.select("v").distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(

@@ -384,11 +384,12 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, per
     needed = cut(classes.select("c", "row_key").join(ends, "c"))
     wanted = context.broadcast(bitmap(needed, "row_key", BITMAP_LOG2))
     sets = cut(_sets(docs, wanted, size).dropDuplicates(["row_key"]).join(needed, "row_key").select("c", "shingles"))
-    return cut(
+    found = (
         left.join(sets.select(F.col("c").alias("x"), F.col("shingles").alias("px")), "x")
         .join(sets.select(F.col("c").alias("y"), F.col("shingles").alias("py")), "y")
         .mapInArrow(lambda b: _linked(b, percent), _PAIR)
     )
+    return cut(found, left, needed, sets)
 
 
 def _frequent(classes: DataFrame) -> np.ndarray:

@@ -15,20 +15,20 @@ def table(spark: SparkSession, data: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared checkpoint folder and read from there."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
-
+def cut(df: DataFrame, *done: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder as compressed Parquet and read from there.
 
-def stored(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared checkpoint folder as Parquet and read from there."""
-    path = f"{shared_dir(df.sparkSession)}/palimpsest/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    `done` are frames this function returned before that nothing reads any more: their files are deleted.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/palimpsest/step-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.step_path = path
+    for frame in done:
+        where = spark._jvm.org.apache.hadoop.fs.Path(frame.step_path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return out
 
 
 def bitmap(hashes: DataFrame, column: str, log2: int) -> np.ndarray:

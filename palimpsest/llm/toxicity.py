@@ -23,12 +23,16 @@ from palimpsest.llm import words as W
 ROWS = 4000
 LONGEST = 10_000
 BUCKETS_LOG2 = 20
+# Text scored at a time.
+SCORED_BYTES = 1 << 20
 DIMENSIONS = 8
 GRAMS = (3, 4, 5, 6)
 EPOCHS = 8
 RATE = 0.003
 # N-grams met in fewer words of texts than this keep a zero vector: they would learn single texts by heart.
 LEAST = 8
+# Distinct words whose n-grams are taken at a time.
+WORDS = 10_000
 # How many words of texts the prior on an n-gram's share of toxic texts counts for.
 PRIOR = 10.0
 # Texts are averages over hundreds of words; this brings their vectors to the size of a word's.
@@ -107,6 +111,29 @@ class _Adam:
         self.value -= rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.99**self.t)) + floor)
 
 
+def _frequent_grams(w: W.Words, one: np.ndarray, per_word: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Buckets met in at least LEAST words of texts; by word and bucket: its number there, the word's share, the word.
+
+    Words are taken a few at a time, so that only what is kept is held.
+    """
+    cuts = range(0, len(one), WORDS)
+    met = np.zeros(1 << BUCKETS_LOG2)
+    for at in cuts:
+        bucket, grams = subwords(w, one[at : at + WORDS])
+        met += np.bincount(bucket, weights=np.repeat(per_word[at : at + WORDS], grams), minlength=len(met))
+    often = met >= LEAST
+    number = (np.cumsum(often) - 1).astype(np.int32)
+    parts: list[tuple[np.ndarray, ...]] = []
+    for at in cuts:
+        bucket, grams = subwords(w, one[at : at + WORDS])
+        kept = often[bucket]
+        share = np.repeat((1 / np.maximum(grams, 1)).astype(np.float32), grams)
+        word_of = np.repeat(np.arange(at, at + len(grams), dtype=np.int32), grams)
+        parts.append((number[bucket[kept]], share[kept], word_of[kept]))
+    none = np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(0, np.int32)
+    return (np.flatnonzero(often), *(np.concatenate(x) for x in zip(none, *parts)))
+
+
 def train(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Model:
     """Table and softmax by full-batch Adam on the cross-entropy. Without rows, scores are one half."""
     rng = np.random.default_rng(seed)
@@ -117,32 +144,30 @@ def train(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS, see
         return Model(whole, weights.value, bias.value)
     w = W.split(pa.array(texts, pa.string()), W.ALNUM)
     _, one, word = np.unique(w.hashes, return_index=True, return_inverse=True)
-    bucket, grams = subwords(w, one)
     pair, times = np.unique(w.owner * len(one) + word, return_counts=True)
-    text_of, word_in = np.divmod(pair, max(len(one), 1))
+    text_of, word_in = (x.astype(np.int32) for x in np.divmod(pair, max(len(one), 1)))
+    n_pairs = len(pair)
     per_text = np.bincount(text_of, minlength=len(texts))
     part = (GAIN * times / np.maximum(w.counts[text_of], 1)).astype(np.float32)
     per_word = np.bincount(word_in, minlength=len(one))
+    del pair, times, word
     # A word's share of each bucket, without the rare ones.
-    share = np.repeat(1 / np.maximum(grams, 1), grams).astype(np.float32)
-    word_of = np.repeat(np.arange(len(grams)), grams)
-    often = np.bincount(bucket, weights=per_word[word_of], minlength=len(whole)) >= LEAST
-    kept = often[bucket]
-    bucket, share, word_of = bucket[kept], share[kept], word_of[kept]
+    used, bucket, share, word_of = _frequent_grams(w, one, per_word)
+    del w
     grams = np.bincount(word_of, minlength=len(one))
-    used, bucket, per_bucket = np.unique(bucket, return_inverse=True, return_counts=True)
+    per_bucket = np.bincount(bucket, minlength=len(used))
     # The first dimension starts from the smoothed log-odds of each n-gram, cubed so that the many weak ones
     # do not outweigh the few strong ones in an average; the other dimensions start near zero.
     seen = [np.bincount(word_in, weights=labels[text_of] == c, minlength=len(one)) for c in (0, 1)]
     odds = np.zeros(len(used))
     for sign, per in zip((-1, 1), seen):
         n = np.bincount(bucket, weights=per[word_of], minlength=len(used))
-        odds += sign * np.log((n + PRIOR * per.sum() / pair.size) / max(per.sum(), 1.0))
+        odds += sign * np.log((n + PRIOR * per.sum() / n_pairs) / max(per.sum(), 1.0))
     start = rng.uniform(-0.01, 0.01, (len(used), DIMENSIONS)).astype(np.float32)
     start[:, 0] = (odds / 3) ** 3
     table = _Adam(start)
     weights.value[0] = (-0.5, 0.5)
-    by_bucket, by_word = np.argsort(bucket, kind="stable"), np.argsort(word_in, kind="stable")
+    by_bucket, by_word = (np.argsort(x, kind="stable").astype(np.int32) for x in (bucket, word_in))
     goal = np.eye(2, dtype=np.float32)[labels]
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
@@ -216,8 +241,8 @@ def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of the documents with toxic_score (0 to 1) and toxic_pred (1 from one half on).
 
     Every word of a text counts, however long it is. Null and empty texts, and texts without words, have the
-    score of the bias alone. Columns of these two names are replaced. A task holds 4 MB of
-    text at a time, or one longer text, and 1 MB of model.
+    score of the bias alone. Columns of these two names are replaced. A task scores 1 MB of
+    text at a time, or one longer text, with 4 MB of model.
     """
     documents = documents.drop("toxic_score", "toxic_pred")
     names = documents.columns
@@ -225,7 +250,7 @@ def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket_logit, base = sent.value
-        for batch in W.slices(batches, text):
+        for batch in W.slices(batches, text, SCORED_BYTES):
             w = W.split(batch.column(text), W.ALNUM)
             logit = np.full(batch.num_rows, base)
             if len(w.hashes):

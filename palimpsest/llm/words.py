@@ -70,7 +70,11 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts batches so that each holds about `most` bytes of text, or one longer text."""
+    """Cuts batches so that each holds about `most` bytes of text, or one longer text.
+
+    Memory of Arrow is the system's from here on: a task gives back what it no longer needs.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         if not batch.num_rows:
             continue
