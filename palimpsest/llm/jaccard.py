@@ -38,7 +38,7 @@ FREQUENT = 1 << 20
 BITMAP_LOG2 = 26
 # Rows of one tile on either side, by expectation, and bytes of signatures compared at a time.
 BLOCK = 2048
-COMPARED = 16 << 20
+COMPARED = 8 << 20
 
 
 def shingle_sets(w: W.Words, size: int, late: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,6 +74,12 @@ def _signature(values: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def _short(signature: bytes) -> bytes:
+    """A signature with a quarter of its places, one for every one or two values; 64 at least."""
+    bits = np.frombuffer(signature, np.uint64)
+    return _folded(bits[None, :], max(1, len(bits) // 4))[0].tobytes()
+
+
 def _folded(bits: np.ndarray, width: int) -> np.ndarray:
     """Signatures (rows) as they would be with fewer places."""
     return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, width), axis=1)
@@ -133,10 +139,11 @@ def _features(docs: DataFrame, size: int) -> DataFrame:
             np.cumsum(W.mix(values.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)), out=total[1, 1:])
             ends = np.concatenate([[0], np.cumsum(counts)])
             a, b = (t[ends[1:]] - t[ends[:-1]] for t in total)
-            sketch, sig, sample = [], [], []
+            sketch, sig, short, sample = [], [], [], []
             for own, name in zip(_per_text(values, counts), a.tolist()):
                 sketch.append(own[:SKETCH])
                 sig.append(_signature(own) if len(own) else None)
+                short.append(_short(sig[-1]) if len(own) else None)
                 sample.append(own if name % SAMPLE == 0 else None)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -147,14 +154,15 @@ def _features(docs: DataFrame, size: int) -> DataFrame:
                     pa.array(b.view(np.int64)),
                     pa.array(sketch, pa.list_(pa.int64())),
                     _binary(sig),
+                    _binary(short),
                     pa.array(sample, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "row_key", "n", "a", "b", "sketch", "sig", "sample"],
+                names=["doc_id", "row_key", "n", "a", "b", "sketch", "sig", "short", "sample"],
             )
 
     longs = T.ArrayType(T.LongType())
     kinds = [("row_key", T.LongType()), ("n", T.LongType()), ("a", T.LongType()), ("b", T.LongType())]
-    kinds += [("sketch", longs), ("sig", T.BinaryType()), ("sample", longs)]
+    kinds += [("sketch", longs), ("sig", T.BinaryType()), ("short", T.BinaryType()), ("sample", longs)]
     schema = T.StructType([docs.schema["doc_id"], *[T.StructField(k, t) for k, t in kinds]])
     return docs.select("doc_id", "row_key", "text").mapInArrow(run, schema)
 
@@ -327,7 +335,8 @@ def _tiles(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         .where(F.col("low") < F.col("high"))
         .select("t", (F.col("rows") <= BLOCK).alias("small"), "blocks")
     )
-    live = banded.join(mixed, "t").join(classes.select("c", "sig"), "c")
+    # Every row of a tile carries a signature: the short one.
+    live = banded.join(mixed, "t").join(classes.select("c", F.col("short").alias("sig")), "c")
     many = lambda band: F.coalesce(F.try_element_at("blocks", band), F.lit(0))
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     band, own = F.col("band"), F.pmod(F.xxhash64("c"), many(F.col("band"))).cast("int")
@@ -456,7 +465,7 @@ def _labelled(documents: DataFrame, doc_id: str, text: str, size: int, percent:
         .agg(
             F.min("doc_id").alias("low"),
             F.min("row_key").alias("row_key"),
-            *[F.first(k).alias(k) for k in ("sketch", "sig", "sample")],
+            *[F.first(k).alias(k) for k in ("sketch", "sig", "short", "sample")],
         )
         .withColumn("c", F.monotonically_increasing_id())
     )
