@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.operators.convert import normalize
+from palimpsest.operators.prefixes import fill_by_prefix
 from palimpsest.operators.enrich import fill_by_range, ipv4_number, reuse
 from palimpsest.operators.route import route
 from palimpsest.plans.usage import refresh_usage, usage_events
@@ -40,19 +41,23 @@ def refresh_levels(resources: Sequence[str] | None = None) -> list[list[Resource
 
 
 def enrich_uplinks(
-    uplinks: DataFrame, known: DataFrame, registry: DataFrame | None = None
+    uplinks: DataFrame, known: DataFrame, registry: DataFrame | None = None, prefixes: DataFrame | None = None
 ) -> DataFrame:
     """Uplinks with their provider: the known one while the public address is unchanged,
     otherwise the registrant of the most specific registered range that holds it.
 
-    `registry` has (start, end, prefix_len, registrant), addresses as numbers.
+    `registry` has (start, end, prefix_len, registrant), IPv4 addresses as numbers. `prefixes` has (network, length,
+    registrant), addresses of both families as text; it fills what the registry left.
     """
     served = reuse(uplinks, known, UPLINK.keys, "public_ip", "provider").drop("reused")
-    if registry is None:
-        return served.select(*uplinks.columns)
-    ranges = registry.withColumnRenamed("registrant", "provider")
-    point = ipv4_number(F.col("public_ip"))
-    filled = fill_by_range(served, ranges, point, "start", "end", "provider", "prefix_len")
+    filled = served
+    if registry is not None:
+        ranges = registry.withColumnRenamed("registrant", "provider")
+        point = ipv4_number(F.col("public_ip"))
+        filled = fill_by_range(filled, ranges, point, "start", "end", "provider", "prefix_len")
+    if prefixes is not None:
+        held = prefixes.withColumnRenamed("registrant", "provider")
+        filled = fill_by_prefix(filled, held, "public_ip", "network", "length", "provider")
     return filled.select(*uplinks.columns)
 
 

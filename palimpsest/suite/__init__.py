@@ -10,6 +10,7 @@ from palimpsest.suite import (  # noqa: F401  (each module registers its queries
     joining,
     keeping,
     merging,
+    ranging,
     reading,
     storing,
     versions,
