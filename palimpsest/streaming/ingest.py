@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from palimpsest.functions.times import moment
 from palimpsest.operators.counters import LOOKBACK, accumulate, monthly_delta, split_late
 from palimpsest.sources.store import Commits, HistoryStore, KeyedStore, Source
 
@@ -64,6 +65,22 @@ def late_events(store: KeyedStore, like: DataFrame) -> DataFrame:
     return reader.parquet(path)
 
 
+def without_repeats(
+    stream: DataFrame, at: str, once_by: Sequence[str], now: datetime | str, lookback: str = LOOKBACK
+) -> DataFrame:
+    """A stream without the repeats of events that are not late; late and untimed events go through as they are.
+
+    The watermark follows the events' time, but never passes `now`: it stays `lookback` behind that at least, so no event
+    that can still be counted is dropped for its age. A NULL in `once_by` equals NULL.
+    """
+    marked = split_late(stream, at, now, lookback)
+    limit = moment(now, stream.schema[at].dataType).cast("timestamp")
+    clock = F.least(F.col(at).cast("timestamp"), limit)
+    timely = marked.where(~F.col("late")).withColumn("_clock", clock).withWatermark("_clock", lookback)
+    once = timely.dropDuplicatesWithinWatermark(list(once_by)).select(*stream.columns)
+    return once.unionByName(marked.where("late").select(*stream.columns))
+
+
 def stream_counters(
     stream: DataFrame,
     store: KeyedStore,
@@ -73,13 +90,19 @@ def stream_counters(
     lookback: str = LOOKBACK,
     late: Callable[[DataFrame, int], None] | None = None,
     checkpoint: str | None = None,
+    once_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Usage events added to the monthly counters.
 
+    `once_by` names the columns that tell an event: one that comes again, in the same batch or a later one, counts once. Spark's
+    state store remembers events for `lookback` of event time; older ones are late and not counted anyway.
+
     Events older than `lookback` before `now`, and those without a time, are not counted. They go to `late`, or else
     to a folder of the table, where `late_events` finds them.
     """
     keys = [k for k in store.keys if k not in ("month", "year")]
+    if once_by:
+        stream = without_repeats(stream, at, once_by, now, lookback)
 
     def each(batch: DataFrame, source: Source) -> None:
         marked = split_late(batch, at, now, lookback)

@@ -9,6 +9,7 @@ from palimpsest.suite import (  # noqa: F401  (each module registers its queries
     filtering,
     joining,
     keeping,
+    landing,
     merging,
     ranging,
     reading,

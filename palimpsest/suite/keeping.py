@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -292,6 +293,82 @@ def read_usage(spark, data):
     return read(UPLINK_USAGE, store, month=5, year=1998, network_id="N3").select("network_id", "serial", "sent")
 
 
+@query("""
+select 'N' || n_nationkey as network_id, rule_order, row_number() over (partition by n_nationkey order by rule_order) as place
+from nation, (values (0), (1)) r(rule_order)
+""")
+def read_rules_in_order(spark, data):
+    """Rules of each network in the order a read returns them."""
+    store = stored(spark, data, L3_FIREWALL_RULE, rules(spark, data))
+    order = [F.asc_nulls_last(c) for c in L3_FIREWALL_RULE.sort]
+    place = F.row_number().over(Window.partitionBy("network_id").orderBy(*order)).cast("bigint").alias("place")
+    return read(L3_FIREWALL_RULE, store, ordered=False).select("network_id", "rule_order", place)
+
+
+@query("""
+select 'N' || n_nationkey as network_id, case when n_regionkey = 0 then 'enabled' else 'disabled' end as mode,
+  '[{"url":"' || lower(n_name) || '"}]' as allowed_urls from nation
+""")
+def landed_malware(spark, data):
+    rows = snapshot(spark, APPLIANCE_MALWARE, landed(spark, "malware", malware(spark, data)))
+    return rows.select("network_id", "mode", "allowed_urls")
+
+
+@query("""
+select 'N' || s_nationkey as network_id, count(*) as ssids, count(*) filter (s_acctbal > 0) as enabled, false as shows_secret
+from supplier group by all
+""")
+def sql_over_bucketed_views(spark, data):
+    """Ad-hoc SQL over a table of several buckets; its secrets are not in the view."""
+    root = new_folder(spark, "tables")
+    HistoryStore.of(spark, root, SSID, buckets=4).merge(snapshot(spark, SSID, landed(spark, "ssid", ssids(spark, data))), T0)
+    register_views(spark, root)
+    shows = "psk" in spark.table("ssid").columns
+    return spark.sql(f"""
+        select network_id, count(*) as ssids, count_if(enabled) as enabled, {str(shows).lower()} as shows_secret
+        from ssid where active_to is null group by network_id""")
+
+
+@query("""
+select 'N' || n_nationkey as network_id, 'S' || l_suppkey as serial, 'wan1' as interface, year(l_shipdate)::int as year,
+  month(l_shipdate)::int as month, sum(l_quantity::bigint)::bigint as sent, sum(l_linenumber::bigint)::bigint as received
+from lineitem join supplier on s_suppkey = l_suppkey join nation on n_nationkey = s_nationkey
+where l_shipdate >= timestamp '1998-05-01' and l_shipdate < timestamp '1998-05-11 12:00:00' group by all
+""")
+def refresh_usage_network_leaves(spark, data):
+    """Usage refreshed, then again with every other network gone: no reading counts twice.
+
+    No reading lies between the two, so the second refresh has nothing to add.
+    """
+    tables = new_folder(spark, "tables")
+    for step, now in enumerate(("1998-05-11 12:00:00", "1998-05-11 12:00:01")):
+        root = new_folder(spark, "landing")
+        for spec in (ORGANIZATION, UPLINK_USAGE):
+            LANDINGS[spec](spark, data).write.json(f"{root}/{spec.name}")
+        here = networks(spark, data)
+        if step:
+            here = here.where(F.substring("id", -1, 1).cast("int") % 2 == 0)
+        here.write.json(f"{root}/network")
+        refresh(spark, root, tables, now, ["uplink_usage"])
+    rows = open_store(spark, tables, UPLINK_USAGE).rows()
+    return rows.select("network_id", "serial", "interface", "year", "month", "sent", "received")
+
+
+@query("""
+select 'N' || n_nationkey as network_id, 'S' || l_suppkey as serial, sum(l_quantity::bigint)::bigint as sent
+from lineitem join supplier on s_suppkey = l_suppkey join nation on n_nationkey = s_nationkey
+where l_shipdate >= timestamp '1998-05-01' and l_shipdate < timestamp '1998-05-11' and n_nationkey = 3 group by all
+""")
+def read_usage(spark, data):
+    """Stored counters of a month, by network: other months' files are not read."""
+    tables, root = new_folder(spark, "tables"), new_folder(spark, "landing")
+    for spec in (ORGANIZATION, NETWORK, UPLINK_USAGE):
+        LANDINGS[spec](spark, data).write.json(f"{root}/{spec.name}")
+    refresh(spark, root, tables, "1998-05-11", ["uplink_usage"])
+    store = open_store(spark, tables, UPLINK_USAGE)
+    return read(UPLINK_USAGE, store, month=5, year=1998, network_id="N3").select("network_id", "serial", "sent")
+
+
 @query("""
 select 'N' || n_nationkey as network_id, rule_order, row_number() over (partition by n_nationkey order by rule_order) as place
 from nation, (values (0), (1)) r(rule_order)
