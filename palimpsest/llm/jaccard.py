@@ -36,6 +36,8 @@ SAMPLE = 64
 LEAST = 4
 FREQUENT = 1 << 20
 BITMAP_LOG2 = 26
+# Signatures up to so many words of 64 places go into tiles as they are.
+SHORT = 16
 # Rows of one tile on either side, by expectation, and bytes of signatures compared at a time.
 BLOCK = 2048
 COMPARED = 8 << 20
@@ -74,10 +76,12 @@ def _signature(values: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def _short(signature: bytes) -> bytes:
-    """A signature with a quarter of its places, one for every one or two values; 64 at least."""
+def _short(signature: bytes, n: int) -> bytes:
+    """The signature of n values with half of its places, or a quarter where that is not far fewer than values; 1024 at least, if it has them."""
     bits = np.frombuffer(signature, np.uint64)
-    return _folded(bits[None, :], max(1, len(bits) // 4))[0].tobytes()
+    quarter = len(bits) // 4
+    width = quarter if 10 * n <= 14 * 64 * quarter else len(bits) // 2
+    return _folded(bits[None, :], min(len(bits), max(width, SHORT)))[0].tobytes()
 
 
 def _folded(bits: np.ndarray, width: int) -> np.ndarray:
@@ -143,7 +147,7 @@ def _features(docs: DataFrame, size: int) -> DataFrame:
             for own, name in zip(_per_text(values, counts), a.tolist()):
                 sketch.append(own[:SKETCH])
                 sig.append(_signature(own) if len(own) else None)
-                short.append(_short(sig[-1]) if len(own) else None)
+                short.append(_short(sig[-1], len(own)) if len(own) else None)
                 sample.append(own if name % SAMPLE == 0 else None)
             yield pa.RecordBatch.from_arrays(
                 [
