@@ -181,7 +181,7 @@ def decontaminate(
     - Items of a null id hit words but are in no list; equal items are all listed.
     - An empty benchmark hits nothing; empty documents give no rows. Other columns are not read.
 
-    Memory: 4 MB of text at a time, or one longer text. Documents are scanned once; only fingerprints
+    Memory: 2 MB of text at a time, or one longer text. Documents are scanned once; only fingerprints
     whose bit is set in a bitmap of the items' (8 MB, however many) leave the scan. That join is on hashes,
     and adaptive execution splits hot ones: either side may have any size.
     """

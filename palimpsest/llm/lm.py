@@ -361,7 +361,7 @@ def score(documents: DataFrame, model: Model, text: str = "text", rows: int = 1
     log_prob is the sum over all words of the logarithm of the probability that the network gives to the word from the SIDE words
     on either side. For a word outside the vocabulary that is its bucket's probability times (n + 1) / (1 + the bucket's distinct words
     + their counts), n being the word's count in the documents of the model, 0 for unseen ones. perplexity is exp(-log_prob / n_words). Texts without words, empty and null ones have no words, log_prob 0 and a null
-    perplexity. Repeated rows get equal scores. Columns of these names are replaced. A task holds 4 MB of text, or one longer text, and
+    perplexity. Repeated rows get equal scores. Columns of these names are replaced. A task holds 2 MB of text, or one longer text, and
     the layers of `rows` words.
     """
     documents = documents.drop("n_words", "log_prob", "perplexity")
