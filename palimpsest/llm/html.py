@@ -28,9 +28,17 @@ BLOCK = frozenset(
 )
 SPACED = frozenset("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 hr listing menu ol p pre table ul xmp".split())
 HIDDEN = frozenset(
-    "area audio base basefont canvas col colgroup datalist embed head iframe link math meta noembed noframes object param rp script "
-    "source style svg template title track video".split()
+    "area audio base basefont canvas col colgroup datalist embed head iframe link meta noembed noframes object param rp script "
+    "source style template title track video".split()
 )
+# Not shown inside drawings and formulas.
+HIDDEN_IN = {
+    "svg": frozenset("clippath defs desc lineargradient marker mask metadata pattern radialgradient symbol".split()),
+    "math": frozenset("annotation annotation-xml".split()),
+}
+# Inputs that do not show their value as text.
+NO_VALUE = frozenset("checkbox color file hidden image password radio range".split())
+BUTTONS = frozenset("button reset submit".split())
 ENDS_P = BLOCK - frozenset("body html li dd dt caption thead tbody tfoot tr td th option optgroup".split()) | {"li", "dd", "dt"}
 # A start tag ends open elements of these names, looking no further up than the borders beside them.
 IMPLIED = {
@@ -49,8 +57,13 @@ IMPLIED = {
     "body": ({"head"}, {"html"}),
 }
 HEAD_ONLY = frozenset("base basefont bgsound link meta noframes script style template title head html".split())
-# Deeper lists keep this indent, deeper tables are blocks, and wider cells get no padding: output stays linear.
-DEEPEST, WIDEST = 12, 60
+# So that output stays linear, list items deeper than this keep their markers at this indent, and a table deeper than this lends
+# its rows to the one around it.
+DEEPEST = 12
+# A table's padding is at most this many blanks a cell and this many for each of its characters.
+PER_CELL, PER_CHARACTER = 256, 8
+# Width of the screen that rules for media are held against, in pixels.
+SCREEN = 1280
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -60,10 +73,16 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_OTHER_SPACE = re.compile(r"[\t\n\r\f]|  ")
+_BRACE = re.compile(r"[{};]")
+_AT = re.compile(r"@([\w-]*)(.*)", re.S)
+_FEATURE = re.compile(r"(min|max)-width\s*:\s*(\d+(?:\.\d+)?)\s*(px|em|rem)\Z")
 _SELECTOR = re.compile(r"[.#]?[\w-]+\Z")
 
 
+_PLAIN: dict[str, str] = {}
+
+
 class Node:
     __slots__ = ("tag", "attrs", "children")
 
@@ -85,6 +104,7 @@ class _Builder:
         self.root = Node("html", {})
         self.open = [self.root]
         self.names: dict[str, int] = {"html": 1}
+        self.styles: list[Node] = []
 
     def text(self, text: str) -> None:
         if self.open[-1].tag == "head" and text.strip():
@@ -129,7 +149,10 @@ class _Builder:
             self.push(Node("tr", {}))
         node = Node(tag, attrs)
         self.open[-1].children.append(node)
-        if tag not in VOID and not (closed and tag in ("svg", "math")):
+        if tag == "style":
+            self.styles.append(node)
+        # A tag closes itself in drawings and formulas only.
+        if tag not in VOID and not (closed and (tag in HIDDEN_IN or self.names.get("svg") or self.names.get("math"))):
             self.open.append(node)
             self.names[tag] = self.names.get(tag, 0) + 1
 
@@ -160,6 +183,10 @@ class _Builder:
 
 def parse(source: str) -> Node:
     """The tree of a page; never fails, whatever the tags."""
+    return _parse(source).root
+
+
+def _parse(source: str) -> _Builder:
     builder = _Builder()
     at, n = 0, len(source)
     while at < n:
@@ -192,7 +219,7 @@ def parse(source: str) -> Node:
         elif tag == "plaintext":
             builder.text(source[at:])
             break
-    return builder.root
+    return builder
 
 
 def _declared(style: str) -> dict[str, str]:
@@ -203,33 +230,81 @@ def _declared(style: str) -> dict[str, str]:
     return out
 
 
-def _sheet(root: Node) -> dict[str, dict[str, str]]:
-    """What rules of the page's style elements say about display and visibility; simple selectors only."""
+def _on_screen(media: str) -> bool:
+    """Whether a list of media queries holds for a plain wide screen: its type and its width are known, no other feature."""
+
+    def holds(part: str) -> bool:
+        if part == "all" or part == "screen":
+            return True
+        m = _FEATURE.match(part.strip("() \t\r\n\f"))
+        if m is None:
+            return "orientation" in part and "landscape" in part
+        width = float(m[2]) * (1 if m[3] == "px" else 16)
+        return width <= SCREEN if m[1] == "min" else width >= SCREEN
+
+    for one in media.lower().split(","):
+        one = one.strip().removeprefix("only ").strip()
+        turned = one.startswith("not ")
+        parts = [x.strip() for x in re.split(r"\sand\b", one.removeprefix("not "))]
+        if one and all(map(holds, parts)) != turned:
+            return True
+    return not media.strip()
+
+
+def _sheet(styles: list[Node]) -> dict[str, dict[str, str]]:
+    """What rules of the page's style elements say about display and visibility; simple selectors only.
+
+    Rules inside @media count where it holds, those inside @layer always, those inside other @ blocks never.
+    """
     out: dict[str, dict[str, str]] = {}
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        if node.tag == "style":
-            for rule in _RULE.finditer(re.sub(r"/\*.*?\*/", "", "".join(c for c in node.children if isinstance(c, str)), flags=re.S)):
-                wanted = {k: v for k, v in _declared(rule[2]).items() if k in ("display", "visibility")}
-                for selector in rule[1].split(",") if wanted else ():
-                    selector = selector.strip()
-                    if _SELECTOR.match(selector):
-                        out.setdefault(selector.lower(), {}).update(wanted)
-        stack.extend(c for c in node.children if isinstance(c, Node))
+    for node in styles:
+        if not _on_screen(node.attrs.get("media", "")):
+            continue
+        text = re.sub(r"/\*.*?(?:\*/|\Z)", "", "".join(c for c in node.children if isinstance(c, str)), flags=re.S)
+        # Whether rules count, by open block; the selectors of the rule that is open, if one is.
+        counts: list[bool] = [True]
+        rule: str | None = None
+        at = 0
+        text += "}"  # the end of the sheet ends the last rule
+        for m in _BRACE.finditer(text):
+            part = text[at : m.start()].strip()
+            if m[0] == ";":
+                if rule is None:
+                    at = m.end()  # a statement such as @import
+                continue
+            at = m.end()
+            if m[0] == "}":
+                if rule is not None and counts[-1]:
+                    wanted = {k: v for k, v in _declared(part).items() if k in ("display", "visibility")}
+                    for selector in rule.split(",") if wanted else ():
+                        selector = selector.strip()
+                        if _SELECTOR.match(selector):
+                            out.setdefault(selector.lower(), {}).update(wanted)
+                if rule is not None or len(counts) > 1:
+                    counts.pop()
+                rule = None
+            elif part.startswith("@"):
+                name, rest = _AT.match(part).groups()
+                name = name.lower()
+                counts.append(counts[-1] and (name == "layer" or name == "media" and _on_screen(rest)))
+            else:
+                counts.append(counts[-1] and rule is None)
+                rule = part
     return out
 
 
 class _Flow:
     """Lines under construction."""
 
-    __slots__ = ("lines", "line", "gap", "space")
+    __slots__ = ("lines", "line", "gap", "space", "mark")
 
     def __init__(self):
         self.lines: list[str] = []
         self.line: list[str] = []
         self.gap = False
         self.space = False
+        # Markers of list items that the next text stands behind.
+        self.mark = ""
 
     def word(self, text: str, pre: bool) -> None:
         if pre:
@@ -239,7 +314,8 @@ class _Flow:
                 self.flush(True)
                 self.put(part)
             return
-        text = _SPACE.sub(" ", text)
+        if _OTHER_SPACE.search(text):
+            text = _SPACE.sub(" ", text)
         if text[:1] == " ":
             self.space = True
             text = text[1:]
@@ -255,6 +331,9 @@ class _Flow:
             if self.gap and self.lines and not self.line:
                 self.lines.append("")
             self.gap = False
+            if self.mark:
+                self.line.append(self.mark)
+                self.mark = ""
             self.line.append(text)
 
     def flush(self, always: bool = False) -> None:
@@ -276,6 +355,9 @@ class _Flow:
             if self.gap and self.lines:
                 self.lines.append("")
             self.gap = False
+            if self.mark:
+                lines = [self.mark + lines[0], *lines[1:]]
+                self.mark = ""
             self.lines.extend(lines)
 
     def done(self) -> list[str]:
@@ -286,7 +368,11 @@ class _Flow:
 
 
 def _table(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
-    """Lines of a table: cells of a column start at one place; a cell over several columns takes the first's."""
+    """Lines of a table: cells of a column start at one place; a cell over several columns takes the first's.
+
+    A column is as wide as its widest line, unless that many blanks in every line are more than the table may hold (PER_CELL,
+    PER_CHARACTER); it is then as wide as the widest line that fits, and longer ones stand out.
+    """
     placed: list[dict[int, list[str]]] = []
     busy: dict[int, int] = {}
     for row in rows:
@@ -304,10 +390,17 @@ def _table(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
             at += columns
         busy = held
         placed.append(cells)
-    width: dict[int, int] = {}
+    lengths: dict[int, list[int]] = {}
+    blanks = height = 0
     for cells in placed:
+        height += max((len(x) for x in cells.values()), default=0)
         for c, lines in cells.items():
-            width[c] = max(width.get(c, 0), *(len(x) for x in lines if len(x) <= WIDEST), 0) if lines else width.get(c, 0)
+            lengths.setdefault(c, []).extend(map(len, lines))
+            blanks += PER_CELL + PER_CHARACTER * sum(len(x) - x.count(" ") for x in lines)
+    width: dict[int, int] = {}
+    for c in sorted(lengths):
+        width[c] = next((n for n in sorted(lengths[c], reverse=True) if n * height <= blanks), 0)
+        blanks -= width[c] * height
     columns = sorted(width)
     out = []
     for cells in placed:
@@ -347,14 +440,16 @@ class _Renderer:
             out.update(_declared(node.attrs["style"]))
         return out
 
-    def enter(self, node: Node, display: str) -> None:
+    def enter(self, node: Node, display: str, shown: bool) -> None:
         tag, flow = node.tag, self.flows[-1]
         if tag == "br":
             flow.flush(True)
             return
         if tag == "input":
-            if node.attrs.get("type", "").lower() in ("submit", "button", "reset") and node.attrs.get("value"):
-                flow.word(" " + node.attrs["value"] + " ", False)
+            kind = node.attrs.get("type", "").lower().strip()
+            value = node.attrs.get("value") or ("" if kind in BUTTONS else node.attrs.get("placeholder", ""))
+            if shown and value and kind not in NO_VALUE:
+                flow.word(" " + value + " ", False)
             return
         if tag in BLOCK or display in ("block", "list-item", "flex", "grid", "table"):
             nested = tag in ("ul", "ol", "menu", "dir") and bool(self.lists)
@@ -363,8 +458,11 @@ class _Renderer:
             self.lists.append([None, len(self.flows)])
         elif tag == "ol":
             self.lists.append([_number(node.attrs.get("start"), -(10**9), 10**9, 1), len(self.flows)])
-        elif tag in ("li", "dd", "blockquote") and len(self.flows) <= DEEPEST:
-            self.flows.append(_Flow())
+        elif tag in ("li", "dd", "blockquote"):
+            if len(self.flows) <= DEEPEST:
+                self.flows.append(_Flow())
+            elif tag == "li":
+                flow.mark += self.marker(node)
         elif tag == "table" and len(self.tables) < DEEPEST:
             self.tables.append([])
         elif tag == "tr" and self.tables:
@@ -374,6 +472,14 @@ class _Renderer:
                 self.tables[-1].append([])
             self.flows.append(_Flow())
 
+    def marker(self, node: Node) -> str:
+        """The marker of a list item, whose list counts on."""
+        if not self.lists or self.lists[-1][0] is None:
+            return "- "
+        number = _number(node.attrs.get("value"), -(10**9), 10**9, self.lists[-1][0])
+        self.lists[-1][0] = number + 1
+        return f"{number}. "
+
     def leave(self, node: Node, display: str, opened: int) -> None:
         tag = node.tag
         if tag in ("br", "input"):
@@ -382,16 +488,12 @@ class _Renderer:
             self.lists.pop()
         elif tag in ("li", "dd", "blockquote") and len(self.flows) > opened:
             lines = self.flows.pop().done()
-            marker = "  "
-            if tag == "li":
-                marker = "- "
-                if self.lists and self.lists[-1][0] is not None:
-                    number = _number(node.attrs.get("value"), -(10**9), 10**9, self.lists[-1][0])
-                    self.lists[-1][0] = number + 1
-                    marker = f"{number}. "
+            marker = self.marker(node) if tag == "li" else "  "
             pad = " " * len(marker)
             head = marker if tag == "li" else pad
             self.flows[-1].add([(pad if k else head) + x if x else "" for k, x in enumerate(lines)])
+        elif tag == "li":
+            self.flows[-1].mark = ""  # an item without text has no marker
         elif tag in ("td", "th") and len(self.flows) > opened:
             lines = self.flows.pop().done()
             cell = (lines, _number(node.attrs.get("colspan"), 1, 1000, 1), _number(node.attrs.get("rowspan"), 1, 65534, 1))
@@ -407,14 +509,17 @@ def render(source: str | None) -> str | None:
     """The visible text of a page as lines; null for null, empty for a page without any."""
     if source is None:
         return None
-    root = parse(source)
-    r = _Renderer(_sheet(root))
+    built = _parse(source)
+    root = built.root
+    r = _Renderer(_sheet(built.styles))
+    by_tag = r.sheet.get
     chosen: dict[int, Node | None] = {}
-    # (node, next child, pre, visible, display, mark): mark is the depth of flows before, -1 for a table of its own.
-    stack: list[list] = [[root, 0, False, True, "", 0]]
+    # (node, next child, pre, visible, display, mark, inside): mark is the depth of flows before, -1 for a table of its own; inside
+    # is the drawing or formula around.
+    stack: list[list] = [[root, 0, False, True, "", 0, ""]]
     while stack:
         frame = stack[-1]
-        node, at, pre, visible, display, mark = frame
+        node, at, pre, visible, display, mark, inside = frame
         if at >= len(node.children):
             stack.pop()
             if node is not root:
@@ -427,9 +532,9 @@ def render(source: str | None) -> str | None:
             if visible and not closed and not (node.tag in ("table", "tr", "thead", "tbody", "tfoot", "select") and not child.strip()):
                 r.flows[-1].word(child, pre)
             continue
-        if child.tag in HIDDEN:
+        if child.tag in HIDDEN or inside and child.tag in HIDDEN_IN[inside]:
             continue
-        style = r.style(child) if child.attrs or r.sheet else {}
+        style = r.style(child) if child.attrs else by_tag(child.tag) or _PLAIN
         if style.get("display") == "none" or child.tag == "dialog" and "open" not in child.attrs:
             continue
         if node.tag == "details" and "open" not in node.attrs and child.tag != "summary":
@@ -442,8 +547,11 @@ def render(source: str | None) -> str | None:
         shown = style.get("visibility", "visible" if visible else "hidden") not in ("hidden", "collapse")
         keeps = pre or child.tag in ("pre", "textarea", "listing", "xmp", "plaintext") or style.get("white-space", "").startswith("pre")
         mark = -1 if child.tag == "table" and len(r.tables) < DEEPEST else len(r.flows)
-        r.enter(child, style.get("display", ""))
-        stack.append([child, 0, keeps, shown, style.get("display", ""), mark])
+        display = style.get("display", "")
+        r.enter(child, display, shown)
+        if child.tag == "text" and inside == "svg":
+            r.flows[-1].word(" ", False)  # texts of a drawing stand apart
+        stack.append([child, 0, keeps, shown, display, mark, child.tag if child.tag in HIDDEN_IN else inside])
     return "\n".join(r.flows[0].done())
 
 
@@ -459,7 +567,10 @@ def extract(pages: DataFrame, html: str = "html", out: str = "visible_text") ->
     Null pages have null text, empty ones and those without visible text an empty one. Repeated rows give equal rows, and no
     rows none. Visible is what a browser without scripts shows: not the head, scripts, styles, templates and
     media; not elements with `hidden`, `display: none` or `visibility: hidden` in their style or in simple rules (one tag, class or id)
-    of the page's style elements; of closed details the summary, of a list of options the chosen one.
+    of the page's style elements that hold on a screen 1,280 pixels wide; of closed details the summary, of a list of options the
+    chosen one; texts of drawings and formulas; values of inputs, or else what stands in for them.
+    Cells line up whatever their width, as long as a table's padding is at most 256 blanks a cell and 8 a character. List items
+    deeper than 12 keep their markers, at the indent of the twelfth; cells of a table deeper than 12 are cells of the one around it.
     A task holds one page at a time, with its tree.
     """
     pages = pages.drop(out)
