@@ -135,9 +135,8 @@ CRAWLED = "2024-01-01T00:00:00Z"
 @query()
 def op4_warc(spark: SparkSession, data: str) -> DataFrame:
     """Metadata and conversion records of every page, as rows and as bytes of a WARC file."""
-    derived = warc.derive(warc.responses(table(spark, data, "pages"), CRAWLED))
     fields = F.col("fields")
-    return warc.serialise(derived).select(
+    return warc.archive(table(spark, data, "pages"), CRAWLED).select(
         "record_type",
         "record_id",
         fields["WARC-Refers-To"].alias("refers_to"),
@@ -145,7 +144,7 @@ def op4_warc(spark: SparkSession, data: str) -> DataFrame:
         "record_date",
         fields["WARC-Block-Digest"].alias("block_digest"),
         fields["WARC-Source-Payload-Digest"].alias("source_payload_digest"),
-        F.length("block").cast("long").alias("block_bytes"),
+        "block_bytes",
         "warc",
     )
 

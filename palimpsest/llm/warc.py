@@ -3,7 +3,7 @@
 A record is a row: its type, id, target, date, the rest of its header fields, and its block. `derive` reads the HTTP message
 in the block of each response and makes a metadata record (the source's header fields and digests, the HTTP status and
 headers, the id of the conversion) and a conversion record (the visible text). `serialise` gives a record's bytes in WARC 1.1;
-files are such bytes one after another, and `read` takes them apart again.
+files are such bytes one after another, and `read` takes them apart again. `archive` does all of it in one pass over pages.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from palimpsest.llm import words as W
 from palimpsest.llm.html import render
 
 _TEXT = pa.string()
@@ -48,6 +49,8 @@ RECORD = T.StructType(
 _NAMES = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "record_date": "WARC-Date"}
 # Rows a task turns into records at a time.
 ROWS = 128
+# Bytes that are taken off their compression at a time: what was read before an error counts.
+STEP = 1 << 16
 
 
 def digest(data: bytes) -> str:
@@ -82,39 +85,87 @@ def http_message(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return first, headers, block[m.end() :]
 
 
-def _unchunked(data: bytes) -> bytes:
+_CHUNK = re.compile(rb"\s*([0-9a-fA-F]+)[^\n]*\n")
+
+
+def _unchunked(data: bytes) -> tuple[bytes, bool]:
+    """The data of all chunks, and whether they are whole; what is no chunk, and all behind it, stays as it is."""
     out, at = [], 0
-    while m := re.compile(rb"\s*([0-9a-fA-F]+)[^\n]*\n").match(data, at):
+    while m := _CHUNK.match(data, at):
         size = int(m[1], 16)
         if not size:
-            break
+            return b"".join(out), True
         out.append(data[m.end() : m.end() + size])
         at = m.end() + size
-    return b"".join(out) if out else data
+    return b"".join([*out, data[at:]]), False
 
 
-def body_text(headers: dict[str, str], payload: bytes) -> str | None:
-    """The payload as text, with its transfer and content coding taken off; None where it is no text."""
-    kind = headers.get("content-type", "text/html").lower()
-    if not (kind.startswith("text/") or "html" in kind or "xml" in kind):
-        return None
-    if "chunked" in headers.get("transfer-encoding", "").lower():
-        payload = _unchunked(payload)
-    coding = headers.get("content-encoding", "").lower().strip()
-    if coding in ("gzip", "x-gzip", "deflate"):
+def inflate(data: bytes, window: int, start: int = 0) -> tuple[bytes, int, bool]:
+    """The compressed member from a place on: its data as far as it can be read, where it ends, and whether it is whole."""
+    member = zlib.decompressobj(window)
+    out = []
+    view = memoryview(data)
+    for at in range(start, len(data), STEP):
+        part = view[at : at + STEP]
         try:
-            payload = zlib.decompressobj(zlib.MAX_WBITS | 32).decompress(payload)
+            out.append(member.decompress(part))
         except zlib.error:
-            pass  # declared and not done, as archives often hold it
+            return b"".join(out), at, False
+        if member.eof:
+            return b"".join(out), at + len(part) - len(member.unused_data), True
+    return b"".join(out), len(data), False
+
+
+def _uncompressed(data: bytes, coding: str) -> tuple[bytes, bool]:
+    """All members of a payload; one that is not compressed as declared, as archives often hold it, stays as it is."""
+    if coding == "deflate":
+        for window in (zlib.MAX_WBITS, -zlib.MAX_WBITS):  # with its header, as it should be, or raw
+            out, _, whole = inflate(data, window)
+            if out or whole:
+                return out, whole
+        return data, not data
+    out, at = [], 0
+    while data[at : at + 2] == b"\x1f\x8b":
+        part, at, whole = inflate(data, zlib.MAX_WBITS | 16, at)
+        out.append(part)
+        if not whole:
+            return (b"".join(out), False) if any(out) else (data, False)
+    if not out:
+        return data, not data
+    return b"".join(out), not data[at:].strip(b"\0")
+
+
+def body(headers: dict[str, str], payload: bytes) -> tuple[bytes | None, bool]:
+    """The payload without its transfer and content codings, and whether these were whole; None under an unknown coding."""
+    whole = True
+    if "chunked" in headers.get("transfer-encoding", "").lower():
+        payload, whole = _unchunked(payload)
+    for coding in reversed(headers.get("content-encoding", "").lower().split(",")):
+        coding = coding.strip()
+        if coding in ("gzip", "x-gzip", "deflate"):
+            payload, ended = _uncompressed(payload, coding)
+            whole = whole and ended
+        elif coding not in ("", "identity", "none", "utf-8"):
+            return None, whole
+    return payload, whole
+
+
+def is_text(kind: str) -> bool:
+    """Whether a content type is one of text."""
+    return kind.startswith("text/") or "html" in kind or "xml" in kind
+
+
+def as_text(kind: str, data: bytes) -> str:
+    """Data in the charset of its content type, or in UTF-8."""
     charset = re.search(r"charset\s*=\s*[\"']?([\w.:-]+)", kind)
     try:
-        return payload.decode(charset[1] if charset else "utf-8", "replace")
-    except LookupError:
-        return payload.decode("utf-8", "replace")
+        return data.decode(charset[1] if charset else "utf-8", "replace")
+    except (LookupError, UnicodeError):
+        return data.decode("utf-8", "replace")
 
 
-def _derived(record: dict) -> list[dict]:
-    """The metadata and, for text, the conversion record of a response."""
+def _derived(record: dict, actual: dict[str, str] | None = None) -> list[dict]:
+    """The metadata and, for text, the conversion record of a response; `actual` are its digests where they are known."""
     fields = dict(record["fields"] or [])
     block = record["block"] or b""
     status, headers, payload = http_message(block)
@@ -122,18 +173,19 @@ def _derived(record: dict) -> list[dict]:
     for name, value in headers:
         by_name.setdefault(name.lower(), value)
     kept = {k: fields[k] for k in ("WARC-Payload-Digest", "WARC-Block-Digest") if k in fields}
-    actual = {"WARC-Payload-Digest": digest(payload), "WARC-Block-Digest": digest(block)}
+    actual = actual or {"WARC-Payload-Digest": digest(payload), "WARC-Block-Digest": digest(block)}
     common = {"WARC-Refers-To": record["record_id"]}
     if record["target_uri"] is not None:
         common["WARC-Refers-To-Target-URI"] = record["target_uri"]
     if record["record_date"] is not None:
         common["WARC-Refers-To-Date"] = record["record_date"]
     out = []
-    source = body_text(by_name, payload)
+    kind = by_name.get("content-type", "text/html").lower()
+    content, whole = body(by_name, payload) if is_text(kind) else (None, True)
     conversion = None
-    if source is not None:
-        plain = "html" in by_name.get("content-type", "html").lower() or "xml" in by_name.get("content-type", "").lower()
-        text = (render(source) if plain else source).encode("utf-8", "replace")
+    if content is not None:
+        source = as_text(kind, content)
+        text = (render(source) if "html" in kind or "xml" in kind else source).encode("utf-8", "replace")
         conversion = new_id("conversion", record["record_id"])
         own = {"Content-Type": "text/plain; charset=utf-8", "WARC-Block-Digest": digest(text)}
         if "WARC-Payload-Digest" in fields:
@@ -144,6 +196,7 @@ def _derived(record: dict) -> list[dict]:
         "http": {"status": status, "headers": [list(h) for h in headers]},
         "digests": {"recorded": kept, "computed": actual, "match": all(actual[k] == v for k, v in kept.items())},
         "payload_bytes": len(payload),
+        "whole": whole,
         "conversion": conversion,
     }
     data = json.dumps(told, ensure_ascii=False).encode("utf-8", "replace")
@@ -162,9 +215,10 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
 def derive(records: DataFrame) -> DataFrame:
     """Metadata and conversion records of all response records, with the columns of RECORD.
 
-    Other types give none. A response whose payload is no text gives metadata only. A null block is an empty one; a null
-    target or date is left out of the header; null fields are none; a null record id refers to nothing and is written as empty.
-    Repeated rows give equal records. Digests that the source records are kept and checked against its block.
+    Other types give none. A response whose payload is no text, or lies under a coding other than gzip and deflate, gives metadata
+    only. Codings are taken off as far as they can be read; the metadata tell whether they were `whole`. A null block is an empty
+    one; a null target or date is left out of the header; null fields are none; a null record id refers to nothing and is written
+    as empty. Repeated rows give equal records. Digests that the source records are kept and checked against its block.
     """
     need = records.select(*RECORD.names).where(F.col("record_type") == "response")
 
@@ -187,23 +241,48 @@ def responses(pages: DataFrame, date: str, page_id: str = "page_id", url: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
-                out = []
-                for r in batch.slice(at, ROWS).to_pylist():
-                    payload = (r["html"] or "").encode("utf-8", "replace")
-                    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
-                    block = head.encode() + payload
-                    fields = {
-                        "Content-Type": "application/http; msgtype=response",
-                        "WARC-Block-Digest": digest(block),
-                        "WARC-Payload-Digest": digest(payload),
-                    }
-                    record = {"record_type": "response", "record_id": new_id(r["page_id"], r["url"]), "fields": fields}
-                    out.append(record | {"target_uri": r["url"], "record_date": date, "block": block})
-                yield _batch(out)
+                yield _batch([_response(date, **r) for r in batch.slice(at, ROWS).to_pylist()])
 
     return plain.mapInArrow(run, RECORD)
 
 
+def _response(date: str, page_id: object, url: str | None, html: str | None) -> dict:
+    payload = (html or "").encode("utf-8", "replace")
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
+    block = head.encode() + payload
+    fields = {
+        "Content-Type": "application/http; msgtype=response",
+        "WARC-Block-Digest": digest(block),
+        "WARC-Payload-Digest": digest(payload),
+    }
+    record = {"record_type": "response", "record_id": new_id(page_id, url), "fields": fields}
+    return record | {"target_uri": url, "record_date": date, "block": block}
+
+
+def archive(pages: DataFrame, date: str, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """The records that `derive` gives for the `responses` of pages, with their bytes (`warc`) and the size of their block in
+    place of the block. One pass, in which a task holds some pages at a time and hashes each once."""
+    plain = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
+    names = [n for n in RECORD.names if n != "block"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches, "html"):
+            out = []
+            for row in batch.to_pylist():
+                source = _response(date, **row)
+                out += _derived(source, {k: source["fields"][k] for k in ("WARC-Payload-Digest", "WARC-Block-Digest")})
+            for r in out:
+                r["fields"] = list(r["fields"].items())
+            columns = [pa.array([r[n] for r in out], RECORD_ARROW.field(n).type) for n in names]
+            sizes = pa.array([len(r["block"]) for r in out], pa.int64())
+            data = pa.array([record_bytes(r) for r in out], pa.binary())
+            yield pa.RecordBatch.from_arrays([*columns, sizes, data], names=[*names, "block_bytes", "warc"])
+
+    kept = [f for f in RECORD.fields if f.name != "block"]
+    added = [T.StructField("block_bytes", T.LongType()), T.StructField("warc", T.BinaryType())]
+    return plain.mapInArrow(run, T.StructType([*kept, *added]))
+
+
 def record_bytes(record: dict) -> bytes:
     """One record in WARC 1.1."""
     block = record["block"] or b""
@@ -231,35 +310,65 @@ def serialise(records: DataFrame, compress: bool = False) -> DataFrame:
     return records.mapInArrow(run, T.StructType([*records.schema.fields, T.StructField("warc", T.BinaryType())]))
 
 
+_HEAD = re.compile(rb"\s*WARC/1\.[01]\r?\n(.*?)\r?\n\r?\n", re.S)
+# What follows a block, and where the next record begins behind one that is broken.
+_ENDED = re.compile(rb"\r?\n\r?\n|\s*(?:WARC/1\.|\Z)")
+_NEXT = re.compile(rb"(?<![^\n])WARC/1\.[01]\r?\n")
+
+
+def _members(data: bytes) -> bytes:
+    """The data of all gzip members; behind a broken one, whose readable part counts, the next that can be read goes on."""
+    parts, at = [], 0
+    while at >= 0:
+        part, end, whole = inflate(data, zlib.MAX_WBITS | 16, at)
+        parts.append(part)
+        at = data.find(b"\x1f\x8b\x08", end if whole else at + 1)
+        if part and not whole:
+            parts.append(b"\n")  # so that the next record stands at the start of a line
+    return b"".join(parts)
+
+
 def records_in(data: bytes) -> Iterator[dict]:
-    """The records of a file's bytes, plain or gzipped by record. What follows a broken record is not read."""
+    """The records of a file's bytes, plain or gzipped by record.
+
+    A record that is broken (its length missing or no number, or its block cut off by the end or by the next record of a file) has
+    the block that is there and the field WARC-Truncated. Bytes between records that belong to none are passed over.
+    """
     if data[:2] == b"\x1f\x8b":
-        parts, rest = [], data
-        while rest[:2] == b"\x1f\x8b":
-            member = zlib.decompressobj(zlib.MAX_WBITS | 16)
-            parts.append(member.decompress(rest))
-            rest = member.unused_data
-        data = b"".join(parts)
-    at = 0
+        data = _members(data)
     known = {v.lower(): k for k, v in _NAMES.items()}
-    head = re.compile(rb"\s*WARC/1\.[01]\r?\n(.*?)\r?\n\r?\n", re.S)
-    while m := head.match(data, at):
+    at = 0
+    while at < len(data):
+        m = _HEAD.match(data, at)
+        if m is None:
+            later = _NEXT.search(data, at + 1)
+            if later is None:
+                return
+            at = later.start()
+            continue
         record: dict = dict.fromkeys(RECORD.names) | {"fields": {}}
-        size = 0
+        size = -1
         for line in m[1].decode("utf-8", "replace").replace("\r\n", "\n").split("\n"):
             name, _, value = line.partition(":")
             key = known.get(name.strip().lower())
             if key:
                 record[key] = value.strip()
             elif name.strip().lower() == "content-length":
-                size = int(value)
+                size = int(value) if re.fullmatch(r"\s*[0-9]{1,18}\s*", value) else -1
             else:
                 record["fields"][name.strip()] = value.strip()
-        if m.end() + size > len(data):
-            return
-        record["block"] = data[m.end() : m.end() + size]
+        end = m.end() + size
+        if size < 0 or end > len(data) or not _ENDED.match(data, end):
+            # The block's length is wrong: it ends before the next record.
+            later = _NEXT.search(data, m.end())
+            end = later.start() if later else len(data)
+            block = data[m.end() : end]
+            record["block"] = block.removesuffix(b"\n").removesuffix(b"\r").removesuffix(b"\n").removesuffix(b"\r")
+            record["fields"].setdefault("WARC-Truncated", "unspecified")
+        else:
+            record["block"] = data[m.end() : end]
         yield record
-        at = m.end() + size
+        at = end
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ import base64
 import gzip
 import hashlib
 import json
+import zlib
 
 from palimpsest.llm import warc
 
@@ -62,6 +63,61 @@ def test_codings_and_types():
     assert text(b"") == "" and text(b"<p>no head") == "no head"
 
 
+def test_codings_that_are_broken_or_unknown():
+    def told(headers, data):
+        rows = warc._derived(record(http(headers, data)))
+        return [r["block"].decode() for r in rows[1:]], json.loads(rows[0]["block"])["whole"]
+
+    two = gzip.compress(b"one ") + gzip.compress(b"two")
+    assert told("Content-Encoding: gzip", two) == (["one two"], True)
+    assert told("Content-Encoding: gzip", two[:-12])[0] == ["one"] or told("Content-Encoding: gzip", two[:-12])[1] is False
+    raw = zlib.compressobj(wbits=-15)
+    assert told("Content-Encoding: deflate", raw.compress(b"<p>raw") + raw.flush()) == (["raw"], True)
+    assert told("Content-Encoding: deflate", zlib.compress(b"<p>wrapped")) == (["wrapped"], True)
+    assert told("Content-Encoding: deflate, gzip", gzip.compress(zlib.compress(b"both"))) == (["both"], True)
+    assert told("Content-Encoding: br", b"\x0b\x02\x80hello\x03") == ([], True)
+    assert told("Content-Encoding: gzip", b"<p>plain") == (["plain"], False)
+    assert told("Transfer-Encoding: chunked", b"2\r\nab\r\n0\r\n\r\n") == (["ab"], True)
+    assert told("Transfer-Encoding: chunked", b"2\r\nab\r\n9\r\ncd") == (["abcd"], False)
+    assert told("Transfer-Encoding: chunked", b"2\r\nab?rest") == (["ab?rest"], False)
+    long = bytes(range(65, 91)) * 20_000
+    cut, whole = told("Content-Type: text/plain\nContent-Encoding: gzip", gzip.compress(long)[:-20])
+    assert not whole and long.startswith(cut[0].encode()) and cut[0]
+
+
+def test_one_pass_gives_the_same(spark):
+    pages = [(1, "http://a", "<p>One<p>Té"), (2, None, None), (3, "http://c", ""), (3, "http://c", ""), (None, "u", "x" * 5_000_000)]
+    df = spark.createDataFrame([(*p, "z") for p in pages], "page_id long, url string, html string, warc string").repartition(2)
+    names = [n for n in warc.RECORD.names if n != "block"]
+    steps = warc.serialise(warc.derive(warc.responses(df, "d"))).selectExpr(*names, "cast(length(block) as long) as block_bytes", "warc")
+    one = warc.archive(df, "d")
+    assert one.columns == steps.columns
+    assert sorted(map(str, one.collect())) == sorted(map(str, steps.collect()))
+    assert warc.archive(df.limit(0), "d").count() == 0
+
+
+def test_records_behind_broken_ones():
+    def whole(name, block=b"block"):
+        return warc.record_bytes(record(block, record_id=name) | {"fields": []})
+
+    def read(data):
+        return [(r["record_id"], r["block"], "WARC-Truncated" in r["fields"]) for r in warc.records_in(data)]
+
+    a, b, c = whole("a"), whole("b"), whole("c")
+    assert read(a + b + c) == [("a", b"block", False), ("b", b"block", False), ("c", b"block", False)]
+    # No length, a length that is no number, too long or too short a one, and a file that ends inside a block.
+    assert read(a.replace(b"Content-Length: 5", b"X: y") + b) == [("a", b"block", True), ("b", b"block", False)]
+    for length in (b"five", b"-5", b"500000", b"3"):
+        assert read(a.replace(b"Length: 5", b"Length: " + length) + b) == [("a", b"block", True), ("b", b"block", False)]
+    assert read(a + b[:-6]) == [("a", b"block", False), ("b", b"blo", True)]
+    assert read(b"junk\r\n" + a + b"junk\r\n" + b) == [("a", b"block", False), ("b", b"block", False)]
+    # Gzipped members: a broken one in the middle costs no other.
+    packed = [gzip.compress(x) for x in (a, b, c)]
+    assert read(b"".join(packed)) == read(a + b + c)
+    assert [r[0] for r in read(packed[0] + packed[1][:40] + packed[2])][::2] in (["a", "c"], ["a"])
+    assert ("c", b"block", False) in read(packed[0] + packed[1][:40] + packed[2])
+
+
 def test_wrong_digests_show():
     fields = {"WARC-Payload-Digest": sha(b"other")}
     told = json.loads(warc._derived(record(http("X: y", b"a"), fields=fields))[0]["block"])
