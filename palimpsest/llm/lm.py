@@ -84,74 +84,109 @@ class Network:
         return np.einsum("vd,pdh->pvh", self.words, self.inner)
 
 
+def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray | np.floating]:
+    """Puts exponentials of the rows above a shift in their place; gives their sums and the shift, one for all where no row is far below."""
+    if not x.size:
+        return x.sum(1), x.dtype.type(0)
+    shift = x.max()
+    if shift - x.min() > 40:
+        shift = x.max(1)
+        x -= shift[:, None]
+    else:
+        x -= shift
+    np.exp(x, out=x)
+    return x @ np.ones(x.shape[1], x.dtype), shift
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(1, keepdims=True))
-    return x / x.sum(1, keepdims=True)
+    """Probabilities in the place of x."""
+    sums, _ = _exponentials(x)
+    x /= sums[:, None]
+    return x
 
 
 def _log_chosen(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    top = x.max(1)
-    return x[np.arange(len(x)), at] - top - np.log(np.exp(x - top[:, None]).sum(1))
+    """Logarithms of the probabilities at the places; x is used up."""
+    chosen = x[np.arange(len(x)), at]
+    sums, shift = _exponentials(x)
+    return chosen - shift - np.log(sums)
+
+
+def _by_class(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of rows by class, and each class with the slice that it is there."""
+    order = np.argsort(group.astype(np.uint8), kind="stable")
+    ends = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
+    return order, [(g, begin, end) for g, (begin, end) in enumerate(zip([0, *ends], ends)) if end > begin]
+
+
+def _wide(hidden: np.ndarray) -> np.ndarray:
+    out = np.empty((len(hidden), HIDDEN + 1), hidden.dtype)
+    out[:, :HIDDEN] = hidden
+    out[:, HIDDEN] = 1
+    return out
 
 
 def log_probabilities(net: Network, reach: np.ndarray, around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """The logarithm of each target's probability given the ids around it (rows of 2 * SIDE)."""
-    hidden = np.broadcast_to(net.shift, (len(target), HIDDEN)).copy()
-    for p in range(2 * SIDE):
-        hidden += reach[p][around[:, p]]
+    order, parts = _by_class(target // WITHIN)
+    around, target = around[order], target[order]
+    hidden = reach[0].take(around[:, 0], axis=0)
+    hidden += net.shift
+    for p in range(1, 2 * SIDE):
+        hidden += reach[p].take(around[:, p], axis=0)
     np.tanh(hidden, out=hidden)
-    hidden = np.concatenate([hidden, np.ones((len(hidden), 1), np.float32)], axis=1)
-    group, place = target // WITHIN, target % WITHIN
-    out = _log_chosen(hidden @ net.classes, group).astype(np.float64)
-    order = np.argsort(group, kind="stable")
-    ends = np.cumsum(np.bincount(group, minlength=CLASSES))
-    begin = 0
-    for g, end in enumerate(ends.tolist()):
-        if end > begin:
-            some = order[begin:end]
-            out[some] += _log_chosen(hidden[some] @ net.within[g], place[some])
-        begin = end
+    wide = _wide(hidden)
+    by_class = _log_chosen(wide @ net.classes, target // WITHIN).astype(np.float64)
+    own = np.empty((len(target), WITHIN), wide.dtype)
+    for g, begin, end in parts:
+        np.matmul(wide[begin:end], net.within[g], out=own[begin:end])
+    out = np.empty(len(target))
+    out[order] = by_class + _log_chosen(own, target % WITHIN)
     return out
 
 
 def _gradient(net: Network, around: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
     """Gradients of the mean negative log-probability, in the order of the fields."""
     n = np.float32(len(target))
-    seen = net.words[around]  # rows, places, DIMENSIONS
-    flat = seen.reshape(len(target), -1)
+    # Rows in the order of their classes, so that each class is a slice.
+    order, parts = _by_class(target // WITHIN)
+    around, target = around[order], target[order]
+    each = np.arange(len(target))
+    flat = net.words.take(around.ravel(), axis=0).reshape(len(target), -1)
     inner = net.inner.reshape(-1, HIDDEN)
-    hidden = np.tanh(flat @ inner + net.shift)
-    wide = np.concatenate([hidden, np.ones((len(hidden), 1), np.float32)], axis=1)
-    group, place = target // WITHIN, target % WITHIN
+    hidden = flat @ inner
+    hidden += net.shift
+    np.tanh(hidden, out=hidden)
+    wide = _wide(hidden)
     error = _softmax(wide @ net.classes)
-    error[np.arange(len(target)), group] -= 1
+    error[each, target // WITHIN] -= 1
     error /= n
     of_classes = wide.T @ error
     back = error @ net.classes.T
-    of_within = np.zeros_like(net.within)
-    # Rows in the order of their classes, so that each class is a slice.
-    order = np.argsort(group, kind="stable")
-    ends = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
-    parts = [(g, begin, end) for g, (begin, end) in enumerate(zip([0, *ends], ends)) if end > begin]
-    sorted_wide = wide[order]
     own = np.empty((len(target), WITHIN), wide.dtype)
     for g, begin, end in parts:
-        np.matmul(sorted_wide[begin:end], net.within[g], out=own[begin:end])
-    own = _softmax(own)
-    own[np.arange(len(own)), place[order]] -= 1
+        np.matmul(wide[begin:end], net.within[g], out=own[begin:end])
+    _softmax(own)
+    own[each, target % WITHIN] -= 1
     own /= n
-    sorted_back = np.empty_like(wide)
+    of_within = np.zeros_like(net.within)
+    from_within = np.empty_like(wide)
     for g, begin, end in parts:
-        of_within[g] = sorted_wide[begin:end].T @ own[begin:end]
-        np.matmul(own[begin:end], net.within[g].T, out=sorted_back[begin:end])
-    back[order] += sorted_back
-    back = back[:, :HIDDEN] * (1 - hidden * hidden)
-    of_seen = (back @ inner.T).reshape(-1, DIMENSIONS)
-    ids = around.ravel()
-    of_words = np.stack(
-        [np.bincount(ids, weights=of_seen[:, k], minlength=VOCABULARY + 1) for k in range(DIMENSIONS)], axis=1
-    ).astype(np.float32)
-    return [of_words, (flat.T @ back).reshape(net.inner.shape), back.sum(0), of_classes, of_within]
+        np.matmul(wide[begin:end].T, own[begin:end], out=of_within[g])
+        np.matmul(own[begin:end], net.within[g].T, out=from_within[begin:end])
+    back += from_within
+    hidden *= hidden
+    np.subtract(1, hidden, out=hidden)
+    hidden *= back[:, :HIDDEN]
+    of_seen = (hidden @ inner.T).reshape(-1, DIMENSIONS)
+    # The places in the order of their words, so that each word's sum is one over a slice.
+    ids = around.ravel().astype(np.uint16)
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    of_words = np.zeros_like(net.words)
+    of_words[ids[first]] = np.add.reduceat(of_seen.take(order, axis=0), first, axis=0)
+    return [of_words, (flat.T @ hidden).reshape(net.inner.shape), hidden.sum(0), of_classes, of_within]
 
 
 def train(net: Network, batches: Iterator[np.ndarray]) -> tuple[Network, int]:
@@ -164,9 +199,18 @@ def train(net: Network, batches: Iterator[np.ndarray]) -> tuple[Network, int]:
             part = windows[at : at + BATCH]
             steps, rows = steps + 1, rows + len(part)
             for v, m, s, g in zip(values, first, second, _gradient(Network(*values), part[:, :-1], part[:, -1])):
-                m += 0.1 * (g - m)
-                s += 0.01 * (g * g - s)
-                v -= STEP * (m / (1 - 0.9**steps)) / (np.sqrt(s / (1 - 0.99**steps)) + 1e-8)
+                m *= 0.9
+                s *= 0.99
+                m += np.float32(0.1) * g
+                g *= g
+                g *= 0.01
+                s += g
+                np.multiply(s, 1 / (1 - 0.99**steps), out=g)
+                np.sqrt(g, out=g)
+                g += 1e-8
+                np.divide(m, g, out=g)
+                g *= STEP / (1 - 0.9**steps)
+                v -= g
     return Network(*values), rows
 
 
@@ -355,7 +399,7 @@ def _shares(documents: DataFrame, model: Model, text: str) -> DataFrame:
     )
 
 
-def score(documents: DataFrame, model: Model, text: str = "text", rows: int = 1 << 14) -> DataFrame:
+def score(documents: DataFrame, model: Model, text: str = "text", rows: int = 1 << 12) -> DataFrame:
     """All columns of the documents with n_words, log_prob and perplexity.
 
     log_prob is the sum over all words of the logarithm of the probability that the network gives to the word from the SIDE words
