@@ -70,7 +70,8 @@ def test_codings_that_are_broken_or_unknown():
 
     two = gzip.compress(b"one ") + gzip.compress(b"two")
     assert told("Content-Encoding: gzip", two) == (["one two"], True)
-    assert told("Content-Encoding: gzip", two[:-12])[0] == ["one"] or told("Content-Encoding: gzip", two[:-12])[1] is False
+    (cut,), whole = told("Content-Encoding: gzip", two[:-12])
+    assert cut.startswith("one") and not whole
     raw = zlib.compressobj(wbits=-15)
     assert told("Content-Encoding: deflate", raw.compress(b"<p>raw") + raw.flush()) == (["raw"], True)
     assert told("Content-Encoding: deflate", zlib.compress(b"<p>wrapped")) == (["wrapped"], True)
@@ -114,8 +115,8 @@ def test_records_behind_broken_ones():
     # Gzipped members: a broken one in the middle costs no other.
     packed = [gzip.compress(x) for x in (a, b, c)]
     assert read(b"".join(packed)) == read(a + b + c)
-    assert [r[0] for r in read(packed[0] + packed[1][:40] + packed[2])][::2] in (["a", "c"], ["a"])
-    assert ("c", b"block", False) in read(packed[0] + packed[1][:40] + packed[2])
+    around = read(packed[0] + packed[1][:40] + packed[2])
+    assert around[0] == ("a", b"block", False) and around[-1] == ("c", b"block", False)
 
 
 def test_wrong_digests_show():
