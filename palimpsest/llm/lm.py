@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palimpsest.llm import words as W
-from palimpsest.llm.shared import cut
+from palimpsest.llm.shared import cut, forget
 
 # 64 classes of 64 words; the last class holds the buckets of words outside the vocabulary.
 CLASSES = WITHIN = 64
@@ -41,6 +41,8 @@ STEP = 0.01
 # Copies averaged by one task, and numbers of a copy in one row.
 FAN = 32
 BLOCK = 1 << 14
+# Words that a task holds at once, or those of one longer text.
+HELD = 1 << 19
 
 
 @dataclass
@@ -249,12 +251,11 @@ def _windows(ids: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _residues(w: W.Words, rate: int) -> np.ndarray:
+def _residues(key: np.ndarray, first: np.ndarray, rate: int) -> np.ndarray:
     """The round of every word, by a hash of its text and its place in it, so it is the same in any partitioning."""
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.hashes)])
-    text = np.repeat(sums[w.first[1:]] - sums[w.first[:-1]], w.counts)
-    place = np.arange(len(w.hashes)) - np.repeat(w.first[:-1], w.counts)
-    return (W.mix(text + W.mix(place.astype(np.uint64))) % np.uint64(rate)).astype(np.int64)
+    counts = np.diff(first)
+    place = np.arange(first[-1]) - np.repeat(first[:-1], counts)
+    return W.mix(np.repeat(key.view(np.uint64), counts) + W.mix(place.astype(np.uint64))) % np.uint64(rate)
 
 
 def _counts(docs: DataFrame) -> DataFrame:
@@ -289,6 +290,73 @@ def _totals(counts: DataFrame, known: np.ndarray) -> np.ndarray:
     return out
 
 
+def _encode(documents: DataFrame, known: np.ndarray, ids: np.ndarray, text: str, keep: list[str]) -> DataFrame:
+    """One row for each document: key (of its text), row (the columns to keep), ids (of its words, two bytes each),
+    rare and times (its distinct words outside the vocabulary and how often each occurs).
+
+    Texts are split into words here; training, scoring and shares of rare words read the numbers.
+    """
+    kept = [F.struct(*[F.col(f"`{n}`") for n in keep]).alias("row")] if keep else []
+    source = documents.select(F.xxhash64(F.col(text)).alias("key"), *kept, F.col(text).alias("text"))
+    sent = documents.sparkSession.sparkContext.broadcast((known, ids))
+    schema = T.StructType(
+        [
+            *[f for f in source.schema.fields if f.name != "text"],
+            T.StructField("ids", T.BinaryType()),
+            T.StructField("rare", T.ArrayType(T.LongType())),
+            T.StructField("times", T.ArrayType(T.IntegerType())),
+        ]
+    )
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches, "text"):
+            w = W.split(batch.column("text"), W.ALNUM)
+            number = _ids(w.hashes, *sent.value)
+            # Each outside word of a text once, with its number there. Only words in the last class can be outside.
+            rare = np.flatnonzero(number >= NAMED)
+            own = w.owner[rare]
+            order = np.lexsort((w.hashes[rare], own))
+            word, own = w.hashes[rare][order], own[order]
+            new = np.ones(len(word), bool)
+            new[1:] = (word[1:] != word[:-1]) | (own[1:] != own[:-1])
+            begin = np.flatnonzero(new)
+            times = np.diff(np.append(begin, len(word)))
+            each = np.bincount(own[begin], minlength=batch.num_rows)
+            values = number.astype("<u2").tobytes()
+            coded = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), batch.num_rows, [None, pa.py_buffer((2 * w.first).astype(np.int64)), pa.py_buffer(values)]
+            ).cast(pa.binary())
+            others = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(n) for n in others],
+                    coded,
+                    W.lists(word[begin].view(np.int64), each, pa.int64()),
+                    W.lists(times, each, pa.int32()),
+                ],
+                names=[*others, "ids", "rare", "times"],
+            )
+
+    return source.mapInArrow(encode, schema)
+
+
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of batches with about HELD words, or one longer text: the part, its words' ids, and where each text begins."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        column = batch.column("ids").cast(pa.large_binary())
+        raw = column.buffers()
+        ends = np.frombuffer(raw[1], np.int64, len(column) + 1, column.offset * 8) // 2
+        data = np.frombuffer(raw[2], "<u2", ends[-1]) if raw[2] is not None else np.zeros(0, "<u2")
+        at = 0
+        while at < batch.num_rows:
+            upto = max(at + 1, int(np.searchsorted(ends, ends[at] + HELD, "right")) - 1)
+            yield batch.slice(at, upto - at), data[ends[at] : ends[upto]].astype(np.int64), ends[at : upto + 1] - ends[at]
+            at = upto
+
+
 def _average(copies: DataFrame) -> np.ndarray:
     """The mean of all copies (copy, block, rows, values), weighted by their rows."""
 
@@ -312,27 +380,18 @@ def _average(copies: DataFrame) -> np.ndarray:
     return np.concatenate([np.frombuffer(r["data"], np.float32) for r in parts])
 
 
-def fit(documents: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: int = RATE) -> Model:
-    """Vocabulary and network from all documents. Without any word the network stays as it began.
-
-    Round r trains on the places whose hash is r modulo `rate`, so `rate` rounds see every word; windows are made anew
-    from the texts in each round and stored nowhere.
-    """
-    docs = documents.select(F.col(text).alias("text"))
-    counts = _counts(docs)
-    known, ids = _vocabulary(counts)
+def _trained(encoded: DataFrame, rounds: int, rate: int) -> Network:
+    """The network after the rounds. Round r trains on the places whose hash is r modulo `rate`."""
     net = Network.new()
-    context = documents.sparkSession.sparkContext
-    sent = context.broadcast((known, ids))
+    context = encoded.sparkSession.sparkContext
 
     def sample(batches: Iterator[pa.RecordBatch], residue: int) -> Iterator[np.ndarray]:
-        for batch in W.slices(batches, "text"):
-            w = W.split(batch.column("text"), W.ALNUM)
-            number = _ids(w.hashes, *sent.value)
-            at = np.flatnonzero(_residues(w, rate) == residue)
+        for part, number, first in _numbers(batches):
+            key = part.column("key").to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(_residues(key, first, rate) == residue)
             for k in range(0, len(at), 1 << 16):
                 some = at[k : k + (1 << 16)]
-                yield np.concatenate([_windows(number, w.first, some), number[some][:, None]], axis=1)
+                yield np.concatenate([_windows(number, first, some), number[some][:, None]], axis=1)
 
     for r in range(rounds):
         now = context.broadcast(net.flat())
@@ -351,42 +410,37 @@ def fit(documents: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: in
                     names=["copy", "block", "rows", "data"],
                 )
 
-        copies = cut(docs.mapInArrow(copy, "copy bigint, block int, rows bigint, data binary"))
-        if copies.isEmpty():
-            continue  # a tiny corpus may have no word in this residue
-        net = Network.unflat(_average(copies))
-    return Model(known, ids, net, counts, _totals(counts, known))
+        copies = cut(encoded.select("key", "ids").mapInArrow(copy, "copy bigint, block int, rows bigint, data binary"))
+        if not copies.isEmpty():  # a tiny corpus may have no word in this residue
+            net = Network.unflat(_average(copies))
+        forget(copies)
+    return net
 
 
-def _shares(documents: DataFrame, model: Model, text: str) -> DataFrame:
-    """_key (of a text) and _share: the sum of the logarithms of its outside words' shares of their buckets."""
-    sent = documents.sparkSession.sparkContext.broadcast(model.hashes)
+def _fit(documents: DataFrame, text: str, rounds: int, rate: int, keep: list[str]) -> tuple[Model, DataFrame]:
+    """The model, and the documents as `_encode` gives them, written to the shared folder."""
+    counts = _counts(documents.select(F.col(text).alias("text")))
+    known, ids = _vocabulary(counts)
+    encoded = cut(_encode(documents, known, ids, text, keep))
+    return Model(known, ids, _trained(encoded, rounds, rate), counts, _totals(counts, known)), encoded
 
-    def outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.slices(batches, "text"):
-            w = W.split(batch.column("text"), W.ALNUM)
-            known, owner = sent.value, w.owner
-            if len(known):
-                at = np.searchsorted(known, w.hashes)
-                at[at == len(known)] = 0
-                rare = np.flatnonzero(known[at] != w.hashes)
-            else:
-                rare = np.arange(len(owner))
-            # Each word of a text once, with its number there; the first of a text counts the text.
-            order = rare[np.lexsort((w.hashes[rare], owner[rare]))]
-            word, own = w.hashes[order], owner[order]
-            first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (own[1:] != own[:-1])])) if len(order) else order
-            times = np.diff(np.append(first, len(order)))
-            word, own = word[first], own[first]
-            begins = np.concatenate([[True], own[1:] != own[:-1]]) if len(own) else np.zeros(0, bool)
-            key = batch.column("_key").take(pa.array(own))
-            yield pa.RecordBatch.from_arrays(
-                [key, pa.array(word.view(np.int64)), pa.array(times.astype(np.int32)), pa.array(begins.astype(np.int32))],
-                names=["_key", "word", "times", "texts"],
-            )
 
-    texts = documents.select(F.xxhash64(F.col(text)).alias("_key"), F.col(text).alias("text"))
-    words = texts.mapInArrow(outside, "_key bigint, word bigint, times int, texts int")
+def fit(documents: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: int = RATE) -> Model:
+    """Vocabulary and network from all documents. Without any word the network stays as it began.
+
+    Round r trains on the places whose hash is r modulo `rate`, so `rate` rounds see every word. Texts are split into words
+    twice: for the counts, and for the numbers of their words, which all rounds read.
+    """
+    model, encoded = _fit(documents, text, rounds, rate, [])
+    forget(encoded)
+    return model
+
+
+def _shares(encoded: DataFrame, model: Model) -> DataFrame:
+    """key (of a text) and share: the sum of the logarithms of its outside words' shares of their buckets."""
+    words = encoded.select("key", F.posexplode(F.arrays_zip("rare", "times")).alias("at", "of"))
+    # The first of a text counts the text.
+    words = words.select("key", F.col("of.rare").alias("word"), F.col("of.times").alias("times"), (F.col("at") == 0).cast("int").alias("texts"))
     totals = F.array(*[F.lit(float(t)) for t in model.totals])
     total = F.get(totals, F.col("word").bitwiseAND(WITHIN - 1).cast("int"))
     # One more than the count, for words that the counts lack too.
@@ -394,52 +448,66 @@ def _shares(documents: DataFrame, model: Model, text: str) -> DataFrame:
     # Equal texts have one key: their sum is divided by their number.
     return (
         words.join(model.counts, "word", "left")
-        .groupBy("_key")
-        .agg((F.sum(F.col("times") * share) / F.sum("texts")).alias("_share"))
+        .groupBy("key")
+        .agg((F.sum(F.col("times") * share) / F.sum("texts")).alias("share"))
     )
 
 
-def score(documents: DataFrame, model: Model, text: str = "text", rows: int = 1 << 12) -> DataFrame:
-    """All columns of the documents with n_words, log_prob and perplexity.
-
-    log_prob is the sum over all words of the logarithm of the probability that the network gives to the word from the SIDE words
-    on either side. For a word outside the vocabulary that is its bucket's probability times (n + 1) / (1 + the bucket's distinct words
-    + their counts), n being the word's count in the documents of the model, 0 for unseen ones. perplexity is exp(-log_prob / n_words). Texts without words, empty and null ones have no words, log_prob 0 and a null
-    perplexity. Repeated rows get equal scores. Columns of these names are replaced. A task holds 2 MB of text, or one longer text, and
-    the layers of `rows` words.
-    """
-    documents = documents.drop("n_words", "log_prob", "perplexity")
-    names = documents.columns
-    sent = documents.sparkSession.sparkContext.broadcast((model.hashes, model.ids, model.network.flat()))
+def _scored(encoded: DataFrame, model: Model, rows: int) -> DataFrame:
+    """The kept columns of encoded documents with n_words, log_prob and perplexity."""
+    sent = encoded.sparkSession.sparkContext.broadcast(model.network.flat())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, ids, flat = sent.value
-        net = Network.unflat(flat)
+        net = Network.unflat(sent.value)
         reach = net.reach()
-        for batch in W.slices(batches, text):
-            w = W.split(batch.column(text), W.ALNUM)
-            number = _ids(w.hashes, known, ids)
+        for part, number, first in _numbers(batches):
             total = np.zeros(len(number) + 1)
             for at in range(0, len(number), rows):
                 some = np.arange(at, min(at + rows, len(number)))
-                total[some + 1] = log_probabilities(net, reach, _windows(number, w.first, some), number[some])
+                total[some + 1] = log_probabilities(net, reach, _windows(number, first, some), number[some])
             np.cumsum(total, out=total)
-            value = total[w.first[1:]] - total[w.first[:-1]]
+            value = total[first[1:]] - total[first[:-1]]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(w.counts), pa.array(value)], names=[*names, "_key", "n_words", "log_prob"]
+                [part.column("key"), part.column("row"), pa.array(np.diff(first)), pa.array(value)],
+                names=["key", "row", "n_words", "log_prob"],
             )
 
     schema = T.StructType(
         [
-            *documents.schema.fields,
-            T.StructField("_key", T.LongType()),
+            encoded.schema["key"],
+            encoded.schema["row"],
             T.StructField("n_words", T.LongType()),
             T.StructField("log_prob", T.DoubleType()),
         ]
     )
-    scored = documents.withColumn("_key", F.xxhash64(F.col(text))).mapInArrow(run, schema)
-    total = F.col("log_prob") + F.coalesce("_share", F.lit(0.0))
+    scored = encoded.select("key", "row", "ids").mapInArrow(run, schema)
+    total = F.col("log_prob") + F.coalesce("share", F.lit(0.0))
     per_word = F.when(F.col("n_words") > 0, F.exp(F.least(-total / F.col("n_words"), F.lit(700.0))))
-    return scored.join(_shares(documents, model, text), "_key", "left").select(
-        *[F.col(f"`{n}`") for n in names], "n_words", total.alias("log_prob"), per_word.alias("perplexity")
+    return scored.join(_shares(encoded, model), "key", "left").select(
+        "row.*", "n_words", total.alias("log_prob"), per_word.alias("perplexity")
     )
+
+
+def score(documents: DataFrame, model: Model, text: str = "text", rows: int = 1 << 12) -> DataFrame:
+    """All columns of the documents with n_words, log_prob and perplexity.
+
+    log_prob is the sum over all words of the logarithm of the probability that the network gives to the word from the SIDE words
+    on either side. For a word outside the vocabulary that is its bucket's probability times (n + 1) / (1 + the bucket's distinct words
+    + their counts), n being the word's count in the documents of the model, 0 for unseen ones. perplexity is exp(-log_prob / n_words). Texts without words, empty and null ones have no words, log_prob 0 and a null
+    perplexity. Repeated rows get equal scores. Columns of these names are replaced. A task holds 2 MB of text, or one longer text, and
+    the layers of `rows` words.
+    """
+    documents = documents.drop("n_words", "log_prob", "perplexity")
+    return _scored(_encode(documents, model.hashes, model.ids, text, documents.columns), model, rows)
+
+
+def fit_and_score(
+    documents: DataFrame, keep: list[str], text: str = "text", rounds: int = ROUNDS, rate: int = RATE, rows: int = 1 << 12
+) -> DataFrame:
+    """`score` of the documents under the model of `fit` on the same documents, with the columns of `keep` (one at least).
+
+    Texts are split into words twice in all; the numbers of their words lie in the shared folder as long as the result is read.
+    """
+    keep = [n for n in keep if n not in ("n_words", "log_prob", "perplexity")]
+    model, encoded = _fit(documents, text, rounds, rate, keep)
+    return _scored(encoded, model, rows)

@@ -158,8 +158,7 @@ def op5_jaccard(spark: SparkSession, data: str) -> DataFrame:
 @query()
 def op6_lm(spark: SparkSession, data: str) -> DataFrame:
     """The pseudo-likelihood of every document."""
-    documents = table(spark, data, "documents").select("doc_id", "text")
-    return lm.score(documents, lm.fit(documents)).select("doc_id", "n_words", "log_prob", "perplexity")
+    return lm.fit_and_score(table(spark, data, "documents"), keep=["doc_id"])
 
 
 @query(ITQ_SQL)

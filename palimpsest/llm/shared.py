@@ -25,10 +25,16 @@ def cut(df: DataFrame, *done: DataFrame) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.step_path = path
+    forget(*done)
+    return out
+
+
+def forget(*done: DataFrame) -> None:
+    """Deletes the files of frames that `cut` returned and nothing reads any more."""
     for frame in done:
+        spark = frame.sparkSession
         where = spark._jvm.org.apache.hadoop.fs.Path(frame.step_path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    return out
 
 
 def bitmap(hashes: DataFrame, column: str, log2: int) -> np.ndarray:
