@@ -151,3 +151,59 @@ def test_words_outside_have_probabilities_of_their_own(spark, monkeypatch):
         assert math.isclose(got[i]["perplexity"], math.exp(-(net + share) / len(ids)), rel_tol=1e-4)
     for b, ns in of.items():
         assert math.isclose(sum(n + 1 for n in ns) + 1, model.totals[b])
+
+
+def test_numbers_are_cut_by_words(monkeypatch):
+    """Parts of a batch hold about HELD words, or one longer text; together they are the batch."""
+    monkeypatch.setattr(lm, "HELD", 4)
+    texts = [[1, 2], [3], [], [4, 5, 6, 7, 8, 9], [], [4095]]
+    ids = pa.array([np.array(t, "<u2").tobytes() for t in texts], pa.binary())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), ids], names=["key", "ids"])
+    for whole in (batch, batch.slice(1), batch.slice(6)):
+        got = []
+        for part, number, first in lm._numbers(iter([whole])):
+            assert len(number) <= 4 or part.num_rows == 1
+            got += [(k, number[a:b].tolist()) for k, a, b in zip(part.column("key").to_pylist(), first, first[1:])]
+        assert got == [(k, texts[k]) for k in whole.column("key").to_pylist()]
+
+
+def test_fit_and_score_is_fit_then_score(spark):
+    """Also with columns that have the names used inside, and with a text longer than a slice."""
+    rng = random.Random(4)
+    long = " ".join(f"v{int(rng.expovariate(0.002))}" for _ in range(450_000))
+    assert len(long) > W.BATCH_BYTES
+    rows = [(1, "a b c a", 5, None), (2, long, 6, "k"), (3, None, 7, "s"), (None, "a b c a", 8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row long, key string").coalesce(1)
+    docs = docs.withColumn("ids", docs.row).withColumn("share", docs.key).withColumn("log_prob", docs.row)
+    model = lm.fit(docs)
+    want = {r["row"]: r for r in lm.score(docs, model).collect()}
+    got = lm.fit_and_score(docs, ["doc_id", "row", "key", "ids", "share", "log_prob"])
+    assert got.columns == ["doc_id", "row", "key", "ids", "share", "n_words", "log_prob", "perplexity"]
+    for r in got.collect():
+        assert all(r[n] == want[r["row"]][n] for n in ("doc_id", "key", "ids", "share", "n_words"))
+        assert math.isclose(r["log_prob"], want[r["row"]]["log_prob"], rel_tol=1e-6, abs_tol=1e-9)
+    assert want[6]["n_words"] == 450_000 and want[7]["n_words"] == 0
+    # The long text by itself, a few words at a time.
+    w = W.split(pa.array([long]), W.ALNUM)
+    number = lm._ids(w.hashes, model.hashes, model.ids)
+    reach = model.network.reach()
+    net = sum(
+        lm.log_probabilities(model.network, reach, lm._windows(number, w.first, some), number[some]).sum()
+        for some in np.array_split(np.arange(len(number)), 90)
+    )
+    word, times = np.unique(w.hashes[number >= lm.NAMED], return_counts=True)
+    share = sum(n * math.log((n + 1) / model.totals[int(h & np.uint64(63))]) for h, n in zip(word, times))
+    assert math.isclose(want[6]["log_prob"], net + share, rel_tol=1e-5)
+
+
+def test_held_out_texts_are_likelier_than_by_counts(spark):
+    """Trained once on four fifths of the documents: perplexity of the rest against a unigram model of the same words."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = lm.fit(docs.where("doc_id % 5 != 0"))
+    rest = docs.where("doc_id % 5 = 0")
+    scored = lm.score(rest, model).toPandas()
+    known = {r["word"]: r["n"] for r in model.counts.collect()}
+    total = sum(known.values()) + len(known) + 1
+    unigram = sum(r["n"] * math.log((known.get(r["word"], 0) + 1) / total) for r in lm._counts(rest).collect())
+    words = scored["n_words"].sum()
+    assert math.exp(-scored["log_prob"].sum() / words) < 0.75 * math.exp(-unigram / words)
