@@ -59,7 +59,7 @@ def networks(spark, data) -> DataFrame:
     )
 
 
-def devices(spark, data) -> DataFrame:
+def devices(spark, data, name: str = "c_name") -> DataFrame:
     """Customers as devices; the model tells the kind by its prefix."""
     segment = F.col("c_mktsegment")
     model = (
@@ -70,7 +70,7 @@ def devices(spark, data) -> DataFrame:
     )
     return table(spark, data, "customer").select(
         _text("c_custkey", "S").alias("serial"),
-        F.col("c_name").alias("name"),
+        F.expr(name).alias("name"),
         _text("c_nationkey", "N").alias("networkId"),
         model.alias("model"),
         F.array(F.lower(segment)).alias("tags"),
@@ -131,11 +131,11 @@ def rules(spark, data) -> DataFrame:
     )
 
 
-def vlans(spark, data) -> DataFrame:
+def vlans(spark, data, name: str = "s_name") -> DataFrame:
     return table(spark, data, "supplier").select(
         _text("s_nationkey", "N").alias("networkId"),
         F.col("s_suppkey").cast("string").alias("id"),
-        F.col("s_name").alias("name"),
+        F.expr(name).alias("name"),
         F.struct((F.col("s_acctbal") > 0).alias("enabled")).alias("mandatoryDhcp"),
     )
 
@@ -368,19 +368,15 @@ def refresh_twice(spark, data):
     Returns, per resource, what the first refresh inserted and what the second did.
     """
     tables = new_folder(spark, "tables")
+    # A balance of zero is no debt; the flags inside the records do not tell it from one.
+    names = {DEVICE: "if(c_acctbal < 0, 'renamed', c_name)", VLAN: "if(s_acctbal < 0, 'renamed', s_name)"}
 
     def land(renamed: bool) -> str:
         root = new_folder(spark, "landing")
         for spec, make in LANDINGS.items():
             if not spec.versioned:
                 continue
-            raw = make(spark, data)
-            if renamed and spec in (DEVICE, VLAN):
-                # The flag is inside the nested columns the records carry.
-                in_debt = (
-                    ~F.col("details")[0]["value"] if spec is DEVICE else ~F.col("mandatoryDhcp.enabled")
-                )
-                raw = raw.withColumn("name", F.when(in_debt, "renamed").otherwise(F.col("name")))
+            raw = make(spark, data, names[spec]) if renamed and spec in names else make(spark, data)
             raw.write.json(f"{root}/{spec.name}")
         return root
 
