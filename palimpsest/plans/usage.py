@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from palimpsest.functions.times import Moment
+from palimpsest.functions.times import Moment, moment
 from palimpsest.operators.convert import explode_children, rename_raw
 from palimpsest.operators.counters import (
+    LOOKBACK,
     accumulate,
     in_windows,
     monthly_delta,
@@ -18,6 +19,7 @@ from palimpsest.operators.counters import (
 )
 from palimpsest.operators.merge import UPSERTED
 from palimpsest.resources import UPLINK_USAGE
+from palimpsest.session import step_path, written
 from palimpsest.sources.store import KeyedStore, Source
 
 KEYS = ["network_id", "serial", "interface"]
@@ -61,7 +63,8 @@ def refresh_usage(
 
     Each commit notes the end of the window of every organization that had readings in it, so a network that is no longer
     there takes nothing from what is known to be read. Counters stored without such notes count from their latest reading.
-    There is a window for each organization; they are read before the plan is built, and their bounds reach the scan.
+    There is a window for each organization; they are read before the plan is built. The readings are scanned once: what any
+    window can hold goes to the shared folder, and the organizations are noted on the way.
     """
     by = ["org_id"]
     spark = events.sparkSession
@@ -72,21 +75,26 @@ def refresh_usage(
         known = spark.createDataFrame([(o, t) for o, t in noted.items()], "org_id string, read long")
         read = known.select("org_id", F.timestamp_micros("read").alias("last_seen"))
         state = state.join(known.select("org_id"), "org_id", "left_anti").union(read)
-    groups = events.select("org_id").where(F.col("org_id").isNotNull())
+    at, t = F.col("ts"), moment(now, events.schema["ts"].dataType)
+    found_orgs, path = Observation(), step_path(spark)
+    noting = events.observe(found_orgs, F.collect_set("org_id").alias("orgs"))
+    recent = written(noting.where((at >= t - F.expr(f"interval {LOOKBACK}")) & (at < t)), path)
+    groups = spark.createDataFrame([(o,) for o in found_orgs.get["orgs"] or []], "org_id string")
     planned = plan_windows(groups, state, by, now)
     found = planned.select("org_id", F.unix_micros("t0").alias("t0"), F.unix_micros("t1").alias("t1")).collect()
     if not found:
+        store.commits.delete(path)
         return {UPSERTED: 0}
     local = spark.createDataFrame([tuple(r) for r in found], "org_id string, t0 long, t1 long")
     windows = local.select("org_id", F.timestamp_micros("t0").alias("t0"), F.timestamp_micros("t1").alias("t1"))
-    first, last = min(r["t0"] for r in found), max(r["t1"] for r in found)
-    near = (F.col("ts") >= F.timestamp_micros(F.lit(first))) & (F.col("ts") < F.timestamp_micros(F.lit(last)))
-    inside = in_windows(events.where(near), windows, by, "ts")
+    inside = in_windows(recent, windows, by, "ts")
     had = {r["org_id"] for r in inside.select("org_id").distinct().collect()}
-    return store.change(
+    outcomes = store.change(
         monthly_delta(inside, KEYS, MEASURES, "ts"),
         now,
         lambda held, new: accumulate(held, new, UPLINK_USAGE.keys, MEASURES),
         source,
         notes={READ_UNTIL: noted | {r["org_id"]: r["t1"] for r in found if r["org_id"] in had}},
     )
+    store.commits.delete(path)
+    return outcomes

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are written for.
 DEFAULTS = {
@@ -64,3 +65,15 @@ def shared_dir(spark: SparkSession) -> str:
     if app not in _OWN_DIRS:
         _OWN_DIRS[app] = tempfile.mkdtemp(prefix="palimpsest-")
     return _OWN_DIRS[app]
+
+
+def step_path(spark: SparkSession) -> str:
+    """A fresh folder for rows between two steps of a job."""
+    return f"{shared_dir(spark)}/palimpsest/step-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, path: str | None = None) -> DataFrame:
+    """The rows, written to the shared folder and read from there: computed once, and the same wherever a plan reads them."""
+    path = path or step_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
