@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.session import written
+
 SLICE = "_slice"
 HOT = "_hot"
 
@@ -24,8 +26,8 @@ HOT = "_hot"
 ROWS_PER_SLICE = 4_000_000
 # How many sampled rows stand for ROWS_PER_SLICE.
 SAMPLE = 200
-# Up to so many hot keys are handed to the plan as a local table, whose size Spark knows; more stay a
-# query of their own, and Spark joins them as it joins any table.
+# Up to so many hot keys are handed to the plan as a local table; more are written to the shared folder. Either way
+# Spark knows their size, they are sought once, and every part of a plan cuts at the same places.
 LOCAL = 10_000
 # Sampled rows of one key that are gathered for its borders; a key with more is thinned to that.
 GATHERED = 1_000_000
@@ -40,9 +42,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> DataFra
 
 
 def _local(df: DataFrame) -> DataFrame:
-    """The rows as a local table where they are few."""
-    found = df.limit(LOCAL + 1).toArrow()
-    return df.sparkSession.createDataFrame(found, df.schema) if found.num_rows <= LOCAL else df
+    """The rows as a local table where they are few, and else from the shared folder."""
+    kept = written(df)
+    found = kept.limit(LOCAL + 1).toArrow()
+    return kept.sparkSession.createDataFrame(found, kept.schema) if found.num_rows <= LOCAL else kept
 
 
 def found_hot(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> DataFrame | None:
