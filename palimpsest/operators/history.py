@@ -22,6 +22,7 @@ from palimpsest.operators.slices import (
     sliced,
     summarise,
 )
+from palimpsest.session import written
 
 VERSIONING = ("active_from", "active_to", "last_seen")
 
@@ -181,7 +182,8 @@ def as_of_join(
     else:
         only = hot.select(*keys)
         cold_facts, cold_history = (d.join(only, list(keys), "left_anti") for d in (timed, history))
-        hot_facts, hot_history = (d.join(only, list(keys), "left_semi") for d in (timed, history))
+        # What is cut is read several times.
+        hot_facts, hot_history = (written(d.join(only, list(keys), "left_semi")) for d in (timed, history))
         times = hot_facts.select(*keys, at).distinct()
         found = _matched(times, hot_history, keys, at, carried, rows_per_slice)
         joined = _matched(cold_facts, cold_history, keys, at, carried, None, how).unionByName(
