@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from palimpsest.llm import words as W
 from palimpsest.llm.graph import components
-from palimpsest.llm.shared import bitmap, cut, in_bitmap
+from palimpsest.llm.shared import bitmap, cut, few_tasks, in_bitmap
 
 SHINGLE = 5
 PERCENT = 80
@@ -262,6 +262,12 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held[0]
 
 
+# A pair of classes with their components, then with the keys of their rows, then the components alone.
+_PAIR = T.StructType([T.StructField(k, T.LongType()) for k in ("x", "y", "cx", "cy")])
+_LEFT = T.StructType([T.StructField(k, T.LongType()) for k in ("kx", "ky", "cx", "cy")])
+_LINK = T.StructType([T.StructField(k, T.LongType()) for k in ("cx", "cy")])
+
+
 def _possible(nx: np.ndarray, ny: np.ndarray, apart: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets of these sizes, with at least `apart` shingles in one only, can be similar enough."""
     both = nx + ny
@@ -307,10 +313,11 @@ def _tile_pairs(batches: Iterator[pa.RecordBatch], percent: int, nearest: bool =
                 order = np.lexsort((np.concatenate([apart, apart]), row))
                 first = order[np.concatenate([[True], row[order][1:] != row[order][:-1]])]
                 left, right = row[first], other[first]
-            x, y = c[left], c[right]
+            swap = c[left] > c[right]
+            x, y = np.where(swap, right, left), np.where(swap, left, right)
             if len(x):
-                pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["x", "y"])
+                pair = np.unique(np.stack([c[x], c[y], comp[x], comp[y]]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(k) for k in pair], names=_PAIR.names)
 
 
 def _tiles(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -364,45 +371,46 @@ def _tiles(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _bounded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sizes and signatures leave room for enough overlap."""
+    """Keys and components of pairs whose sizes and signatures leave room for enough overlap."""
     for batch in batches:
         nx, ny = (batch.column(k).to_numpy() for k in ("nx", "ny"))
         some = np.flatnonzero(_possible(nx, ny, np.int64(0), percent))
         apart = _apart(batch.column("sx"), some, some, batch.column("sy"))
         keep = some[_possible(nx[some], ny[some], apart, percent)]
-        yield batch.select(["x", "y"]).take(pa.array(keep))
+        yield batch.select(_LEFT.names).take(pa.array(keep))
 
 
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sets are similar enough, by intersection of the sorted arrays."""
+    """Components of pairs whose sets are similar enough, by intersection of the sorted arrays."""
     for batch in batches:
         keep = np.zeros(batch.num_rows, bool)
         for i in range(batch.num_rows):
             a, b = (np.frombuffer(batch.column(k)[i].as_py(), np.int64) for k in ("px", "py"))
             inter = len(np.intersect1d(a, b, assume_unique=True))
             keep[i] = 100 * inter >= percent * (len(a) + len(b) - inter)
-        yield batch.select(["x", "y"]).filter(pa.array(keep))
+        yield batch.select(_LINK.names).filter(pa.array(keep))
 
 
-_PAIR = T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.LongType())])
+def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rows: int, size: int, percent: int) -> DataFrame:
+    """The components that a pair of classes links: bit counts first, then sets of the classes that are left.
 
-
-def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs of classes that link: bit counts first, then sets of the classes that are left."""
+    `rows` is about how many pairs there are, and sets the number of tasks.
+    """
     context = docs.sparkSession.sparkContext
-    of_x = classes.select(F.col("c").alias("x"), F.col("n").alias("nx"), F.col("sig").alias("sx"))
-    of_y = classes.select(F.col("c").alias("y"), F.col("n").alias("ny"), F.col("sig").alias("sy"))
-    left = cut(pairs.join(of_x, "x").join(of_y, "y").mapInArrow(lambda b: _bounded(b, percent), _PAIR))
-    ends = left.select(F.col("x").alias("c")).union(left.select("y")).distinct()
-    needed = cut(classes.select("c", "row_key").join(ends, "c"))
-    wanted = context.broadcast(bitmap(needed, "row_key", BITMAP_LOG2))
-    sets = cut(_sets(docs, wanted, size).dropDuplicates(["row_key"]).join(needed, "row_key").select("c", "shingles"))
-    found = (
-        left.join(sets.select(F.col("c").alias("x"), F.col("shingles").alias("px")), "x")
-        .join(sets.select(F.col("c").alias("y"), F.col("shingles").alias("py")), "y")
-        .mapInArrow(lambda b: _linked(b, percent), _PAIR)
+
+    def of(side: str) -> DataFrame:
+        return classes.select(*[F.col(k).alias(v) for k, v in (("c", side), ("row_key", f"k{side}"), ("n", f"n{side}"), ("sig", f"s{side}"))])
+
+    met = few_tasks(pairs.join(of("x"), "x").join(of("y"), "y"), rows)
+    left = cut(met.mapInArrow(lambda b: _bounded(b, percent), _LEFT))
+    ends = left.select(F.explode(F.array("kx", "ky")).alias("row_key"))
+    wanted = context.broadcast(bitmap(ends, "row_key", BITMAP_LOG2))
+    # Both sides read one shuffle of the sets.
+    sets = _sets(docs, wanted, size).dropDuplicates(["row_key"])
+    both = left.join(sets.select(F.col("row_key").alias("kx"), F.col("shingles").alias("px")), "kx").join(
+        sets.select(F.col("row_key").alias("ky"), F.col("shingles").alias("py")), "ky"
     )
-    return cut(found, left, needed, sets)
+    return cut(few_tasks(both, left.count()).mapInArrow(lambda b: _linked(b, percent), _LINK), left)
 
 
 def _frequent(classes: DataFrame) -> np.ndarray:
@@ -463,7 +471,7 @@ def _labelled(documents: DataFrame, doc_id: str, text: str, size: int, percent:
     docs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     docs = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
     features = cut(_features(docs, size))
-    classes = cut(
+    grouped = (
         features.where(F.col("n") > 0)
         .groupBy("a", "b", "n")
         .agg(
@@ -471,8 +479,10 @@ def _labelled(documents: DataFrame, doc_id: str, text: str, size: int, percent:
             F.min("row_key").alias("row_key"),
             *[F.first(k).alias(k) for k in ("sketch", "sig", "short", "sample")],
         )
-        .withColumn("c", F.monotonically_increasing_id())
     )
+    classes = cut(few_tasks(grouped, features.count()).withColumn("c", F.monotonically_increasing_id()))
+    # Rows of prefixes: one place more than the share that may differ.
+    known = classes.agg(F.count(F.lit(1)).alias("rows"), F.sum((100 - percent) * F.col("n") / 100 + 1).alias("prefixes")).first()
 
     # Round 1: one hub for each class in each of its tiles.
     sketch = classes.select("c", "n", F.explode("sketch").alias("t"))
@@ -488,34 +498,38 @@ def _labelled(documents: DataFrame, doc_id: str, text: str, size: int, percent:
         .where((F.col("c") != F.col("hub")) & near)
         .select(F.least("c", "hub").alias("x"), F.greatest("c", "hub").alias("y"))
         .distinct()
+        .select("x", "y", F.col("x").alias("cx"), F.col("y").alias("cy"))
     )
-    links = _links(docs, classes, stars, size, percent)
-    first = components(links.select("x", "y"))
+    first = components(_links(docs, classes, stars, SKETCH * known["rows"], size, percent))
 
     # Round 2: prefixes, for pairs between components.
     wanted = context.broadcast(bitmap(classes, "row_key", BITMAP_LOG2))
     late = context.broadcast(_frequent(classes))
-    postings = (
-        _prefixes(docs, wanted, late, size, percent)
-        .repartition(F.col("t"))
-        .sortWithinPartitions("t")
-        .mapInArrow(_shared, "t bigint, row_key bigint, n int")
-    )
+    dealt = few_tasks(_prefixes(docs, wanted, late, size, percent).repartition(F.col("t")), int(known["prefixes"] or 0))
+    postings = dealt.sortWithinPartitions("t").mapInArrow(_shared, "t bigint, row_key bigint, n int")
     placed = classes.select("row_key", "c").join(first.withColumnRenamed("node", "c"), "c", "left")
-    rows = cut(postings.join(placed, "row_key").select("t", "n", "c", F.coalesce("label", "c").alias("comp")))
+    rows = few_tasks(postings.join(placed, "row_key"), int(known["prefixes"] or 0))
+    rows = cut(rows.select("t", "n", "c", F.coalesce("label", "c").alias("comp")))
+    many = rows.count()
 
     def met(rows: DataFrame, nearest: bool) -> DataFrame:
-        tiles = _tiles(rows, classes, percent).repartition(F.col("tile")).sortWithinPartitions("tile", "side")
-        return tiles.mapInArrow(lambda b: _tile_pairs(b, percent, nearest), _PAIR).distinct()
-
-    # The nearest partners come before all others: they join most of what is left, and so leave few pairs.
-    links = links.union(_links(docs, classes, met(rows, True), size, percent))
-    joined = components(links).withColumnRenamed("node", "c")
-    rows = rows.select("t", "n", "c").join(joined, "c", "left").select("t", "n", "c", F.coalesce("label", "c").alias("comp"))
-    final = components(links.union(_links(docs, classes, met(cut(rows), False), size, percent)))
-
-    labelled = classes.select("a", "b", "n", "low", "c").join(final.withColumnRenamed("node", "c"), "c", "left")
-    return features, labelled.withColumn("label", F.coalesce("label", "c"))
+        tiles = few_tasks(_tiles(rows, classes, percent).repartition(F.col("tile")), many)
+        pairs = tiles.sortWithinPartitions("tile", "side").mapInArrow(lambda b: _tile_pairs(b, percent, nearest), _PAIR)
+        return pairs.distinct()
+
+    def relabelled(rows: DataFrame, found: DataFrame, comp: str) -> DataFrame:
+        """Components of components: `found` says which of them are one."""
+        new = found.select(F.col("node").alias(comp), F.col("label").alias("_label"))
+        return rows.join(new, comp, "left").withColumn(comp, F.coalesce("_label", comp)).drop("_label")
+
+    # The nearest partners come before all others: they join most of what is left, and so leave few pairs. From here on
+    # nodes are the components so far, so each round's graph has its own new links and no others.
+    second = components(_links(docs, classes, met(rows, True), many, size, percent))
+    last = components(_links(docs, classes, met(relabelled(rows, second, "comp"), False), many, size, percent))
+
+    labelled = classes.select("a", "b", "n", "low", "c").join(first.withColumnRenamed("node", "c"), "c", "left")
+    labelled = labelled.withColumn("label", F.coalesce("label", "c"))
+    return features, relabelled(relabelled(labelled, second, "label"), last, "label")
 
 
 def representatives(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", nulls_stay: bool = True) -> DataFrame:

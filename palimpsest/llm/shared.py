@@ -15,6 +15,18 @@ def table(spark: SparkSession, data: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data}/{name}.parquet")
 
 
+# Rows for which a task is worth its start.
+ROWS_PER_TASK = 16_384
+
+
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """The frame in no more tasks than about `rows` rows keep busy, and the cores; nothing is shuffled for it.
+
+    For steps whose rows are known before they run: many near-empty tasks cost their start, a file and a worker each.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK)))
+
+
 def cut(df: DataFrame, *done: DataFrame) -> DataFrame:
     """The rows, written to the shared folder as compressed Parquet and read from there.
 

@@ -7,7 +7,7 @@ import random
 import pyarrow as pa
 import pytest
 
-from palimpsest.llm import jaccard
+from palimpsest.llm import graph, jaccard
 from palimpsest.llm.graph import components
 from test_words import SPACED, plain
 
@@ -83,6 +83,25 @@ def test_nulls_empty_and_repeats(spark):
     assert run(spark, []) == []
 
 
+def test_links_of_a_round_are_not_sought_again(spark, monkeypatch):
+    """One group of near copies is one component after the first round, and the later ones have nothing left to join."""
+    steps = []
+
+    def counted(df, *done, cut=graph.cut):
+        steps.append(df)
+        return cut(df, *done)
+
+    monkeypatch.setattr(jaccard, "cut", counted)
+    monkeypatch.setattr(graph, "cut", counted)
+    text = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join([*text[:i], "x", *text[i + 1 :]])) for i in range(8)]
+    assert run(spark, docs) == brute(docs)
+    assert len(steps) <= 14
+    del steps[:]
+    got = graph.components(spark.createDataFrame([(0, i) for i in range(1, 9)], "a long, b long"))
+    assert got.count() == 9 and len(steps) == 1
+
+
 def test_representatives(spark):
     docs = [(2, "a b"), (1, "a b"), (1, "a b"), (3, None), (None, "a b"), (5, "c")]
     df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, _kept string")
