@@ -60,6 +60,9 @@ BUCKET = "_bucket"
 FANOUT = 16
 ROWS_PER_FILE = 4_000_000
 
+# A task of a commit sorts and writes about so many rows at most.
+ROWS_PER_TASK = 1_000_000
+
 _EPOCH = datetime(1970, 1, 1)
 
 # A stream or another repeatable writer, and the number of its batch.
@@ -401,7 +404,8 @@ class HistoryStore(_Evolving):
             small_batch=seen["bytes"] <= small_bytes,
             **options,
         )
-        return self._commit(merged, number, body, micros(ts), touched, source)
+        about = seen["rows"] + self._open_rows(body, touched).count()
+        return self._commit(merged, number, body, micros(ts), touched, source, about)
 
     def merge_log(
         self,
@@ -439,7 +443,8 @@ class HistoryStore(_Evolving):
             self.json_cols,
             rows_per_slice,
         )
-        return self._commit(merged, number, body, seen["last"], touched, source)
+        about = seen["rows"] + self._open_rows(body, touched).count()
+        return self._commit(merged, number, body, seen["last"], touched, source, about)
 
     def load(self, history: DataFrame, ts: datetime | str) -> None:
         """The first commit of a table from a finished history, seen up to `ts`.
@@ -450,14 +455,14 @@ class HistoryStore(_Evolving):
         if body:
             raise ValueError(f"{self.path} has commits already")
         times = [position(F.col(c), history.schema[c].dataType) for c in ("active_from", "active_to", "last_seen")]
-        latest = history.agg(*[F.max(t) for t in times], F.collect_set(self._bucket())).first()
+        latest = history.agg(*[F.max(t) for t in times], F.collect_set(self._bucket()), F.count(F.lit(1))).first()
         if any(t is not None and t > micros(ts) for t in latest[:3]):
             raise ValueError(f"the history goes on after {ts}")
         part = F.when(F.col("active_to").isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
         tagged = history.select(*self.schema.names, part.alias(PART)).withColumn(
             OUTCOME, F.lit(None).cast("string")
         )
-        self._commit(tagged, number, body, micros(ts), set(latest[3]), None)
+        self._commit(tagged, number, body, micros(ts), set(latest[3]), None, latest[4])
 
     def _no_outcomes(self) -> dict[str, int]:
         return {"inserted": 0, "updated": 0, "expired+inserted": 0}
@@ -469,8 +474,12 @@ class HistoryStore(_Evolving):
             return F.datediff(F.col(column), F.lit("1970-01-01").cast("date")).cast("bigint") * 86_400_000_000
         return position(F.col(column), kind)
 
-    def _write(self, rows: DataFrame, number: int, *seen: Column) -> tuple[str, dict]:
-        """Writes rows with PART to a folder of their own, and what was seen of them."""
+    def _write(self, rows: DataFrame, number: int, *seen: Column, about: int = 0) -> tuple[str, dict]:
+        """Writes rows with PART to a folder of their own, and what was seen of them.
+
+        `about` is how many rows there are. Adaptive execution deals rows by their bytes as shuffled, and narrow or
+        repetitive rows take many times that in a sort: more than a task should hold are dealt by their number.
+        """
         # Closed rows are not read by bucket: those of a commit stay together.
         bucket = F.when(F.col(PART) == OPEN, self._bucket()).otherwise(F.lit(0))
         noted = Observation()
@@ -482,10 +491,14 @@ class HistoryStore(_Evolving):
         ]
         # Counted in the stage that writes: a retried task counts once. Few files per bucket, a hot bucket still
         # spread over several tasks; within a file the order by which it is read.
+        placed = rows.withColumn(BUCKET, bucket)
+        tasks = -(-about // ROWS_PER_TASK)
+        if tasks > 1:
+            dealt = placed.repartitionByRange(tasks, PART, BUCKET, *self.keys, "active_to")
+        else:
+            dealt = placed.hint("rebalance", PART, BUCKET)
         tagged = (
-            rows.withColumn(BUCKET, bucket)
-            .hint("rebalance", PART, BUCKET)
-            .observe(noted, *sizes, *times, *seen)
+            dealt.observe(noted, *sizes, *times, *seen)
             .select(*self.schema.names, PART, BUCKET)
             .sortWithinPartitions(PART, BUCKET, "active_to", *self.keys)
         )
@@ -511,9 +524,9 @@ class HistoryStore(_Evolving):
         }
 
     def _commit(
-        self, merged: DataFrame, number: int, before: dict, time: int, touched: set[int], source: Source | None
+        self, merged: DataFrame, number: int, before: dict, time: int, touched: set[int], source: Source | None, about: int
     ) -> dict[str, int]:
-        folder, seen = self._write(merged, number, *outcome_columns())
+        folder, seen = self._write(merged, number, *outcome_columns(), about=about)
         counts = {k: seen[k] or 0 for k in self._no_outcomes()}
         self.commits.publish(number, before, source, counts, self._next(before, number, time, touched, folder, seen))
         self._compact_soon()
