@@ -361,11 +361,9 @@ class HistoryStore(_Evolving):
         return as_of(self.closed_rows(ts, ts).unionByName(self.open_rows(key)), ts)
 
     def _seen(self, batch: DataFrame, *more: Column) -> tuple[dict, set[int]]:
-        """What one pass over a batch says: aggregates, its size as text, and its buckets."""
-        text = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in batch.columns])))
+        """What one pass over a batch says: aggregates, and its buckets."""
         found = batch.agg(
             F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(text), F.lit(0)).alias("bytes"),
             # No more than the table has.
             F.collect_set(self._bucket()).alias("buckets"),
             *more,
@@ -391,7 +389,8 @@ class HistoryStore(_Evolving):
             return done
         if body and micros(ts) <= body["time"]:
             raise ValueError(f"snapshot of {ts} is not newer than the last commit")
-        seen, touched = self._seen(batch)
+        text = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in batch.columns])))
+        seen, touched = self._seen(batch, F.coalesce(F.sum(text), F.lit(0)).alias("bytes"))
         if not seen["rows"]:
             return self._no_outcomes()
         merged = scd2_merge(

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from palimpsest.operators.evolve import Add, Cast, Drop, Rename
 from palimpsest.operators.history import history_from_log
+from palimpsest.session import step_path
 from palimpsest.sources.store import HistoryStore, KeyedStore
 from palimpsest.suite.merging import CUSTOMER_KEYS, CUSTOMER_MERGE, EVENT_SCHEMA, T0, T1, first_snapshot, opened, second_snapshot
 from palimpsest.suite.registry import new_folder, query, table
@@ -67,10 +68,14 @@ def store_as_of_after_compaction(spark, data):
     """Reads as of three times from a table whose nine commits were compacted in tiers of three."""
     events = table(spark, data, "events").select("user_id", "ts", "event_id", "event_type")
     store = HistoryStore(spark, new_folder(spark, "events"), ["user_id"], EVENT_SCHEMA, buckets=2, fanout=3)
-    days = [1, *range(4, 29, 3), 32]
-    for low, high in zip(days, days[1:]):
-        day = F.dayofmonth("ts")
-        store.merge_log(events.where((day >= low) & (day < high)), "ts", ["event_id"])
+    # Written once by batch: a merge reads its own rows several times, and no others.
+    path = step_path(spark)
+    day = F.dayofmonth("ts")
+    batch = F.when(day >= 28, 9).otherwise(F.floor((day - 1) / 3)).cast("int")
+    events.withColumn("_batch", batch).write.partitionBy("_batch").parquet(path)
+    batches = spark.read.schema(events.withColumn("_batch", batch).schema).parquet(path)
+    for k in range(10):
+        store.merge_log(batches.where(F.col("_batch") == k).drop("_batch"), "ts", ["event_id"])
     out = None
     for ts in ("2024-01-05 00:00:00", "2024-01-13 12:00:00", "2024-02-01 00:00:00"):
         rows = store.at(ts).select(_day(ts).alias("at"), *EVENT_SCHEMA.names)
