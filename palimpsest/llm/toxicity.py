@@ -33,6 +33,8 @@ RATE = 0.003
 LEAST = 8
 # Distinct words whose n-grams are taken at a time.
 WORDS = 10_000
+# N-grams, or words of texts, whose vectors are gathered at a time.
+GATHERED = 1 << 17
 # How many words of texts the prior on an n-gram's share of toxic texts counts for.
 PRIOR = 10.0
 # Texts are averages over hundreds of words; this brings their vectors to the size of a word's.
@@ -82,20 +84,36 @@ def subwords(w: W.Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bucket[order], np.bincount(owner, minlength=len(at))
 
 
-def _means(table: np.ndarray, index: np.ndarray, counts: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
-    """Sums of table rows by list, in slices of bounded size; empty lists give zeros."""
+def _slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Cuts lists that end at ends[1:] into stretches of about GATHERED entries, or one longer list."""
+    at = 0
+    while at < len(ends) - 1:
+        upto = max(at + 1, int(np.searchsorted(ends, ends[at] + GATHERED, "right")) - 1)
+        yield at, upto
+        at = upto
+
+
+def _means(
+    table: np.ndarray, index: np.ndarray, counts: np.ndarray, weights: np.ndarray | None = None, by: str = "entry"
+) -> np.ndarray:
+    """Sums of table rows by list, in slices of bounded size; empty lists give zeros.
+
+    Weights belong to the entries, to the lists, or to the rows of the table.
+    """
     out = np.zeros((len(counts), *table.shape[1:]), np.float32)
     ends = np.concatenate([[0], np.cumsum(counts)])
-    at = 0
-    while at < len(counts):
-        upto = max(at + 1, int(np.searchsorted(ends, ends[at] + (1 << 20), "right")) - 1)
-        rows = table[index[ends[at] : ends[upto]]]
+    for at, upto in _slices(ends):
+        own = index[ends[at] : ends[upto]]
+        rows = table[own]
         if weights is not None:
-            rows = rows * weights[ends[at] : ends[upto], None] if rows.ndim > 1 else rows * weights[ends[at] : ends[upto]]
+            if by == "entry":
+                weight = weights[ends[at] : ends[upto]]
+            else:
+                weight = weights[own] if by == "row" else np.repeat(weights[at:upto], counts[at:upto])
+            rows *= weight[:, None] if rows.ndim > 1 else weight
         some = np.flatnonzero(counts[at:upto])
         if len(some):
             out[at + some] = np.add.reduceat(rows, ends[at:upto][some] - ends[at], axis=0)
-        at = upto
     return out
 
 
@@ -112,7 +130,7 @@ class _Adam:
 
 
 def _frequent_grams(w: W.Words, one: np.ndarray, per_word: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Buckets met in at least LEAST words of texts; by word and bucket: its number there, the word's share, the word.
+    """Buckets met in at least LEAST words of texts; by word and bucket: its number there; by word: how many, its share.
 
     Words are taken a few at a time, so that only what is kept is held.
     """
@@ -123,15 +141,35 @@ def _frequent_grams(w: W.Words, one: np.ndarray, per_word: np.ndarray) -> tuple[
         met += np.bincount(bucket, weights=np.repeat(per_word[at : at + WORDS], grams), minlength=len(met))
     often = met >= LEAST
     number = (np.cumsum(often) - 1).astype(np.int32)
-    parts: list[tuple[np.ndarray, ...]] = []
+    bucket_parts, kept_in, share = [np.zeros(0, np.int32)], np.zeros(len(one), np.int64), np.zeros(len(one), np.float32)
     for at in cuts:
         bucket, grams = subwords(w, one[at : at + WORDS])
         kept = often[bucket]
-        share = np.repeat((1 / np.maximum(grams, 1)).astype(np.float32), grams)
-        word_of = np.repeat(np.arange(at, at + len(grams), dtype=np.int32), grams)
-        parts.append((number[bucket[kept]], share[kept], word_of[kept]))
-    none = np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(0, np.int32)
-    return (np.flatnonzero(often), *(np.concatenate(x) for x in zip(none, *parts)))
+        bucket_parts.append(number[bucket[kept]])
+        kept_in[at : at + WORDS] = np.bincount(np.repeat(np.arange(len(grams)), grams)[kept], minlength=len(grams))
+        share[at : at + WORDS] = 1 / np.maximum(grams, 1)
+    return np.flatnonzero(often), np.concatenate(bucket_parts), kept_in, share
+
+
+def _turned(index: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of lists of numbers below n: by number the lists that hold it, in order, and how many."""
+    key = index.astype(np.int64)
+    key <<= 32
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    for at, upto in _slices(ends):
+        key[ends[at] : ends[upto]] |= np.repeat(np.arange(at, upto), counts[at:upto])
+    key.sort()
+    key &= 0xFFFFFFFF
+    return key.astype(np.int32), _counted(index, counts, n, np.ones(len(counts))).astype(np.int64)
+
+
+def _counted(index: np.ndarray, counts: np.ndarray, n: int, per: np.ndarray) -> np.ndarray:
+    """For each number below n the sum of `per` over the lists that hold it."""
+    out = np.zeros(n)
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    for at, upto in _slices(ends):
+        out += np.bincount(index[ends[at] : ends[upto]], weights=np.repeat(per[at:upto], counts[at:upto]), minlength=n)
+    return out
 
 
 def train(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Model:
@@ -151,38 +189,38 @@ def train(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS, see
     part = (GAIN * times / np.maximum(w.counts[text_of], 1)).astype(np.float32)
     per_word = np.bincount(word_in, minlength=len(one))
     del pair, times, word
-    # A word's share of each bucket, without the rare ones.
-    used, bucket, share, word_of = _frequent_grams(w, one, per_word)
+    # The frequent buckets of each word, and the words of each such bucket.
+    used, bucket, grams, share = _frequent_grams(w, one, per_word)
     del w
-    grams = np.bincount(word_of, minlength=len(one))
-    per_bucket = np.bincount(bucket, minlength=len(used))
+    words_in, per_bucket = _turned(bucket, grams, len(used))
     # The first dimension starts from the smoothed log-odds of each n-gram, cubed so that the many weak ones
     # do not outweigh the few strong ones in an average; the other dimensions start near zero.
     seen = [np.bincount(word_in, weights=labels[text_of] == c, minlength=len(one)) for c in (0, 1)]
     odds = np.zeros(len(used))
     for sign, per in zip((-1, 1), seen):
-        n = np.bincount(bucket, weights=per[word_of], minlength=len(used))
+        n = _counted(bucket, grams, len(used), per)
         odds += sign * np.log((n + PRIOR * per.sum() / n_pairs) / max(per.sum(), 1.0))
     start = rng.uniform(-0.01, 0.01, (len(used), DIMENSIONS)).astype(np.float32)
     start[:, 0] = (odds / 3) ** 3
     table = _Adam(start)
     weights.value[0] = (-0.5, 0.5)
-    by_bucket, by_word = (np.argsort(x, kind="stable").astype(np.int32) for x in (bucket, word_in))
+    by_word = np.argsort(word_in, kind="stable")
+    texts_with, part_in = text_of[by_word], part[by_word]
+    del by_word, text_of
     goal = np.eye(2, dtype=np.float32)[labels]
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
-        vectors = _means(table.value, bucket, grams, share)
-        bags = _means(vectors, word_in, per_text, part)
+        bags = _means(_means(table.value, bucket, grams, share, "list"), word_in, per_text, part)
         scores = bags @ weights.value + bias.value
         scores = np.exp(scores - scores.max(1, keepdims=True))
         error = (scores / scores.sum(1, keepdims=True) - goal) / len(labels)
         back = error @ weights.value.T
-        to_words = _means(back, text_of[by_word], per_word, part[by_word])
-        grad = _means(to_words, word_of[by_bucket], per_bucket, share[by_bucket])
+        to_words = _means(back, texts_with, per_word, part_in)
+        grad = _means(to_words, words_in, per_bucket, share, "row")
         weights.step(bags.T @ error, 10 * rate)
         bias.step(error.sum(0), 100 * rate)
         table.step(grad, rate, float(np.sqrt((grad * grad).mean())))
-    bags = _means(_means(table.value, bucket, grams, share), word_in, per_text, part)
+    bags = _means(_means(table.value, bucket, grams, share, "list"), word_in, per_text, part)
     scale, shift = _calibrated(bags @ (weights.value[:, 1] - weights.value[:, 0]), labels)
     whole[used] = table.value
     return Model(whole, weights.value * np.float32(scale), np.array([0, shift], np.float32))
@@ -225,6 +263,8 @@ def fit(
         used = np.flatnonzero(model.table.any(axis=1))
         parts = [used, model.table[used], model.weights, model.bias]
         yield pd.DataFrame({"part": range(4), "data": [p.tobytes() for p in parts]})
+        del rows, model, used, parts
+        W.give_back()
 
     # One task trains on the bounded sample: its arrays are several times the sample, and the driver needs none of them.
     sample_schema = pd.DataFrame({"id": [], "text": [], "label": []})
@@ -237,12 +277,21 @@ def fit(
     return Model(table, weights, np.frombuffer(found[3], np.float32))
 
 
+def _of_words(bucket_logit: np.ndarray, w: W.Words, one: np.ndarray) -> np.ndarray:
+    """The mean over the n-grams of each word that starts at w.starts[one]; words are taken a few at a time."""
+    parts = []
+    for at in range(0, len(one), WORDS):
+        bucket, grams = subwords(w, one[at : at + WORDS])
+        parts.append(_means(bucket_logit, bucket, grams) / np.maximum(grams, 1))
+    return np.concatenate(parts)
+
+
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of the documents with toxic_score (0 to 1) and toxic_pred (1 from one half on).
 
     Every word of a text counts, however long it is. Null and empty texts, and texts without words, have the
     score of the bias alone. Columns of these two names are replaced. A task scores 1 MB of
-    text at a time, or one longer text, with 4 MB of model.
+    text at a time, or one longer text, with 4 MB of model, and the n-grams of WORDS of its distinct words.
     """
     documents = documents.drop("toxic_score", "toxic_pred")
     names = documents.columns
@@ -255,9 +304,7 @@ def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
             logit = np.full(batch.num_rows, base)
             if len(w.hashes):
                 _, one, word = np.unique(w.hashes, return_index=True, return_inverse=True)
-                bucket, grams = subwords(w, one)
-                of_word = _means(bucket_logit, bucket, grams) / np.maximum(grams, 1)
-                sums = np.concatenate([[0.0], np.cumsum(of_word[word], dtype=np.float64)])
+                sums = np.concatenate([[0.0], np.cumsum(_of_words(bucket_logit, w, one)[word], dtype=np.float64)])
                 logit += (sums[w.first[1:]] - sums[w.first[:-1]]) / np.maximum(w.counts, 1)
             value = 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
             yield pa.RecordBatch.from_arrays(

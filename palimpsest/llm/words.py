@@ -8,6 +8,7 @@ sum per chunk, and mixed afterwards.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -84,6 +85,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYT
             upto = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
             yield batch.slice(at, upto - at)
             at = upto
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, where the C library can: workers wait for their next task with what they hold."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 @dataclass

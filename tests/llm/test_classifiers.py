@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -128,6 +129,60 @@ def test_scores_by_brute_force(spark):
     assert {r["toxic_score"] for r in toxicity.score(docs, nothing).collect()} == {0.5}
 
 
+def traced(run):
+    """What a call returns, and the most bytes it held at a time."""
+    tracemalloc.start()
+    out = run()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return out, most
+
+
+def many_words():
+    """Texts of 28,500 distinct words, with some 830,000 n-grams."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(6, 12))) for _ in range(30_000)]
+    texts = [" ".join(rng.sample(words, 300)) for _ in range(300)]
+    w = W.split(pa.array(texts), W.ALNUM)
+    return texts, w, np.unique(w.hashes, return_index=True)[1]
+
+
+def test_memory_of_training():
+    """Some 45 bytes for each n-gram of a word, beside the table; it were 90 with every list held in both orders."""
+    texts, w, one = many_words()
+    n = len(toxicity.subwords(w, one)[0])
+    model, most = traced(lambda: toxicity.train(texts, np.arange(300) % 4 // 3, epochs=2))
+    assert n > 800_000 and most - model.table.nbytes < 65 * n
+
+
+def test_memory_of_scoring():
+    """N-grams of a few words at a time give the means of all at once."""
+    _, w, one = many_words()
+    logits = np.random.default_rng(1).normal(size=1 << toxicity.BUCKETS_LOG2).astype(np.float32)
+
+    def whole():
+        bucket, grams = toxicity.subwords(w, one)
+        return toxicity._means(logits, bucket, grams) / np.maximum(grams, 1)
+
+    (want, most), (got, less) = traced(whole), traced(lambda: toxicity._of_words(logits, w, one))
+    assert np.array_equal(got, want) and less < most / 2
+
+
+def test_lists_turned_and_counted(monkeypatch):
+    monkeypatch.setattr(toxicity, "GATHERED", 3)
+    rng = random.Random(6)
+    lists = [[rng.randrange(8) for _ in range(rng.choice([0, 1, 2, 9]))] for _ in range(30)]
+    index, counts = np.array(sum(lists, []), np.int32), np.array([len(x) for x in lists])
+    by, sizes = toxicity._turned(index, counts, 9)
+    assert by.tolist() == [i for k in range(9) for i, x in enumerate(lists) for y in x if y == k]
+    assert sizes.tolist() == [sum(x.count(k) for x in lists) for k in range(9)]
+    per = np.arange(30.0)
+    want = [sum(i * x.count(k) for i, x in enumerate(lists)) for k in range(9)]
+    assert toxicity._counted(index, counts, 9, per).tolist() == want
+    none = np.zeros(0, np.int32)
+    assert [x.tolist() for x in toxicity._turned(none, np.zeros(0, np.int64), 2)] == [[], [0, 0]]
+
+
 def test_fit_reads_only_usable_labels(spark):
     texts, labels = made(40, 4)
     docs = spark.createDataFrame([*enumerate(texts), (None, "x"), (99, None)], "doc_id long, text string")
