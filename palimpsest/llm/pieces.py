@@ -421,18 +421,22 @@ def _units(model: Model, text: str) -> list[str]:
 
 
 def encode(model: Model, texts: list[str | None]) -> list[np.ndarray]:
-    """Ids of every text; null and empty texts have none. Equal words of a batch are searched once."""
+    """Ids of every text; null and empty texts have none. Equal words of a batch are searched once.
+
+    Found words are kept for the next batch, but no more than CACHED_BYTES of them: a worker may wait long for it.
+    """
     cache = model.words
     cut = [_cut(model, t) if t else [] for t in texts]
     units = {u for units in cut for u in units}
-    if model.cached > CACHED_BYTES:
-        cache.clear()
-        model.cached = 0
     new = list(units.difference(cache))
     found = encode_words(model, new)
     model.cached += sum(200 + 2 * len(u) + len(f) for u, f in zip(new, found))
     cache.update(zip(new, found))
-    return [np.frombuffer(b"".join([cache[u] for u in units]), np.int32) for units in cut]
+    ids = [np.frombuffer(b"".join([cache[u] for u in units]), np.int32) for units in cut]
+    if model.cached > CACHED_BYTES:
+        cache.clear()
+        model.cached = 0
+    return ids
 
 
 def _cut(model: Model, text: str) -> list[str]:

@@ -72,6 +72,19 @@ def test_small_caches_and_batches_change_nothing(bpe, monkeypatch):
     assert [g.tolist() for g in pieces.encode(pieces.load(PIECES), some)] == want
 
 
+def test_a_full_cache_is_not_kept(monkeypatch):
+    """What stays between batches, and while a worker waits, is within its limit."""
+    model = pieces.load(PIECES)
+    words = [f"word{i}" for i in range(2000)]
+    pieces.encode(model, [" ".join(words[:100])])
+    assert len(model.words) >= 100  # few words stay
+    monkeypatch.setattr(pieces, "CACHED_BYTES", 100_000)
+    want = pieces.encode(pieces.load(PIECES), words)
+    got = pieces.encode(model, words)
+    assert [x.tolist() for x in got] == [x.tolist() for x in want]
+    assert model.cached == 0 and not model.words
+
+
 def test_long_words(bpe, unigram):
     """Words without a space in many stretches, and very long ones in seconds."""
     rng = random.Random(6)
