@@ -523,7 +523,7 @@ class HistoryStore(_Evolving):
         }
 
     def _commit(
-        self, merged: DataFrame, number: int, before: dict, time: int, touched: set[int], source: Source | None, about: int
+        self, merged: DataFrame, number: int, before: dict, time: int, touched: set[int], source: Source | None, about: int = 0
     ) -> dict[str, int]:
         folder, seen = self._write(merged, number, *outcome_columns(), about=about)
         counts = {k: seen[k] or 0 for k in self._no_outcomes()}
